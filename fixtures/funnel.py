@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidewatch.config import REVENUE_FUNNEL, AnomalyRules, MonitorConfig
 from tidewatch.functions import business_date
 from tidewatch.plans.funnel import FunnelSource
-from tidewatch.sources import ChannelMap
+from tidewatch.sources import ChannelMap, SqlSource
 
 REPORT_DATE = dt.date(2000, 6, 15)
 LAST_SOT_DATE = dt.date(2000, 12, 31)
@@ -151,3 +151,82 @@ def source_of_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("decimal(28,4)")
         .alias("total_revenue"),
     )
+
+
+FUNNEL_SQL = """
+WITH stages AS (
+    SELECT visit_date AS metric_date, {dimension} AS dimension, count(*) AS intentful_visitors,
+           0L AS requests, 0L AS projects, 0L AS contacts, 0 AS revenue
+    FROM {visits}
+    WHERE visit_date BETWEEN :start_date AND :end_date
+    GROUP BY ALL
+    UNION ALL
+    SELECT request_date, {dimension}, 0L, count(DISTINCT request_pk), 0L, 0L, 0
+    FROM {requests}
+    WHERE request_date BETWEEN :start_date AND :end_date
+    GROUP BY ALL
+    UNION ALL
+    SELECT project_date, coalesce({dimension}, {unmatched}), 0L, 0L,
+           count(DISTINCT request_pk), 0L, 0
+    FROM {projects} LEFT JOIN {requests} USING (request_pk)
+    WHERE project_date BETWEEN :start_date AND :end_date
+    GROUP BY ALL
+    UNION ALL
+    SELECT contact_date, coalesce({dimension}, {unmatched}), 0L, 0L, 0L,
+           count(DISTINCT contact_pk), 0
+    FROM {contacts} LEFT JOIN {requests} USING (request_pk)
+    WHERE contact_date BETWEEN :start_date AND :end_date
+    GROUP BY ALL
+    UNION ALL
+    SELECT revenue_date, coalesce({dimension}, {unmatched}), 0L, 0L, 0L, 0L, sum(amount)
+    FROM {revenue} LEFT JOIN {requests} USING (request_pk)
+    WHERE revenue_date BETWEEN :start_date AND :end_date
+    GROUP BY ALL
+)
+SELECT metric_date, dimension, sum(intentful_visitors) AS intentful_visitors,
+       sum(requests) AS requests, sum(projects) AS projects, sum(contacts) AS contacts,
+       cast(sum(revenue) AS decimal(28,4)) AS revenue
+FROM stages
+GROUP BY metric_date, dimension
+"""
+
+
+def funnel_sql_source(spark: SparkSession, sf_dir: str) -> SqlSource:
+    """The same funnel as one SQL query, the way a user brings their own metric source."""
+    roles = funnel_roles(spark, sf_dir)
+    ntz = T.TimestampNTZType()
+
+    def labelled(role: str) -> DataFrame:
+        coded = PRIORITY_CHANNELS.with_code(roles[role], "segment")
+        names = F.array(*[F.lit(c) for c in PRIORITY_CHANNELS.channels])
+        return coded.withColumns(
+            {"everything": F.lit("overall"), "channel": names[F.col("channel_code")]}
+        )
+
+    def dated(df: DataFrame, time: str, name: str) -> DataFrame:
+        return df.withColumn(name, business_date(F.col(time), ntz))
+
+    revenue_b = (
+        "net_revenue + ifnull(refund, 0) + ifnull(payout, 0)"
+        " + ifnull(transfer_reversal, 0) + ifnull(cancellation_revenue, 0)"
+    )
+    revenue = (
+        roles["rev_a"]
+        .selectExpr("request_pk", "transaction_timestamp AS ts", "gross_revenue AS amount")
+        .unionByName(roles["rev_b"].selectExpr("request_pk", "ts", f"{revenue_b} AS amount"))
+    )
+    return SqlSource(
+        spark,
+        FUNNEL_SQL,
+        {
+            "overall": {"dimension": F.col("everything"), "unmatched": "overall"},
+            "channel": {"dimension": F.col("channel"), "unmatched": "Other"},
+        },
+        {
+            "visits": labelled("visits"),
+            "requests": dated(labelled("requests"), "request_created_time", "request_date"),
+            "projects": dated(roles["projects"], "project_created_time", "project_date"),
+            "contacts": dated(roles["contacts"], "contact_created_time", "contact_date"),
+            "revenue": dated(revenue, "ts", "revenue_date"),
+        },
+    )

@@ -16,10 +16,10 @@ def run_sql(
     spark: SparkSession,
     text: str,
     args: Mapping[str, object] | None = None,
-    **fields: Column | DataFrame,
+    **fields: Column | DataFrame | str,
 ) -> DataFrame:
     """Run SQL and get a lazy frame. ``:name`` markers take ``args``, ``{name}`` fields take
-    DataFrames (as relations) or columns."""
+    DataFrames (as relations), plain columns or strings (as literals)."""
     return spark.sql(text, args=dict(args or {}), **fields)
 
 
@@ -27,16 +27,16 @@ class SqlSource:
     """A metric source given as a SQL query per dimension level.
 
     The query returns ``metric_date``, ``dimension`` and measures. It marks the pull with
-    ``:start_date`` and ``:end_date`` and each dimension expression with a ``{name}`` field,
-    whose column for every level stands in ``level_columns``. ``relations`` are DataFrames the
-    query names as ``{name}``.
+    ``:start_date`` and ``:end_date``. What differs between levels it marks with ``{name}``
+    fields: ``level_columns`` gives their values per level, a plain column reference or a
+    string, which becomes a literal. ``relations`` are DataFrames the query names as ``{name}``.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         text: str,
-        level_columns: Mapping[str, Mapping[str, Column]],
+        level_columns: Mapping[str, Mapping[str, Column | str]],
         relations: Mapping[str, DataFrame] | None = None,
     ) -> None:
         self.spark = spark
