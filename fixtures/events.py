@@ -66,7 +66,7 @@ def event_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     request_pk = F.col("user_id").alias("request_pk")
     return {
-        "visits": of_type("view", business_date(F.col("ts"), ntz).alias("visit_date"), segment),
+        "visits": of_type("view", F.expr(business_date("ts", ntz)).alias("visit_date"), segment),
         "requests": of_type(
             "signup", request_pk, F.col("ts").alias("request_created_time"), segment
         ),

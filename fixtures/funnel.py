@@ -46,7 +46,7 @@ def funnel_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = F.col("l_orderkey").alias("request_pk")
 
     visits = orders.select(
-        business_date(F.col("o_orderdate"), ntz).alias("visit_date"),
+        F.expr(business_date("o_orderdate", ntz)).alias("visit_date"),
         F.col("o_orderpriority").alias("segment"),
     )
     requests = orders.select(
@@ -98,14 +98,13 @@ def funnel_source(spark: SparkSession, sf_dir: str) -> FunnelSource:
 def source_of_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-day totals without joins, distorted on set days so that every verdict occurs."""
     roles = funnel_roles(spark, sf_dir)
-    ntz = T.TimestampNTZType()
 
     def per_day(role: str, time: str, *aggregates) -> DataFrame:
         df = roles[role]
-        day = F.col(time) if time == "visit_date" else business_date(F.col(time), ntz)
+        dtype = df.schema[time].dataType
         return (
             df.filter(F.col(time).isNotNull())
-            .select(day.alias("metric_date"), "*")
+            .selectExpr(f"{business_date(time, dtype)} AS metric_date", "*")
             .groupBy("metric_date")
             .agg(*aggregates)
         )
@@ -204,7 +203,7 @@ def funnel_sql_source(spark: SparkSession, sf_dir: str) -> SqlSource:
         )
 
     def dated(df: DataFrame, time: str, name: str) -> DataFrame:
-        return df.withColumn(name, business_date(F.col(time), ntz))
+        return df.selectExpr("*", f"{business_date(time, ntz)} AS {name}")
 
     revenue_b = (
         "net_revenue + ifnull(refund, 0) + ifnull(payout, 0)"

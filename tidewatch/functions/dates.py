@@ -4,11 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUSINESS_ZONE = "America/Los_Angeles"
@@ -24,8 +21,8 @@ def as_date(value: str | dt.date) -> dt.date:
     return dt.datetime.strptime(value, "%Y-%m-%d").date()
 
 
-def business_date(column: Column, dtype: T.DataType) -> Column:
-    """Calendar date in the business zone, the same under every session time zone.
+def business_date(name: str, dtype: T.DataType) -> str:
+    """SQL for a column's calendar date in the business zone, under any session time zone.
 
     A ``TIMESTAMP_NTZ`` is taken to hold UTC. The shift is done on microseconds since the
     epoch: casts between the two timestamp types would go through the session zone, and
@@ -33,14 +30,14 @@ def business_date(column: Column, dtype: T.DataType) -> Column:
     as much.
     """
     if isinstance(dtype, T.DateType):
-        return column
+        return name
     if isinstance(dtype, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        column = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, column))
+        epoch = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+        name = f"timestamp_micros(timestampdiff(MICROSECOND, {epoch}, {name}))"
     elif not isinstance(dtype, T.TimestampType):
         raise TypeError(f"expected a date or timestamp column, got {dtype.simpleString()}")
-    shifted = F.unix_micros(F.from_utc_timestamp(column, BUSINESS_ZONE))
-    return F.date_from_unix_date(F.floor(shifted / F.lit(_MICROS_PER_DAY)).cast("int"))
+    shifted = f"unix_micros(from_utc_timestamp({name}, '{BUSINESS_ZONE}'))"
+    return f"date_from_unix_date(int(floor({shifted} / {_MICROS_PER_DAY})))"
 
 
 def day_start_utc(day: dt.date) -> dt.datetime:
@@ -49,11 +46,11 @@ def day_start_utc(day: dt.date) -> dt.datetime:
     return local.astimezone(dt.timezone.utc)
 
 
-def _instant(day: dt.date, dtype: T.DataType) -> Column:
-    start = day_start_utc(day)
+def _instant(day: dt.date, dtype: T.DataType) -> str:
+    start = f"{day_start_utc(day):%Y-%m-%d %H:%M:%S}"
     if isinstance(dtype, T.TimestampType):
-        return F.lit(start)
-    return F.lit(start.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+        return f"TIMESTAMP '{start}+00:00'"
+    return f"TIMESTAMP_NTZ '{start}'"
 
 
 @dataclass(frozen=True)
@@ -78,8 +75,8 @@ class DateWindow:
             return [(self.start, self.end)]
         return [(d, d) for d in self.days]
 
-    def covers(self, column: Column, dtype: T.DataType) -> Column:
-        """Predicate on the stored column, so that Parquet can skip row groups.
+    def covers(self, name: str, dtype: T.DataType) -> str:
+        """SQL predicate on the stored column, so that Parquet can skip row groups.
 
         For timestamps this compares the raw column with the UTC instants at which the
         business days start and end. The business zone never changes its clocks at
@@ -88,8 +85,8 @@ class DateWindow:
         tests = []
         for first, last in self._ranges():
             if isinstance(dtype, T.DateType):
-                tests.append(column.between(F.lit(first), F.lit(last)))
+                tests.append(f"{name} BETWEEN DATE '{first}' AND DATE '{last}'")
             else:
                 after = _instant(last + dt.timedelta(days=1), dtype)
-                tests.append((column >= _instant(first, dtype)) & (column < after))
-        return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
+                tests.append(f"({name} >= {_instant(first, dtype)} AND {name} < {after})")
+        return " OR ".join(tests) or "false"

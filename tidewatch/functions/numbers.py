@@ -1,4 +1,4 @@
-"""Ratios and changes. A missing value is always NULL, never NaN."""
+"""SQL for ratios and changes. A missing value is always NULL, never NaN."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _double(value: Column) -> Column:
-    return value.cast("double")
+def _double(value: str) -> str:
+    return f"CAST({value} AS DOUBLE)"
 
 
 def missing_if_nan(column: Column, dtype: T.DataType) -> Column:
@@ -18,16 +18,19 @@ def missing_if_nan(column: Column, dtype: T.DataType) -> Column:
     return column
 
 
-def safe_ratio(numerator: Column, denominator: Column) -> Column:
+def safe_ratio(numerator: str, denominator: str) -> str:
     """``numerator / denominator`` where the denominator is positive, else NULL."""
-    return F.when(denominator > 0, _double(numerator) / _double(denominator))
+    return f"CASE WHEN {denominator} > 0 THEN {_double(numerator)} / {_double(denominator)} END"
 
 
-def pct_change(current: Column, prior: Column) -> Column:
-    """``(current - prior) / prior``; NULL when the prior is missing or 0. The sign of a negative prior stays."""
-    return (_double(current) - _double(prior)) / F.nullif(_double(prior), F.lit(0.0))
+def pct_change(current: str, prior: str) -> str:
+    """``(current - prior) / prior``; NULL when the prior is missing or 0.
 
+    The divisor keeps its sign, so growth from a negative base looks negative (T7).
+    """
+    return f"({_double(current)} - {_double(prior)}) / nullif({_double(prior)}, 0D)"
 
-def relative_difference(ours: Column, theirs: Column) -> Column:
+
+def relative_difference(ours: str, theirs: str) -> str:
     """``abs(ours - theirs) / abs(theirs)``; NULL when theirs is 0."""
-    return F.abs(_double(ours) - _double(theirs)) / F.nullif(F.abs(_double(theirs)), F.lit(0.0))
+    return f"abs({_double(ours)} - {_double(theirs)}) / nullif(abs({_double(theirs)}), 0D)"

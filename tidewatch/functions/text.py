@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 MISSING = "n/a"
 
 
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _or_missing(value: Column, text: Column) -> Column:
     return F.when(value.isNotNull(), text).otherwise(MISSING)
 

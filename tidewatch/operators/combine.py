@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions.text import literal
 from tidewatch.sources.channels import ChannelMap
 
 OVERALL, CHANNEL = "overall", "channel"
@@ -25,24 +26,19 @@ def check_levels(levels: Sequence[str]) -> tuple[str, ...]:
     return tuple(levels)
 
 
-def level_targets(levels: Sequence[str], channels: ChannelMap) -> Column:
-    """Array literal of ``dim_type, dimension, bits``, one entry per dimension value."""
+def level_targets(levels: Sequence[str], channels: ChannelMap) -> str:
+    """SQL array of ``dim_type, dimension, bits``, one entry per dimension value."""
     entries = []
     for level in levels:
         if level == OVERALL:
             entries.append((OVERALL, OVERALL, _ALL_BITS))
         else:
             entries += [(CHANNEL, name, 1 << code) for code, name in enumerate(channels.channels)]
-    return F.array(
-        *[
-            F.struct(
-                F.lit(dim_type).alias("dim_type"),
-                F.lit(dimension).alias("dimension"),
-                F.lit(bits).cast("long").alias("bits"),
-            )
-            for dim_type, dimension, bits in entries
-        ]
-    )
+    structs = [
+        f"struct({literal(dim_type)} AS dim_type, {literal(dimension)} AS dimension, {bits}L AS bits)"
+        for dim_type, dimension, bits in entries
+    ]
+    return f"array({', '.join(structs)})"
 
 
 def combine_partials(
@@ -58,28 +54,27 @@ def combine_partials(
     channel set and number of copies; only these few rows are sent to their levels.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), partials)
-    measures = [m for m in result_types if m in stacked.columns]
+    schema = stacked.schema
+    measures = [m for m in result_types if m in schema.names]
     grouped = stacked.groupBy("metric_date", "channel_mask", "copies").agg(
         *[F.sum(m).alias(m) for m in measures]
     )
-    spread = grouped.select(
+    spread = grouped.selectExpr(
         "metric_date",
         "channel_mask",
-        *[_times(grouped, m).alias(m) for m in measures],
-        F.inline(level_targets(levels, channels)),
-    ).filter(F.col("bits").bitwiseAND(F.col("channel_mask")) != 0)
-    totals = [
-        F.coalesce(F.sum(m), F.lit(0)).cast(result_types[m]).alias(m) for m in measures
-    ]
-    daily = spread.groupBy("metric_date", "dim_type", "dimension").agg(*totals)
-    return daily.filter(F.col("metric_date").isNotNull())
+        *[f"{_times_copies(m, schema[m].dataType)} AS {m}" for m in measures],
+        f"inline({level_targets(levels, channels)})",
+    ).filter("bits & channel_mask != 0")
+    daily = spread.groupBy("metric_date", "dim_type", "dimension").agg(
+        *[F.expr(f"CAST(coalesce(sum({m}), 0) AS {result_types[m]}) AS {m}") for m in measures]
+    )
+    return daily.filter("metric_date IS NOT NULL")
 
 
-def _times(grouped: DataFrame, measure: str) -> Column:
-    dtype = grouped.schema[measure].dataType
-    product = F.col(measure) * F.col("copies")
-    # Whole copies cannot add decimals; keep the scale the sum has.
-    return product.cast(T.DecimalType(38, dtype.scale)) if isinstance(dtype, T.DecimalType) else product
+def _times_copies(measure: str, dtype: T.DataType) -> str:
+    product = f"{measure} * copies"
+    # Whole copies add no decimals, so the product keeps the scale of the sum.
+    return f"CAST({product} AS decimal(38,{dtype.scale}))" if isinstance(dtype, T.DecimalType) else product
 
 
 def combine_by_outer_join(

@@ -38,30 +38,34 @@ def add_deltas(
     columns = config.compared_columns(daily.columns)
     build = {"pivot": _by_pivot, "join": _by_join, "window": _by_window}[form]
     wide = build(daily, columns, config, anchor)
-    output = ["dimension", F.lit(anchor).alias("metric_date"), *columns]
+    output = ["dimension", f"DATE '{anchor}' AS metric_date", *columns]
     for name in config.offsets:
         for c in columns:
             prior = f"{c}_{name}_prior"
-            output += [prior, pct_change(F.col(c), F.col(prior)).alias(f"{c}_{name}")]
-    return wide.select(*output, "dim_type")
+            output += [prior, f"{pct_change(c, prior)} AS {c}_{name}"]
+    return wide.selectExpr(*output, "dim_type")
 
 
 def _by_pivot(
     daily: DataFrame, columns: Sequence[str], config: MonitorConfig, anchor: dt.date
 ) -> DataFrame:
-    def on_day(day: dt.date, column: str):
-        return F.max(F.when(F.col("metric_date") == F.lit(day), F.col(column)))
-
-    picked = [on_day(anchor, c).alias(c) for c in columns]
-    for name, days in config.offsets.items():
-        prior_day = anchor - dt.timedelta(days=days)
-        picked += [on_day(prior_day, c).alias(f"{c}_{name}_prior") for c in columns]
-    present = F.bool_or(F.col("metric_date") == F.lit(anchor)).alias("present")
-    days = [F.lit(d) for d in comparison_days(config, anchor)]
-    rows = daily.filter(F.col("metric_date").isin(*days))
+    def on_day(day: dt.date, column: str, name: str):
+        return F.expr(f"max({column}) FILTER (WHERE metric_date = DATE '{day}') AS {name}")
+
+    picked = [on_day(anchor, c, c) for c in columns]
+    for name, offset in config.offsets.items():
+        prior_day = anchor - dt.timedelta(days=offset)
+        picked += [on_day(prior_day, c, f"{c}_{name}_prior") for c in columns]
+    present = F.expr(f"bool_or(metric_date = DATE '{anchor}') AS present")
+    rows = daily.filter(_on_days(config, anchor))
     return rows.groupBy(*KEYS).agg(present, *picked).filter("present")
 
 
+def _on_days(config: MonitorConfig, anchor: dt.date) -> str:
+    days = ", ".join(f"DATE '{d}'" for d in comparison_days(config, anchor))
+    return f"metric_date IN ({days})"
+
+
 def _by_join(
     daily: DataFrame, columns: Sequence[str], config: MonitorConfig, anchor: dt.date
 ) -> DataFrame:
@@ -85,6 +89,5 @@ def _by_window(
     for name, days in config.offsets.items():
         window = Window.partitionBy(*KEYS).orderBy(day_number).rangeBetween(-days, -days)
         added |= {f"{c}_{name}_prior": F.first(c).over(window) for c in columns}
-    days = [F.lit(d) for d in comparison_days(config, anchor)]
-    rows = daily.filter(F.col("metric_date").isin(*days)).withColumns(added)
+    rows = daily.filter(_on_days(config, anchor)).withColumns(added)
     return rows.filter(F.col("metric_date") == F.lit(anchor))

@@ -13,12 +13,12 @@ from tidewatch.functions import pct_change, safe_ratio
 DRIVERS = ("top_of_funnel", "conversion", "monetization")
 
 
-def _factors(growth: GrowthModel, suffix: str) -> dict[str, Column]:
+def _factors(growth: GrowthModel, suffix: str) -> dict[str, str]:
     visitors, orders, revenue = (
-        F.col(name + suffix) for name in (growth.visitors, growth.orders, growth.revenue)
+        name + suffix for name in (growth.visitors, growth.orders, growth.revenue)
     )
     return {
-        "top_of_funnel": visitors.cast("double"),
+        "top_of_funnel": f"CAST({visitors} AS DOUBLE)",
         "conversion": safe_ratio(orders, visitors),
         "monetization": safe_ratio(revenue, orders),
     }
@@ -32,43 +32,29 @@ def growth_decomposition(summary: DataFrame, growth: GrowthModel) -> DataFrame:
     unless every factor is positive on both days and revenue moved.
     """
     now, then = _factors(growth, ""), _factors(growth, "_yoy_prior")
-    revenue = F.col(growth.revenue).cast("double")
-    prior_revenue = F.col(f"{growth.revenue}_yoy_prior").cast("double")
     rows = [
-        F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(driver).alias("driver"),
-            now[driver].alias("factor_current"),
-            then[driver].alias("factor_prior"),
-        )
+        f"struct({i + 1} AS position, '{driver}' AS driver, {now[driver]} AS factor_current,"
+        f" {then[driver]} AS factor_prior)"
         for i, driver in enumerate(DRIVERS)
     ]
-    positive = F.lit(True)
-    for factor in [*now.values(), *then.values()]:
-        positive = positive & F.coalesce(factor > 0, F.lit(False))
-    log_growth = F.when(positive & (revenue != prior_revenue), F.ln(revenue / prior_revenue))
-    unpivoted = summary.select(
-        "metric_date",
-        log_growth.alias("_log_growth"),
-        pct_change(revenue, prior_revenue).alias("revenue_yoy"),
-        F.inline(F.array(*rows)),
+    revenue = f"CAST({growth.revenue} AS DOUBLE)"
+    prior = f"CAST({growth.revenue}_yoy_prior AS DOUBLE)"
+    positive = " AND ".join(f"({factor}) > 0" for factor in [*now.values(), *then.values()])
+    unpivoted = summary.selectExpr(
+        f"CASE WHEN {positive} AND {revenue} <> {prior} THEN ln({revenue} / {prior}) END AS log_growth",
+        f"{pct_change(growth.revenue, growth.revenue + '_yoy_prior')} AS revenue_yoy",
+        f"inline(array({', '.join(rows)}))",
     )
-    log_factor = F.ln(F.col("factor_current") / F.col("factor_prior"))
-    share = F.when(F.col("_log_growth").isNotNull(), log_factor / F.col("_log_growth"))
-    return (
-        unpivoted.withColumn("factor_yoy", pct_change(F.col("factor_current"), F.col("factor_prior")))
-        .withColumn("share", share)
-        .withColumn("contribution", F.col("share") * F.col("revenue_yoy"))
-        .select(
-            "position",
-            "driver",
-            "factor_current",
-            "factor_prior",
-            "factor_yoy",
-            "share",
-            "contribution",
-            "revenue_yoy",
-        )
+    share = "CASE WHEN log_growth IS NOT NULL THEN ln(factor_current / factor_prior) / log_growth END"
+    return unpivoted.selectExpr(
+        "position",
+        "driver",
+        "factor_current",
+        "factor_prior",
+        f"{pct_change('factor_current', 'factor_prior')} AS factor_yoy",
+        f"{share} AS share",
+        f"{share} * revenue_yoy AS contribution",
+        "revenue_yoy",
     )
 
 

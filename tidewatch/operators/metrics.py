@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidewatch.config import MonitorConfig
 from tidewatch.functions import safe_ratio
@@ -12,10 +11,9 @@ from tidewatch.functions import safe_ratio
 def add_ratio_metrics(daily: DataFrame, config: MonitorConfig) -> DataFrame:
     """Add every ratio whose two columns the frame has; others are skipped."""
     have = set(daily.columns)
-    return daily.withColumns(
-        {
-            m.key: safe_ratio(F.col(m.numerator), F.col(m.denominator))
-            for m in config.metrics
-            if m.numerator in have and m.denominator in have
-        }
-    )
+    ratios = [
+        f"{safe_ratio(m.numerator, m.denominator)} AS {m.key}"
+        for m in config.metrics
+        if m.numerator in have and m.denominator in have
+    ]
+    return daily.selectExpr("*", *ratios)

@@ -17,9 +17,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.functions import DateWindow, business_date, missing_if_nan
 from tidewatch.sources.channels import ChannelMap
@@ -53,6 +52,11 @@ class Stage:
         if (self.segment is None) == (self.lookup_key is None):
             raise ValueError(f"stage {self.measure!r}: give a segment or a lookup key, not both")
 
+    @property
+    def counts_its_key(self) -> bool:
+        """Whether the entity counted is the lookup key itself."""
+        return self.kind == DISTINCT and self.value == self.lookup_key
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -69,8 +73,7 @@ class Lookup:
     unique: bool = False
 
 
-def _bit(code: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), code)
+_BIT = "shiftleft(1L, channel_code)"
 
 
 def stage_rows(roles: Mapping[str, DataFrame], stage: Stage, window: DateWindow) -> DataFrame:
@@ -79,16 +82,16 @@ def stage_rows(roles: Mapping[str, DataFrame], stage: Stage, window: DateWindow)
     if stage.where is not None:
         df = df.filter(stage.where)
     dtype = df.schema[stage.time].dataType
-    df = df.filter(F.col(stage.time).isNotNull() & window.covers(F.col(stage.time), dtype))
-    columns = [business_date(F.col(stage.time), dtype).alias("metric_date")]
+    columns = [f"{business_date(stage.time, dtype)} AS metric_date"]
     if stage.segment is not None:
-        columns.append(F.col(stage.segment).alias("segment"))
+        columns.append(f"{stage.segment} AS segment")
     if stage.lookup_key is not None:
-        columns.append(F.col(stage.lookup_key).alias("lookup_key"))
-    if stage.value is not None:
-        columns.append(F.expr(stage.value).alias("value"))
-    rows = df.select(*columns)
-    if stage.value is not None:
+        columns.append(f"{stage.lookup_key} AS lookup_key")
+    if stage.value is not None and not stage.counts_its_key:
+        columns.append(f"{stage.value} AS value")
+    inside = f"{stage.time} IS NOT NULL AND ({window.covers(stage.time, dtype)})"
+    rows = df.filter(inside).selectExpr(*columns)
+    if stage.kind == SUM:
         value_type = rows.schema["value"].dataType
         rows = rows.withColumn("value", missing_if_nan(F.col("value"), value_type))
     return rows
@@ -106,40 +109,48 @@ class StageReader:
         self.roles = roles
         self.channels = channels
         self.lookup = lookup
+        self._lookup_relations: dict[bool, DataFrame] = {}
 
     def _lookup_relation(self, by_channel: bool) -> DataFrame:
         """``lookup_key, channel_code, copies``: how often each key occurs in each channel."""
+        if by_channel not in self._lookup_relations:
+            self._lookup_relations[by_channel] = self._build_lookup(by_channel)
+        return self._lookup_relations[by_channel]
+
+    def _build_lookup(self, by_channel: bool) -> DataFrame:
         lookup = self.lookup
-        df = self.roles[lookup.role].select(
-            F.col(lookup.key).alias("lookup_key"), F.col(lookup.segment).alias("segment")
-        )
-        df = df.filter(F.col("lookup_key").isNotNull())
+        df = self.roles[lookup.role].filter(f"{lookup.key} IS NOT NULL")
         if by_channel:
-            df = self.channels.with_code(df, "segment").drop("segment")
+            named = df.selectExpr(f"{lookup.key} AS lookup_key", f"{lookup.segment} AS segment")
+            df = self.channels.with_code(named, "segment").drop("segment")
         else:
-            df = df.select("lookup_key", F.lit(self.channels.other_code).alias("channel_code"))
+            code = f"{self.channels.other_code} AS channel_code"
+            df = df.selectExpr(f"{lookup.key} AS lookup_key", code)
         if lookup.unique:
-            return df.withColumn("copies", F.lit(1).cast("long"))
-        return df.groupBy("lookup_key", "channel_code").agg(F.count("*").alias("copies"))
+            return df.selectExpr("*", "1L AS copies")
+        return df.groupBy("lookup_key", "channel_code").agg(F.expr("count(*) AS copies"))
 
     def _attribute(self, rows: DataFrame, stage: Stage, by_channel: bool) -> DataFrame:
         """Add ``channel_code`` and ``copies`` to stage rows."""
-        other = F.lit(self.channels.other_code)
-        one = F.lit(1).cast("long")
-        if stage.segment is not None:
-            if by_channel:
-                rows = self.channels.with_code(rows, "segment")
-            else:
-                rows = rows.withColumn("channel_code", other)
-            return rows.drop("segment").withColumn("copies", one)
+        other = self.channels.other_code
+        rest = [c for c in rows.columns if c not in ("segment", "lookup_key")]
+        if stage.counts_its_key:
+            # Taken from the key after the join, which leaves the rows of a key together.
+            rest.append("lookup_key AS value")
+        if stage.segment is not None and by_channel:
+            coded = self.channels.with_code(rows, "segment")
+            return coded.selectExpr(*rest, "channel_code", "1L AS copies")
         # Without channels only the number of copies matters, and only to a sum.
-        if not by_channel and (stage.kind != SUM or self.lookup.unique):
-            return rows.drop("lookup_key").withColumns({"channel_code": other, "copies": one})
-        return rows.join(self._lookup_relation(by_channel), "lookup_key", "left").withColumns(
-            {
-                "channel_code": F.coalesce("channel_code", other),
-                "copies": F.coalesce("copies", one),
-            }
+        looks_up = stage.lookup_key is not None and (
+            by_channel or (stage.kind != DISTINCT and not self.lookup.unique)
+        )
+        if not looks_up:
+            return rows.selectExpr(*rest, f"{other} AS channel_code", "1L AS copies")
+        joined = rows.join(self._lookup_relation(by_channel), "lookup_key", "left")
+        return joined.selectExpr(
+            *rest,
+            f"coalesce(channel_code, {other}) AS channel_code",
+            "coalesce(copies, 1L) AS copies",
         )
 
     def partials(
@@ -159,28 +170,21 @@ class StageReader:
         )
         if first.kind == DISTINCT:
             return self._distinct_partials(rows, first, by_channel)
-        rows = self._attribute(rows, first, by_channel)
-        value = F.lit(1).cast("long") if first.kind == COUNT else F.col("value")
-        mask = _bit(F.col("channel_code")).alias("channel_mask")
-        return rows.select("metric_date", mask, "copies", value.alias(first.measure))
+        value = "1L" if first.kind == COUNT else "value"
+        return self._attribute(rows, first, by_channel).selectExpr(
+            "metric_date", f"{_BIT} AS channel_mask", "copies", f"{value} AS {first.measure}"
+        )
 
     def _distinct_partials(self, rows: DataFrame, stage: Stage, by_channel: bool) -> DataFrame:
-        key_is_value = stage.lookup_key is not None and stage.lookup_key == stage.value
-        if key_is_value:
+        if stage.counts_its_key:
             # Collapse repeats of a key before the join, however many rows one key has.
-            rows = rows.select("metric_date", "lookup_key").distinct()
-            if not by_channel:
-                rows = rows.withColumn("value", F.col("lookup_key"))
-        rows = self._attribute(rows, stage, by_channel)
-        if key_is_value and by_channel:
-            rows = rows.withColumn("value", F.col("lookup_key"))
+            rows = rows.distinct()
         # Copies are always positive. Naming them keeps the lookup the same for every stage,
         # so that Spark builds and shuffles it once.
-        bit = F.when(F.col("copies") > 0, _bit(F.col("channel_code")))
-        seen = rows.groupBy("metric_date", "value").agg(F.bit_or(bit).alias("channel_mask"))
-        return seen.select(
-            "metric_date",
-            "channel_mask",
-            F.lit(1).cast("long").alias("copies"),
-            F.col("value").isNotNull().cast("long").alias(stage.measure),
+        seen = (
+            self._attribute(rows, stage, by_channel)
+            .groupBy("metric_date", "value")
+            .agg(F.expr(f"bit_or(CASE WHEN copies > 0 THEN {_BIT} END) AS channel_mask"))
         )
+        counted = f"CAST(value IS NOT NULL AS BIGINT) AS {stage.measure}"
+        return seen.selectExpr("metric_date", "channel_mask", "1L AS copies", counted)

@@ -54,8 +54,8 @@ def validate_against_sot(
     compared = our_values.join(F.broadcast(their_values), "metric").filter(
         F.col("our_value").isNotNull() & (F.col("sot_value") != 0)
     )
-    difference = relative_difference(F.col("our_value"), F.col("sot_value"))
-    return compared.withColumn("pct_diff", difference).withColumn(
+    difference = relative_difference("our_value", "sot_value")
+    return compared.selectExpr("*", f"{difference} AS pct_diff").withColumn(
         "passed", F.col("pct_diff") <= tolerance
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_CHANNELS = 62
@@ -27,23 +27,23 @@ class ChannelMap:
         self.other_code = len(self.channels) - 1
 
     def relation(self, spark: SparkSession) -> DataFrame:
-        """``segment, channel_code``, one row per known segment."""
+        """``known_segment, channel_code``, one row per known segment."""
         if not self.channel_of:
-            return spark.createDataFrame([], "segment string, channel_code int")
+            return spark.createDataFrame([], "known_segment string, channel_code int")
         codes = {name: code for code, name in enumerate(self.channels)}
         rows, values = [], {}
         for i, (segment, channel) in enumerate(self.channel_of.items()):
             rows.append(f"(:segment{i}, {codes[channel]})")
             values[f"segment{i}"] = segment
-        text = f"SELECT * FROM VALUES {', '.join(rows)} AS channel_map(segment, channel_code)"
+        text = f"SELECT * FROM VALUES {', '.join(rows)} AS channel_map(known_segment, channel_code)"
         return spark.sql(text, args=values)
 
     def with_code(self, df: DataFrame, segment: str) -> DataFrame:
         """Add ``channel_code`` by a left join; the map is a literal, so it is broadcast."""
-        relation = self.relation(df.sparkSession).withColumnRenamed("segment", "known_segment")
-        joined = df.join(F.broadcast(relation), F.col(segment) == F.col("known_segment"), "left")
-        code: Column = F.coalesce("channel_code", F.lit(self.other_code))
-        return joined.drop("known_segment").withColumn("channel_code", code)
+        known = F.broadcast(self.relation(df.sparkSession))
+        joined = df.join(known, F.expr(f"{segment} = known_segment"), "left")
+        code = f"coalesce(channel_code, {self.other_code}) AS channel_code"
+        return joined.selectExpr(*df.columns, code)
 
 
 # The shipped four-channel taxonomy.
