@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatch.config import REVENUE_FUNNEL, AnomalyRules, MonitorConfig
 from tidewatch.functions import business_date
+from tidewatch.plans.engine import Binding
 from tidewatch.plans.funnel import FunnelSource
 from tidewatch.sources import ChannelMap, SqlSource
 
@@ -95,9 +96,18 @@ def funnel_source(spark: SparkSession, sf_dir: str) -> FunnelSource:
     return FunnelSource(funnel_roles(spark, sf_dir), channels=PRIORITY_CHANNELS)
 
 
+def funnel_binding(spark: SparkSession, sf_dir: str, validate: bool = True) -> Binding:
+    """The funnel with its source of truth, or without, where nothing is validated."""
+    source = funnel_source(spark, sf_dir)
+    return Binding(source, sot_of(source.roles) if validate else None)
+
+
 def source_of_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sot_of(funnel_roles(spark, sf_dir))
+
+
+def sot_of(roles: dict[str, DataFrame]) -> DataFrame:
     """Per-day totals without joins, distorted on set days so that every verdict occurs."""
-    roles = funnel_roles(spark, sf_dir)
 
     def per_day(role: str, time: str, *aggregates) -> DataFrame:
         df = roles[role]

@@ -14,6 +14,7 @@ from fixtures.events import EVENTS_MONITOR, events_sot, events_source
 from fixtures.funnel import (
     FUNNEL_MONITOR,
     REPORT_DATE,
+    funnel_binding,
     funnel_source,
     funnel_sql_source,
     source_of_truth,
@@ -53,39 +54,42 @@ FALLBACK_DATES = ("2001-11-10", "2002-01-01")
 REQUESTED = "revenue_funnel, events_health, not_registered"
 
 
-def engine(spark: SparkSession, sf_dir: str) -> MonitorEngine:
-    return MonitorEngine(
-        MonitorRegistry(FUNNEL_MONITOR, EVENTS_MONITOR),
-        {
-            "revenue_funnel": Binding(
-                funnel_source(spark, sf_dir), source_of_truth(spark, sf_dir)
-            ),
-            "events_health": Binding(events_source(spark, sf_dir), events_sot(spark, sf_dir)),
-        },
-    )
-
-
 def run(
-    spark: SparkSession, sf_dir: str, date=REPORT_DATE, form: str = "pivot", persist: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    date=REPORT_DATE,
+    form: str = "pivot",
+    persist: bool = False,
+    validate: bool = False,
 ) -> MonitorResult:
-    return engine(spark, sf_dir).run("revenue_funnel", date, persist, form)
+    """The funnel monitor on one date."""
+    binding = funnel_binding(spark, sf_dir, validate)
+    engine = MonitorEngine(MonitorRegistry(FUNNEL_MONITOR), {FUNNEL_MONITOR.key: binding})
+    return engine.run(FUNNEL_MONITOR.key, date, persist, form)
 
 
 def run_both(spark: SparkSession, sf_dir: str, persist: bool = False) -> list[MonitorResult]:
-    return engine(spark, sf_dir).run_all(REQUESTED, persist=persist)
+    """Both monitors, each on the latest date of its source of truth."""
+    engine = MonitorEngine(
+        MonitorRegistry(FUNNEL_MONITOR, EVENTS_MONITOR),
+        {
+            FUNNEL_MONITOR.key: funnel_binding(spark, sf_dir),
+            EVENTS_MONITOR.key: Binding(events_source(spark, sf_dir), events_sot(spark, sf_dir)),
+        },
+    )
+    return engine.run_all(REQUESTED, persist=persist)
 
 
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles and doubles rounded to 9 places, for comparison across engines."""
     columns = []
     for field in df.schema:
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
+        name = field.name
         if isinstance(field.dataType, (T.DecimalType, T.DoubleType)):
-            column = F.round(column, 9)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            columns.append(f"round(CAST({name} AS DOUBLE), 9) AS {name}")
+        else:
+            columns.append(name)
+    return df.selectExpr(*columns)
 
 
 def _stage(measure: str) -> Query:
@@ -114,14 +118,16 @@ def _detail(form: str) -> Query:
     return lambda spark, sf: comparable(run(spark, sf, form=form).detail)
 
 
-def _per_date(dates: Sequence[str], frame: Callable[[MonitorResult], DataFrame]) -> Query:
+def _per_date(
+    dates: Sequence[str], frame: Callable[[MonitorResult], DataFrame], validate: bool = False
+) -> Query:
     """A frame of one run per report date, stacked under a ``report_date`` column."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        runs = [run(spark, sf, date) for date in dates]
-        tagged = [
-            frame(r).select(F.lit(r.report_date).alias("report_date"), "*") for r in runs
-        ]
+        binding = funnel_binding(spark, sf, validate)
+        engine = MonitorEngine(MonitorRegistry(FUNNEL_MONITOR), {FUNNEL_MONITOR.key: binding})
+        runs = [engine.run(FUNNEL_MONITOR.key, date, persist=False) for date in dates]
+        tagged = [frame(r).selectExpr(f"DATE '{r.report_date}' AS report_date", "*") for r in runs]
         return comparable(reduce(DataFrame.unionByName, tagged))
 
     return query
@@ -191,12 +197,12 @@ def registered() -> dict[str, Query]:
         "raw_channel_pull": _of_run(lambda r: r.raw["channel"]),
         "latest_date": lambda spark, sf: latest_sot_date(source_of_truth(spark, sf)),
         "date_check": date_check,
-        "sot_validation": _per_date(VALIDATION_DATES, lambda r: r.validations),
+        "sot_validation": _per_date(VALIDATION_DATES, lambda r: r.validations, validate=True),
         "failed_validations": _per_date(
-            VALIDATION_DATES, lambda r: r.validations.filter(~F.col("passed"))
+            VALIDATION_DATES, lambda r: r.validations.filter(~F.col("passed")), validate=True
         ),
         "validation_verdict": _per_date(
-            VALIDATION_DATES, lambda r: validation_verdict(r.validations)
+            VALIDATION_DATES, lambda r: validation_verdict(r.validations), validate=True
         ),
         "anomalies": _of_run(lambda r: r.anomalies),
         "anomaly_counts": _per_date(ANOMALY_DATES, lambda r: anomaly_counts(r.anomalies)),
