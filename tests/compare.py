@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 import math
 from decimal import Decimal
 from pathlib import Path
@@ -55,3 +57,11 @@ def differences(spark_df, con, sql: str) -> list[str]:
             if x != y or type(x) is not type(y):
                 found.append(f"{name}: {x!r} != {y!r} in {a}")
     return found
+
+
+def plan_of(df) -> str:
+    """The physical plan as text."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()

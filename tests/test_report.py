@@ -1,0 +1,224 @@
+"""Report text, prompt block, findings, archive and payload."""
+
+import dataclasses
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch import AnomalyRules, Binding, MonitorEngine, MonitorRegistry
+from tidewatch.config import REVENUE_FUNNEL
+from tidewatch.functions.text import grouped, literal, percent, signed_percent, whole
+from tidewatch.operators.cost import run_costs
+from tidewatch.plans.report import (
+    archive_row,
+    channel_table,
+    findings_json,
+    headline,
+    prompt_texts,
+    report_texts,
+    scorecard,
+)
+from tidewatch.sources import ARCHIVE_SCHEMA, append_archive, exit_payload
+
+DAY = dt.date(2024, 6, 15)
+MONITOR = dataclasses.replace(REVENUE_FUNNEL, rules=AnomalyRules(0.10, 20))
+
+
+def day(n):
+    return str(DAY - dt.timedelta(days=n))
+
+
+@pytest.fixture
+def run(spark, daily_frame, frame_source):
+    daily = daily_frame(
+        [
+            (day(0), "overall", "overall", 1200, 300, 150, 200, 4500.0),
+            (day(7), "overall", "overall", 1000, 300, 150, 200, 4000.0),
+            (day(364), "overall", "overall", 1000, 300, 200, 200, 3000.0),
+            (day(0), "channel", "SEM", 1000, 200, 140, 150, 4000.0),
+            (day(364), "channel", "SEM", 800, 200, 180, 150, 2500.0),
+            (day(0), "channel", "SEO", 200, 100, 10, 50, 500.0),
+            (day(364), "channel", "SEO", 150, 90, 20, 50, 400.0),
+            (day(364), "channel", "Partnership", 50, 10, 0, 0, 100.0),
+        ]
+    )
+    sot = spark.createDataFrame(
+        [(DAY, 1200, 300, 150, 4500.0)],
+        "metric_date date, total_iv int, total_requests int, total_projects int, total_revenue double",
+    )
+    weekly = dataclasses.replace(
+        MONITOR, key="weekly", name="Weekly", comparisons=("wow",), growth=None, scorecard=()
+    )
+    source = frame_source(daily)
+    engine = MonitorEngine(
+        MonitorRegistry(MONITOR, weekly),
+        {"revenue_funnel": Binding(source, sot), "weekly": Binding(source)},
+    )
+    return engine.run_all("revenue_funnel, weekly", DAY)
+
+
+REPORT = """*Daily Revenue Funnel — 2024-06-15*
+
+*Headline:*
+• Revenue grew +50.0% YoY to $4,500.00, driven by monetization: top-of-funnel +20.0%, demand -37.5%, monetization +100.0%
+
+*Scorecard:*
+| Metric | Value | YoY | WoW |
+|--------|-------|-----|-----|
+| Intentful Visitors | 1,200 | +20.0% | +20.0% |
+| Requests | 300 | +0.0% | +0.0% |
+| Projects | 150 | -25.0% | +0.0% |
+| Revenue | $4,500.00 | +50.0% | +12.5% |
+| RPP | $30.00 | +100.0% | +12.5% |
+| PPR | 0.5000 | -25.0% | +0.0% |
+
+*Channel Breakdown:*
+| Channel | Revenue | YoY | Projects | YoY | RPP | YoY |
+|---------|---------|-----|----------|-----|-----|-----|
+| SEM | $4,000.00 | +60.0% | 140 | -22.2% | $28.57 | +105.7% |
+| SEO | $500.00 | +25.0% | 10 (small) | -50.0% | $50.00 | +150.0% |
+
+*YoY Growth Drivers:*
+• *Top-of-funnel:* +20.0% YoY, contributing +22.5% of revenue growth
+• *Demand:* -37.5% YoY, contributing -58.0% of revenue growth
+• *Monetization:* +100.0% YoY, contributing +85.5% of revenue growth
+• *Channel Partnership:* contributing -3.3% of revenue growth
+• *Channel SEM:* contributing +50.0% of revenue growth
+• *Channel SEO:* contributing +3.3% of revenue growth
+
+*Anomaly Flags:*
+• 5 YoY anomalies flagged
+• [HIGH] Projects per Request (PPR) in SEO: -55.0% yoy
+• [HIGH] Projects per Request (PPR) in overall: -25.0% yoy
+• [HIGH] Projects per Request (PPR) in SEM: -22.2% yoy
+• [MEDIUM] Requests per Intentful Visitor in SEM: -20.0% yoy
+• [MEDIUM] Requests per Intentful Visitor in overall: -16.7% yoy
+
+*Data Validation:*
+• Metrics cross-checked against SOT: PASS"""
+
+
+def test_report_text(run):
+    reports = {r.domain: r.report for r in report_texts(run).collect()}
+    got, want = reports["revenue_funnel"].split("\n"), REPORT.split("\n")
+    # The ratio 100/200 against 90/150 is -16.7% for SEO as well; its line follows the overall one.
+    extra = [line for line in got if line not in want]
+    assert extra == [
+        "• 6 YoY anomalies flagged",
+        "• [MEDIUM] Requests per Intentful Visitor in SEO: -16.7% yoy",
+    ]
+    assert [line for line in got if line in want] == [line for line in want if line in got]
+    assert "NOT CHECKED" not in reports["weekly"] and "0 YoY anomalies" in reports["weekly"]
+
+
+def test_scorecard_and_channel_table(run):
+    rows = scorecard(run[0].summary, run[0].config).orderBy("position").collect()
+    assert [r.label for r in rows] == [
+        "Intentful Visitors",
+        "Requests",
+        "Projects",
+        "Revenue",
+        "RPP",
+        "PPR",
+    ]
+    table = {r.dimension: r for r in channel_table(run[0].breakdown, run[0].config).collect()}
+    assert set(table) == {"SEM", "SEO"}
+    assert (table["SEO"].small_denominator, table["SEM"].small_denominator) == (True, False)
+
+
+def test_prompt_text(run):
+    prompts = {r.domain: r.prompt for r in prompt_texts(run).collect()}
+    text = prompts["revenue_funnel"]
+    assert text.startswith("## Monitor: Revenue Funnel Daily Monitor\nReport date: 2024-06-15\nContext: ")
+    record = json.loads(text.split("### Overall Summary\n")[1].split("\n\n###")[0])
+    assert record["dimension"] == "overall" and record["metric_date"] == "2024-06-15"
+    assert record["iv_to_request_yoy"] == -0.1667
+    breakdown = text.split("### Breakdown by Dimension\n")[1].split("\n\n###")[0]
+    assert '"SEM"' in breakdown and '"SEO"' in breakdown and "overall" not in breakdown
+    # SEM had no row a week ago, so its week-over-week fields are left out.
+    assert "requests_wow" not in breakdown
+    assert "### Pre-Flagged Anomalies (6 total)" in text
+    assert (
+        "  - [HIGH] Projects per Request (PPR) in overall: -25.0% yoy"
+        " (current: 0.5000, prior: 0.6667, threshold: 10%)" in text
+    )
+    assert text.endswith("### SOT Cross-Validation\n  All 4 metrics passed (within 0.2% tolerance)")
+    assert "No anomalies flagged." in prompts["weekly"] and "SOT" not in prompts["weekly"]
+
+
+def test_prompt_lists_checks_when_one_fails(spark, run):
+    sot = spark.createDataFrame(
+        [(DAY, 1200, 300, 150, 4000.0)],
+        "metric_date date, total_iv int, total_requests int, total_projects int, total_revenue double",
+    )
+    failing = dataclasses.replace(run[0], sot=sot)
+    text = prompt_texts([failing]).first().prompt
+    assert "  - revenue: ours=4,500.00, SOT=4,000.00, diff=12.50% [FAIL]" in text
+    assert "  - requests: ours=300.00, SOT=300.00, diff=0.00% [PASS]" in text
+    assert "metrics passed" not in text
+    assert "cross-checked against SOT: FAIL" in report_texts([failing]).first().report
+
+
+def test_findings(run):
+    found = json.loads(findings_json(run).first().findings_json)
+    assert [f["severity"] for f in found] == ["high"] * 3 + ["medium"] * 3
+    assert found[0]["domains"] == ["revenue_funnel"] and found[0]["hypotheses"] == []
+    assert {f["action"] for f in found} == {"investigate", "monitor"}
+    assert json.loads(findings_json(run[1:]).first().findings_json) == []
+
+
+def test_headline_without_data(spark, run, daily_frame, frame_source):
+    config = run[0].config
+    for rows, expected in (
+        ([], "No data for this day"),
+        (
+            [(day(0), "overall", "overall", 1, 1, 1, 1, 5.0)],
+            "Revenue is $5.00, without a prior year",
+        ),
+    ):
+        engine = MonitorEngine(
+            MonitorRegistry(config), {config.key: Binding(frame_source(daily_frame(rows)))}
+        )
+        assert headline(engine.run(config.key, DAY)).first().headline == expected
+
+
+def test_archive_and_payload(spark, run, tmp_path):
+    usage = spark.createDataFrame(
+        [("o3", 1_000_000, 0, 0)],
+        "model string, input_tokens bigint, cached_tokens bigint, output_tokens bigint",
+    )
+    row = archive_row(run, ["revenue_funnel", "weekly", "gone"], run_costs(usage))
+    location = str(tmp_path / "archive")
+    append_archive(row, location)
+    append_archive(archive_row(run[:1], ["revenue_funnel"]), location)
+    saved = spark.read.parquet(location).orderBy(F.length("monitors_run"))
+    assert saved.schema == ARCHIVE_SCHEMA
+    single, both = saved.collect()
+    assert (both.report_date, both.anomaly_count, both.token_cost_usd) == (DAY, 6, 10.0)
+    assert both.monitors_run == "revenue_funnel,weekly,gone"
+    assert "\n\n---\n\n" in both.markdown_report and single.token_cost_usd == 0.0
+    assert both.headline.startswith("Revenue grew +50.0%") and len(json.loads(both.findings_json)) == 6
+    payload = json.loads(exit_payload(saved.filter("token_cost_usd > 0")).first().payload)
+    assert payload == {
+        "report": both.markdown_report,
+        "headline": both.headline,
+        "report_date": "2024-06-15",
+    }
+    append_archive(row, "archive_table")
+    assert spark.table("archive_table").count() == 1
+    with pytest.raises(ValueError):
+        archive_row([], [])
+
+
+def test_formats(spark):
+    row = spark.range(1).select(
+        signed_percent(F.lit(0.1234)).alias("a"),
+        signed_percent(F.lit(None).cast("double")).alias("b"),
+        percent(F.lit(0.002), 1).alias("c"),
+        grouped(F.lit(1234567.891)).alias("d"),
+        whole(F.lit(1234567)).alias("e"),
+        F.expr(literal("it's a \\ test")).alias("f"),
+    ).first()
+    assert tuple(row) == ("+12.3%", "n/a", "0.2%", "1,234,567.89", "1,234,567", "it's a \\ test")
