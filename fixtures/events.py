@@ -57,32 +57,21 @@ EVENTS_MONITOR = MonitorConfig(
 
 def event_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     events = read(spark, sf_dir, "events")
-    bucket = F.get_json_object("props", "$.k").cast("int") % 5
-    segment = F.concat(F.lit("s"), bucket.cast("string")).alias("segment")
-    ntz = T.TimestampNTZType()
+    segment = "concat('s', CAST(get_json_object(props, '$.k') AS int) % 5) AS segment"
+    day = business_date("ts", T.TimestampNTZType())
 
-    def of_type(kind: str, *columns) -> DataFrame:
-        return events.filter(F.col("event_type") == kind).select(*columns)
+    def of_type(kind: str, *columns: str) -> DataFrame:
+        return events.filter(f"event_type = '{kind}'").selectExpr(*columns)
 
-    request_pk = F.col("user_id").alias("request_pk")
+    key = "user_id AS request_pk"
     return {
-        "visits": of_type("view", F.expr(business_date("ts", ntz)).alias("visit_date"), segment),
-        "requests": of_type(
-            "signup", request_pk, F.col("ts").alias("request_created_time"), segment
-        ),
-        "clicks": of_type(
-            "click",
-            F.col("event_id").alias("contact_pk"),
-            request_pk,
-            F.col("ts").alias("click_time"),
-        ),
+        "visits": of_type("view", f"{day} AS visit_date", segment),
+        "requests": of_type("signup", key, "ts AS request_created_time", segment),
+        "clicks": of_type("click", "event_id AS contact_pk", key, "ts AS click_time"),
         "purchases": of_type(
-            "purchase",
-            request_pk,
-            F.col("ts").alias("purchase_time"),
-            F.col("value").cast("decimal(18,2)").alias("amount"),
+            "purchase", key, "ts AS purchase_time", "CAST(value AS decimal(18,2)) AS amount"
         ),
-        "errors": of_type("error", F.col("ts").alias("error_time"), segment),
+        "errors": of_type("error", "ts AS error_time", segment),
     }
 
 

@@ -33,62 +33,62 @@ FUNNEL_MONITOR: MonitorConfig = dataclasses.replace(
 )
 
 
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A table with its schema given, so that no job has to look for it."""
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+PRICE = "CAST(l_extendedprice AS decimal(18,2))"
+NET = f"CAST({PRICE} * (1 - CAST(l_discount AS decimal(4,2))) AS decimal(18,4))"
+MONEY = "decimal(18,4)"
 
 
 def funnel_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = read(spark, sf_dir, "orders")
     lineitem = read(spark, sf_dir, "lineitem")
-    ntz = T.TimestampNTZType()
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
-    net = (price * (F.lit(1) - discount)).cast("decimal(18,4)")
-    key = F.col("l_orderkey").alias("request_pk")
-
-    visits = orders.select(
-        F.expr(business_date("o_orderdate", ntz)).alias("visit_date"),
-        F.col("o_orderpriority").alias("segment"),
-    )
-    requests = orders.select(
-        F.col("o_orderkey").alias("request_pk"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("request_created_time"),
-        F.col("o_orderpriority").alias("segment"),
-    )
-    projects = lineitem.select(
-        key,
-        F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("project_created_time"),
-    )
-    contacts = lineitem.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("contact_pk"),
-        key,
-        F.col("l_shipdate").alias("contact_created_time"),
-    )
-    rev_a = lineitem.filter(F.col("l_linestatus") == "F").select(
-        key, F.col("l_shipdate").alias("transaction_timestamp"), net.alias("gross_revenue")
-    )
-
-    def adjustment(condition, amount):
-        return F.when(condition, amount.cast("decimal(18,4)"))
-
-    tenth = F.lit("0.1").cast("decimal(2,1)")
-    twentieth = F.lit("0.05").cast("decimal(3,2)")
-    rev_b = lineitem.filter(F.col("l_linestatus") == "O").select(
-        key,
-        F.col("l_shipdate").alias("ts"),
-        F.when(F.col("l_quantity") > 1, net).alias("net_revenue"),
-        adjustment(F.col("l_returnflag") == "R", -price * tenth).alias("refund"),
-        adjustment(F.col("l_quantity") > 40, -price * twentieth).alias("payout"),
-        adjustment(F.col("l_tax") == 0, F.lit(1)).alias("transfer_reversal"),
-        adjustment(F.col("l_linenumber") == 7, F.lit(5)).alias("cancellation_revenue"),
-    )
+    order_day = business_date("o_orderdate", T.TimestampNTZType())
     return {
-        "visits": visits,
-        "requests": requests,
-        "projects": projects,
-        "contacts": contacts,
-        "rev_a": rev_a,
-        "rev_b": rev_b,
+        "visits": orders.selectExpr(f"{order_day} AS visit_date", "o_orderpriority AS segment"),
+        "requests": orders.selectExpr(
+            "o_orderkey AS request_pk",
+            "CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS request_created_time",
+            "o_orderpriority AS segment",
+        ),
+        "projects": lineitem.selectExpr(
+            "l_orderkey AS request_pk",
+            "CASE WHEN l_returnflag <> 'R' THEN l_shipdate END AS project_created_time",
+        ),
+        "contacts": lineitem.selectExpr(
+            "l_orderkey * 10 + l_linenumber AS contact_pk",
+            "l_orderkey AS request_pk",
+            "l_shipdate AS contact_created_time",
+        ),
+        "rev_a": lineitem.filter("l_linestatus = 'F'").selectExpr(
+            "l_orderkey AS request_pk",
+            "l_shipdate AS transaction_timestamp",
+            f"{NET} AS gross_revenue",
+        ),
+        "rev_b": lineitem.filter("l_linestatus = 'O'").selectExpr(
+            "l_orderkey AS request_pk",
+            "l_shipdate AS ts",
+            f"CASE WHEN l_quantity > 1 THEN {NET} END AS net_revenue",
+            f"CASE WHEN l_returnflag = 'R' THEN CAST(-{PRICE} * 0.1BD AS {MONEY}) END AS refund",
+            f"CASE WHEN l_quantity > 40 THEN CAST(-{PRICE} * 0.05BD AS {MONEY}) END AS payout",
+            f"CASE WHEN l_tax = 0 THEN CAST(1 AS {MONEY}) END AS transfer_reversal",
+            f"CASE WHEN l_linenumber = 7 THEN CAST(5 AS {MONEY}) END AS cancellation_revenue",
+        ),
     }
 
 

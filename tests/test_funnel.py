@@ -232,3 +232,12 @@ def test_many_channels_use_all_bits(spark):
     daily = FunnelSource(roles, [stage], None, many).daily(["overall", "channel"], WINDOW)
     got = {r.dimension: r.things for r in daily.collect()}
     assert got == {"overall": 2, "Other": 1} | {f"c{i}": 1 for i in range(61)}
+
+
+def test_long_map_is_joined_with_the_same_result(spark, monkeypatch):
+    data = random_data(8)
+    source = source_of(spark, data)
+    short = rows_of(source.daily(["channel"], WINDOW))
+    monkeypatch.setattr("tidewatch.sources.channels.LONGEST_CASE", 0)
+    joined = source_of(spark, data).daily(["channel"], WINDOW)
+    assert rows_of(joined) == short == brute_force(data, "channel", WINDOW)

@@ -7,7 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.functions.text import literal
+
 MAX_CHANNELS = 62
+LONGEST_CASE = 64
 
 
 class ChannelMap:
@@ -39,12 +42,30 @@ class ChannelMap:
         return spark.sql(text, args=values)
 
     def with_code(self, df: DataFrame, segment: str) -> DataFrame:
-        """Add ``channel_code`` by a left join; the map is a literal, so it is broadcast."""
+        """Add ``channel_code`` of the segment.
+
+        A short map is spelled out as a CASE expression: Spark then has no join to plan and
+        estimates the size of the frame rightly, which lets it broadcast a small lookup. A
+        longer one is joined; being a literal, it is small enough to broadcast.
+        """
+        if len(self.channel_of) <= LONGEST_CASE:
+            return df.selectExpr(*df.columns, f"{self.code_of(segment)} AS channel_code")
         known = F.broadcast(self.relation(df.sparkSession))
         joined = df.join(known, F.expr(f"{segment} = known_segment"), "left")
         code = f"coalesce(channel_code, {self.other_code}) AS channel_code"
         return joined.selectExpr(*df.columns, code)
 
+    def code_of(self, segment: str) -> str:
+        """SQL for the channel code of a segment."""
+        branches = []
+        for code, channel in enumerate(self.channels):
+            names = [literal(s) for s, c in self.channel_of.items() if c == channel]
+            if names and code != self.other_code:
+                branches.append(f"WHEN {segment} IN ({', '.join(names)}) THEN {code}")
+        if not branches:
+            return str(self.other_code)
+        return f"CASE {' '.join(branches)} ELSE {self.other_code} END"
+
 
 # The shipped four-channel taxonomy.
 MARKETING_CHANNELS = ChannelMap(
