@@ -113,3 +113,11 @@ def test_hot_keys_are_split_by_the_adaptive_join(spark):
         df = source.measure("contacts", "channel", ALL_TIME)
         assert sum(r.contacts for r in df.collect()) == 40000
         assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranking_computes_the_funnel_once(spark):
+    df = run(spark, SF_DIR).anomalies
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Six stages and the lookup are scanned once each.
+    assert final.count("FileScan") == 7
