@@ -206,11 +206,9 @@ def funnel_sql_source(spark: SparkSession, sf_dir: str) -> SqlSource:
     ntz = T.TimestampNTZType()
 
     def labelled(role: str) -> DataFrame:
-        coded = PRIORITY_CHANNELS.with_code(roles[role], "segment")
-        names = F.array(*[F.lit(c) for c in PRIORITY_CHANNELS.channels])
-        return coded.withColumns(
-            {"everything": F.lit("overall"), "channel": names[F.col("channel_code")]}
-        )
+        coded = PRIORITY_CHANNELS.join(roles[role], "segment")
+        channel = f"{PRIORITY_CHANNELS.names()}[channel_code] AS channel"
+        return coded.selectExpr("*", "'overall' AS everything", channel)
 
     def dated(df: DataFrame, time: str, name: str) -> DataFrame:
         return df.selectExpr("*", f"{business_date(time, ntz)} AS {name}")

@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 from fixtures.events import EVENTS_MONITOR, events_sot, events_source
 from fixtures.funnel import (
     FUNNEL_MONITOR,
+    PRIORITY_CHANNELS,
     REPORT_DATE,
     funnel_binding,
+    funnel_roles,
     funnel_source,
     funnel_sql_source,
     source_of_truth,
@@ -163,6 +165,26 @@ def archive(spark: SparkSession, sf: str) -> DataFrame:
     return archive_row(results, parse_keys(REQUESTED), costs)
 
 
+def channel_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Visits per segment and the channel the lookup join gives it."""
+    visits = PRIORITY_CHANNELS.join(funnel_roles(spark, sf)["visits"], "segment")
+    channel = f"{PRIORITY_CHANNELS.names()}[channel_code] AS channel"
+    return visits.selectExpr("segment", channel).groupBy("segment", "channel").agg(
+        F.count("*").alias("visits")
+    )
+
+
+def anomaly_items(result: MonitorResult) -> DataFrame:
+    section = anomaly_section(result.anomalies)
+    return section.selectExpr("anomaly_count", "posexplode(items) AS (position, item)")
+
+
+def archive_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive row without its texts and its time of writing."""
+    columns = ("report_date", "anomaly_count", "monitors_run", "token_cost_usd")
+    return comparable(archive(spark, sf).select(*columns))
+
+
 def token_cost(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(cost_by_model(run_costs(conversation_usage(spark, sf))))
 
@@ -213,7 +235,9 @@ def registered() -> dict[str, Query]:
         "channel_contribution": _of_run(lambda r: r.contributions),
         "multi_monitor": lambda spark, sf: comparable(stack_details(run_both(spark, sf))),
         "token_cost": token_cost,
-        "anomaly_section": _of_run(lambda r: anomaly_section(r.anomalies)),
+        "channel_lookup": channel_lookup,
+        "anomaly_section": _of_run(anomaly_items),
+        "archive_numbers": archive_numbers,
         "report_text": _of_both(report_texts),
         "prompt_text": _of_both(prompt_texts),
         "findings_json": _of_both(findings_json),

@@ -213,12 +213,12 @@ def test_archive_and_payload(spark, run, tmp_path):
 
 
 def test_formats(spark):
-    row = spark.range(1).select(
-        signed_percent(F.lit(0.1234)).alias("a"),
-        signed_percent(F.lit(None).cast("double")).alias("b"),
-        percent(F.lit(0.002), 1).alias("c"),
-        grouped(F.lit(1234567.891)).alias("d"),
-        whole(F.lit(1234567)).alias("e"),
-        F.expr(literal("it's a \\ test")).alias("f"),
+    row = spark.range(1).selectExpr(
+        f"{signed_percent('0.1234D')} AS a",
+        f"{signed_percent('CAST(NULL AS DOUBLE)')} AS b",
+        f"{percent('0.002D', 1)} AS c",
+        f"{grouped('1234567.891D')} AS d",
+        f"{whole('1234567')} AS e",
+        literal("it's a \\ test") + " AS f",
     ).first()
     assert tuple(row) == ("+12.3%", "n/a", "0.2%", "1,234,567.89", "1,234,567", "it's a \\ test")

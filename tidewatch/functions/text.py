@@ -1,9 +1,8 @@
-"""Number and record formats for reports."""
+"""SQL for number and record formats in reports."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MISSING = "n/a"
@@ -14,44 +13,46 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _or_missing(value: Column, text: Column) -> Column:
-    return F.when(value.isNotNull(), text).otherwise(MISSING)
+def _or_missing(value: str, text: str) -> str:
+    return f"CASE WHEN {value} IS NOT NULL THEN {text} ELSE '{MISSING}' END"
 
 
-def signed_percent(value: Column) -> Column:
+def signed_percent(value: str) -> str:
     """``+12.3%``."""
-    return _or_missing(value, F.format_string("%+.1f%%", value * 100))
+    return _or_missing(value, f"format_string('%+.1f%%', ({value}) * 100)")
 
 
-def percent(value: Column, digits: int) -> Column:
-    return _or_missing(value, F.format_string(f"%.{digits}f%%", value * 100))
+def percent(value: str, digits: int) -> str:
+    return _or_missing(value, f"format_string('%.{digits}f%%', ({value}) * 100)")
 
 
-def whole(value: Column) -> Column:
+def whole(value: str) -> str:
     """``1,234``."""
-    return _or_missing(value, F.format_number(value, 0))
+    return _or_missing(value, f"format_number({value}, 0)")
 
 
-def grouped(value: Column) -> Column:
+def grouped(value: str) -> str:
     """``1,234.50``."""
-    return _or_missing(value, F.format_number(value, 2))
+    return _or_missing(value, f"format_number({value}, 2)")
 
 
-def money(value: Column) -> Column:
-    return _or_missing(value, F.concat(F.lit("$"), F.format_number(value, 2)))
+def money(value: str) -> str:
+    return _or_missing(value, f"concat('$', format_number({value}, 2))")
 
 
-def four_places(value: Column) -> Column:
-    return _or_missing(value, F.format_string("%.4f", value))
+def four_places(value: str) -> str:
+    return _or_missing(value, f"format_string('%.4f', {value})")
 
 
 STYLES = {"count": whole, "money": money, "ratio": four_places}
 
 
-def record_json(df: DataFrame, columns: list[str]) -> Column:
+def record_json(df: DataFrame) -> str:
     """A row as indented JSON: NULL fields left out, fractions rounded to 4 places."""
-    fields = []
-    for name in columns:
-        fraction = isinstance(df.schema[name].dataType, T.FractionalType)
-        fields.append((F.round(name, 4) if fraction else F.col(name)).alias(name))
-    return F.to_json(F.struct(*fields), {"pretty": "true"})
+    fields = [
+        f"round({field.name}, 4) AS {field.name}"
+        if isinstance(field.dataType, T.FractionalType)
+        else field.name
+        for field in df.schema
+    ]
+    return f"to_json(struct({', '.join(fields)}), map('pretty', 'true'))"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import MonitorConfig, RatioMetric
+from tidewatch.functions.text import literal
 from tidewatch.operators.ranking import add_global_rank
 
 HIGH, MEDIUM = "high", "medium"
@@ -25,26 +26,28 @@ ANOMALY_COLUMNS = (
 )
 
 
-def _metric_row(detail: DataFrame, position: int, metric: RatioMetric):
-    def column(name: str):
-        return F.col(name) if name in detail.columns else F.lit(None)
+def by_metric(detail: DataFrame, config: MonitorConfig) -> DataFrame:
+    """The detail frame with one row per dimension value and ratio metric."""
+    have = set(detail.columns)
 
-    return F.struct(
-        F.lit(position).alias("metric_order"),
-        F.lit(metric.key).alias("metric"),
-        F.lit(metric.label).alias("metric_label"),
-        column(metric.key).cast("double").alias("current_value"),
-        column(f"{metric.key}_yoy_prior").cast("double").alias("prior_value"),
-        column(f"{metric.key}_yoy").cast("double").alias("pct_change"),
-        column(metric.denominator).cast("double").alias("denominator"),
-        F.lit(metric.direction).alias("direction"),
-    )
+    def number(column: str, name: str) -> str:
+        return f"CAST({column if column in have else 'NULL'} AS DOUBLE) AS {name}"
 
+    def row(position: int, metric: RatioMetric) -> str:
+        fields = [
+            f"{position} AS metric_order",
+            f"{literal(metric.key)} AS metric",
+            f"{literal(metric.label)} AS metric_label",
+            number(metric.key, "current_value"),
+            number(f"{metric.key}_yoy_prior", "prior_value"),
+            number(f"{metric.key}_yoy", "pct_change"),
+            number(metric.denominator, "denominator"),
+            f"{literal(metric.direction)} AS direction",
+        ]
+        return f"struct({', '.join(fields)})"
 
-def by_metric(detail: DataFrame, config: MonitorConfig) -> DataFrame:
-    """The detail frame with one row per dimension value and ratio metric."""
-    rows = [_metric_row(detail, i, m) for i, m in enumerate(config.metrics)]
-    return detail.select("metric_date", "dim_type", "dimension", F.inline(F.array(*rows)))
+    rows = ", ".join(row(i, m) for i, m in enumerate(config.metrics))
+    return detail.selectExpr("metric_date", "dim_type", "dimension", f"inline(array({rows}))")
 
 
 def detect_anomalies(detail: DataFrame, config: MonitorConfig) -> DataFrame:
@@ -54,33 +57,25 @@ def detect_anomalies(detail: DataFrame, config: MonitorConfig) -> DataFrame:
     comparisons there is nothing to flag (T13); volumes and week-over-week moves are never
     flagged (T12).
     """
-    threshold = config.rules.yoy_threshold
-    size = F.abs("pct_change")
-    denominator = F.col("denominator")
-    harmful = F.when(F.col("direction") == "up", F.col("pct_change") < 0).otherwise(
-        F.col("pct_change") > 0
-    )
+    threshold = float(config.rules.yoy_threshold)
     flagged = by_metric(detail, config).filter(
-        (denominator.isNull() | (denominator >= config.rules.min_denominator))
-        & (size > threshold)
-        & harmful
-    )
-    severity = F.when(size > 2 * threshold, HIGH).otherwise(MEDIUM)
-    level_order = F.array_position(
-        F.array(*[F.lit(level) for level in config.dimensions]), F.col("dim_type")
+        f"(denominator IS NULL OR denominator >= {config.rules.min_denominator})"
+        f" AND abs(pct_change) > {threshold!r}D"
+        " AND CASE direction WHEN 'up' THEN pct_change < 0 ELSE pct_change > 0 END"
     )
-    keyed = flagged.withColumns(
-        {
-            "comparison": F.lit("yoy"),
-            "threshold": F.lit(float(threshold)),
-            "severity": severity,
-            "_severity_order": F.when(size > 2 * threshold, 0).otherwise(1),
-            "_size_order": (-F.floor(F.log2(size) * 64)).cast("int"),
-            "_level_order": level_order,
-        }
+    high = f"abs(pct_change) > {2 * threshold!r}D"
+    levels = ", ".join(literal(level) for level in config.dimensions)
+    keyed = flagged.selectExpr(
+        "*",
+        "'yoy' AS comparison",
+        f"{threshold!r}D AS threshold",
+        f"CASE WHEN {high} THEN '{HIGH}' ELSE '{MEDIUM}' END AS severity",
+        f"CASE WHEN {high} THEN 0 ELSE 1 END AS severity_order",
+        "CAST(-floor(log2(abs(pct_change)) * 64) AS INT) AS size_order",
+        f"array_position(array({levels}), dim_type) AS level_order",
     )
-    order = [size.desc(), F.col("metric_order"), F.col("_level_order"), F.col("dimension")]
-    ranked = add_global_rank(keyed, ["_severity_order", "_size_order"], order)
+    order = [F.abs("pct_change").desc(), "metric_order", "level_order", "dimension"]
+    ranked = add_global_rank(keyed, ["severity_order", "size_order"], order)
     return ranked.select(*ANOMALY_COLUMNS)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def add_global_rank(
-    df: DataFrame, bucket: Sequence[str], order: Sequence[Column], name: str = "rank"
+    df: DataFrame, bucket: Sequence[str], order: Sequence[Column | str], name: str = "rank"
 ) -> DataFrame:
     """Number rows from 1 in the order ``bucket`` ascending, then ``order`` inside a bucket.
 

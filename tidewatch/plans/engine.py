@@ -79,6 +79,10 @@ class MonitorResult:
     sot: DataFrame | None
     comparison: DataFrame
     form: str = "pivot"
+    persist: bool = False
+
+    def _kept(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.persist else df
 
     @property
     def domain(self) -> str:
@@ -112,7 +116,7 @@ class MonitorResult:
     def detail(self) -> DataFrame:
         """Current, prior and change of every column, one row per dimension value (M5)."""
         daily = add_ratio_metrics(self.comparison, self.config)
-        return add_deltas(daily, self.config, self.anchor, self.form)
+        return self._kept(add_deltas(daily, self.config, self.anchor, self.form))
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -128,14 +132,16 @@ class MonitorResult:
 
     @cached_property
     def anomalies(self) -> DataFrame:
-        return detect_anomalies(self.detail, self.config)
+        return self._kept(detect_anomalies(self.detail, self.config))
 
     @cached_property
     def validations(self) -> DataFrame | None:
         if self.sot is None:
             return None
-        return validate_against_sot(
-            self.summary, self.sot, self.report_date, self.config.sot_columns
+        return self._kept(
+            validate_against_sot(
+                self.summary, self.sot, self.report_date, self.config.sot_columns
+            )
         )
 
     @cached_property
@@ -147,7 +153,10 @@ class MonitorResult:
         return channel_contribution(self.comparison, self.anchor, self.config.growth.revenue)
 
     def unpersist(self) -> None:
-        self.comparison.unpersist()
+        """Let go of the frames a persisted run keeps."""
+        for df in (self.validations, self.anomalies, self.detail, self.comparison):
+            if df is not None:
+                df.unpersist()
 
 
 class MonitorEngine:
@@ -177,8 +186,8 @@ class MonitorEngine:
         """Plan one monitor (M8).
 
         Two small driver actions settle the dates; everything else stays lazy. With the dates
-        known, only the compared days are read, not the whole lookback. ``persist`` keeps that
-        small frame, which summary, breakdown, anomalies and report all start from.
+        known, only the compared days are read, not the whole lookback. ``persist`` keeps the
+        small frames that summary, breakdown and report start from, once they are first used.
         """
         config = self.registry[key]
         binding = self.bindings[key]
@@ -190,7 +199,7 @@ class MonitorEngine:
         if persist:
             comparison = comparison.persist(StorageLevel.MEMORY_AND_DISK)
         return MonitorResult(
-            config, report_date, anchor, binding.source, binding.sot, comparison, form
+            config, report_date, anchor, binding.source, binding.sot, comparison, form, persist
         )
 
     def run_all(

@@ -11,13 +11,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.config import MonitorConfig
 from tidewatch.functions.text import (
     STYLES,
     four_places,
     grouped,
+    literal,
     money,
     percent,
     record_json,
@@ -29,22 +29,23 @@ from tidewatch.operators.growth import growth_decomposition
 from tidewatch.operators.validation import VALIDATION_TOLERANCE, validation_verdict
 from tidewatch.plans.engine import MonitorResult
 
-HYPOTHESES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("claim", T.StringType()),
-            T.StructField("evidence", T.ArrayType(T.StringType())),
-            T.StructField("confidence", T.StringType()),
-            T.StructField("next_step", T.StringType()),
-        ]
-    )
-)
-DRIVER_NAMES = {
-    "top_of_funnel": "top-of-funnel",
-    "conversion": "demand",
-    "monetization": "monetization",
-}
+HYPOTHESES = "array<struct<claim:string,evidence:array<string>,confidence:string,next_step:string>>"
 NO_ANOMALIES = "No anomalies flagged."
+SEPARATOR = "\n\n---\n\n"
+
+DRIVER = (
+    "CASE driver WHEN 'top_of_funnel' THEN 'top-of-funnel' WHEN 'conversion' THEN 'demand'"
+    " ELSE driver END"
+)
+ANOMALY = (
+    "concat('[', upper(severity), '] ', metric_label, ' in ', dimension, ': ', "
+    f"{signed_percent('pct_change')}, ' ', comparison)"
+)
+
+
+def _in_order(struct: str, field: str) -> str:
+    """SQL for ``field`` of every row, as an array ordered by the struct."""
+    return f"transform(array_sort(collect_list(struct({struct}))), x -> x.{field})"
 
 
 # --- tables -------------------------------------------------------------------------------
@@ -52,24 +53,19 @@ NO_ANOMALIES = "No anomalies flagged."
 
 def scorecard(summary: DataFrame, config: MonitorConfig) -> DataFrame:
     """``position, metric, label, style, value, yoy, wow`` in the configured order."""
+    have = set(summary.columns)
 
-    def column(name: str) -> Column:
-        return (F.col(name) if name in summary.columns else F.lit(None)).cast("double")
+    def number(column: str, name: str) -> str:
+        return f"CAST({column if column in have else 'NULL'} AS DOUBLE) AS {name}"
 
     rows = [
-        F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(line.column).alias("metric"),
-            F.lit(line.label).alias("label"),
-            F.lit(line.style).alias("style"),
-            column(line.column).alias("value"),
-            column(f"{line.column}_yoy").alias("yoy"),
-            column(f"{line.column}_wow").alias("wow"),
-        )
-        for i, line in enumerate(config.scorecard)
-        if line.column in summary.columns
+        f"struct({i} AS position, {literal(line.column)} AS metric, {literal(line.label)} AS label,"
+        f" {literal(line.style)} AS style, {number(line.column, 'value')},"
+        f" {number(line.column + '_yoy', 'yoy')}, {number(line.column + '_wow', 'wow')})"
+        for i, line in enumerate(config.scorecard, 1)
+        if line.column in have
     ]
-    return summary.select(F.inline(F.array(*rows)))
+    return summary.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def channel_table(breakdown: DataFrame, config: MonitorConfig) -> DataFrame:
@@ -80,88 +76,50 @@ def channel_table(breakdown: DataFrame, config: MonitorConfig) -> DataFrame:
         for m in config.metrics
         if (m.numerator, m.denominator) == (growth.revenue, growth.orders)
     )
-    columns = []
-    for name in (growth.revenue, growth.orders, per_order):
-        columns += [F.col(name), F.col(f"{name}_yoy")]
-    small = F.col(growth.orders) < config.rules.min_denominator
-    return breakdown.select("dimension", *columns, small.alias("small_denominator"))
-
-
-def _driver_name() -> Column:
-    names = F.create_map(*[F.lit(x) for pair in DRIVER_NAMES.items() for x in pair])
-    return F.element_at(names, F.col("driver"))
+    columns = [
+        x for name in (growth.revenue, growth.orders, per_order) for x in (name, f"{name}_yoy")
+    ]
+    small = f"{growth.orders} < {config.rules.min_denominator} AS small_denominator"
+    return breakdown.selectExpr("dimension", *columns, small)
 
 
 def headline(result: MonitorResult) -> DataFrame:
     """One row with the headline: revenue growth and what each driver did to it."""
     growth = result.config.growth
     if growth is None:
-        count = anomaly_counts(result.anomalies)
-        text = F.format_string(f"{result.name}: %d anomalies flagged", F.col("anomaly_count"))
-        return count.select(text.alias("headline"))
-    drivers = growth_decomposition(result.summary, growth)
-    entry = F.struct(
-        "position",
-        F.concat(_driver_name(), F.lit(" "), signed_percent(F.col("factor_yoy"))).alias("text"),
-    )
-    totals = result.summary.agg(
-        F.max(growth.revenue).alias("revenue"), F.max(f"{growth.revenue}_yoy").alias("yoy")
-    )
+        text = f"concat({literal(result.name)}, ': ', anomaly_count, ' anomalies flagged')"
+        return anomaly_counts(result.anomalies).selectExpr(f"{text} AS headline")
+    totals = result.summary.selectExpr(
+        f"{growth.revenue} AS revenue", f"{growth.revenue}_yoy AS yoy"
+    ).agg(F.max("revenue").alias("revenue"), F.max("yoy").alias("yoy"))
+    part = f"concat({DRIVER}, ' ', {signed_percent('factor_yoy')}) AS text"
     # Three rows at most, one per driver.
-    parts = drivers.agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"]), ", "
-        ).alias("parts"),
-        F.max_by(
-            _driver_name(), F.col("contribution") * F.signum(F.col("revenue_yoy"))
-        ).alias("main"),
+    drivers = growth_decomposition(result.summary, growth).agg(
+        F.expr(f"array_join({_in_order(f'position, {part}', 'text')}, ', ') AS parts"),
+        F.expr(f"max_by({DRIVER}, contribution * signum(revenue_yoy)) AS main"),
+    )
+    text = (
+        "concat('Revenue ', CASE WHEN yoy >= 0 THEN 'grew' ELSE 'fell' END, ' ',"
+        f" {signed_percent('yoy')}, ' YoY to ', {money('revenue')}, ', driven by ',"
+        " coalesce(main, 'no single driver'), ': ', parts)"
     )
-    moved = F.when(F.col("yoy") >= 0, "grew").otherwise("fell")
-    main = F.coalesce(parts.select("main").scalar(), F.lit("no single driver"))
-    text = F.concat(
-        F.lit("Revenue "),
-        moved,
-        F.lit(" "),
-        signed_percent(F.col("yoy")),
-        F.lit(" YoY to "),
-        money(F.col("revenue")),
-        F.lit(", driven by "),
-        main,
-        F.lit(": "),
-        parts.select("parts").scalar(),
+    known = totals.select(
+        "*",
+        drivers.select("main").scalar().alias("main"),
+        drivers.select("parts").scalar().alias("parts"),
     )
-    flat = F.concat(F.lit("Revenue is "), money(F.col("revenue")), F.lit(", without a prior year"))
-    chosen = (
-        F.when(F.col("revenue").isNull(), F.lit("No data for this day"))
-        .when(F.col("yoy").isNull(), flat)
-        .otherwise(text)
+    return known.selectExpr(
+        "CASE WHEN revenue IS NULL THEN 'No data for this day'"
+        f" WHEN yoy IS NULL THEN concat('Revenue is ', {money('revenue')}, ', without a prior year')"
+        f" ELSE {text} END AS headline"
     )
-    return totals.select(chosen.alias("headline"))
 
 
 def anomaly_section(anomalies: DataFrame) -> DataFrame:
     """``anomaly_count`` and the list of flagged items in rank order, in one row."""
     return anomalies.agg(
         F.count("*").alias("anomaly_count"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("rank", _anomaly_text().alias("text")))),
-            lambda item: item["text"],
-        ).alias("items"),
-    )
-
-
-def _anomaly_text() -> Column:
-    return F.concat(
-        F.lit("["),
-        F.upper("severity"),
-        F.lit("] "),
-        F.col("metric_label"),
-        F.lit(" in "),
-        F.col("dimension"),
-        F.lit(": "),
-        signed_percent(F.col("pct_change")),
-        F.lit(" "),
-        F.col("comparison"),
+        F.expr(f"{_in_order(f'rank, {ANOMALY} AS text', 'text')} AS items"),
     )
 
 
@@ -170,22 +128,15 @@ def _anomaly_text() -> Column:
 
 def findings(result: MonitorResult) -> DataFrame:
     """Anomalies as findings, ``rank`` first; hypotheses are left empty."""
-    numbers = F.concat(
-        F.lit("current "),
-        four_places(F.col("current_value")),
-        F.lit(", prior "),
-        four_places(F.col("prior_value")),
-        F.lit(", threshold "),
-        percent(F.col("threshold"), 0),
-    )
-    return result.anomalies.select(
+    return result.anomalies.selectExpr(
         "rank",
         "severity",
-        F.array(F.lit(result.domain)).alias("domains"),
-        _anomaly_text().alias("summary"),
-        numbers.alias("details"),
-        F.array().cast(HYPOTHESES).alias("hypotheses"),
-        F.when(F.col("severity") == HIGH, "investigate").otherwise("monitor").alias("action"),
+        f"array({literal(result.domain)}) AS domains",
+        f"{ANOMALY} AS summary",
+        f"concat('current ', {four_places('current_value')}, ', prior ', {four_places('prior_value')},"
+        f" ', threshold ', {percent('threshold', 0)}) AS details",
+        f"CAST(array() AS {HYPOTHESES}) AS hypotheses",
+        f"CASE severity WHEN '{HIGH}' THEN 'investigate' ELSE 'monitor' END AS action",
     )
 
 
@@ -193,46 +144,40 @@ def findings_json(results: Sequence[MonitorResult]) -> DataFrame:
     """All findings of a run as one JSON array, most severe first: ``findings_json``."""
     stacked = reduce(
         DataFrame.unionByName,
-        [findings(r).withColumn("monitor", F.lit(i)) for i, r in enumerate(results)],
+        [findings(r).selectExpr(f"{i} AS monitor", "*") for i, r in enumerate(results)],
     )
-    order = F.when(F.col("severity") == HIGH, 0).otherwise(1).alias("severity_order")
-    finding = F.struct("severity", "domains", "summary", "details", "hypotheses", "action")
-    # Sorting stops at the unique (severity, monitor, rank), so hypotheses are not compared.
-    entries = F.collect_list(F.struct(order, "monitor", "rank", F.to_json(finding).alias("text")))
-    texts = F.transform(F.array_sort(entries), lambda e: e["text"])
-    return stacked.agg(
-        F.concat(F.lit("["), F.array_join(texts, ", "), F.lit("]")).alias("findings_json")
+    entry = (
+        f"CASE severity WHEN '{HIGH}' THEN 0 ELSE 1 END AS severity_order, monitor, rank,"
+        " to_json(struct(severity, domains, summary, details, hypotheses, action)) AS text"
     )
+    joined = f"concat('[', array_join({_in_order(entry, 'text')}, ', '), ']')"
+    return stacked.agg(F.expr(f"{joined} AS findings_json"))
 
 
 # --- lines --------------------------------------------------------------------------------
 
 
-def _line(df: DataFrame, section: int, text: Column, position="0", key="''") -> DataFrame:
-    return df.select(
-        F.lit(section).alias("section"),
-        F.expr(position).cast("bigint").alias("position"),
-        F.expr(key).alias("key"),
-        text.alias("text"),
+def _line(df: DataFrame, section: int, text: str, position: str = "0", key: str = "''") -> DataFrame:
+    return df.selectExpr(
+        f"{section} AS section",
+        f"CAST({position} AS BIGINT) AS position",
+        f"{key} AS key",
+        f"{text} AS text",
     )
 
 
 def _fixed(result: MonitorResult, lines: Sequence[tuple[int, str]]) -> DataFrame:
     """Lines that do not depend on data; negative positions put them first in their section."""
-    entries = [
-        F.struct(
-            F.lit(section).alias("section"),
-            F.lit(i - len(lines)).cast("bigint").alias("position"),
-            F.lit("").alias("key"),
-            F.lit(text).alias("text"),
-        )
+    rows = ", ".join(
+        f"({section}, {i - len(lines)}L, '', {literal(text)})"
         for i, (section, text) in enumerate(lines)
-    ]
-    return result.comparison.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    )
+    spark = result.comparison.sparkSession
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS fixed(section, position, key, text)")
 
 
-def _row(*cells: Column) -> Column:
-    return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+def _row(*cells: str) -> str:
+    return f"concat('| ', concat_ws(' | ', {', '.join(cells)}), ' |')"
 
 
 def report_lines(result: MonitorResult) -> DataFrame:
@@ -255,69 +200,50 @@ def report_lines(result: MonitorResult) -> DataFrame:
             (4, "|---------|---------|-----|----------|-----|-----|-----|"),
             (5, "\n*YoY Growth Drivers:*"),
         ]
-    bullet = F.lit("• ")
     parts = [
         _fixed(result, fixed),
-        _line(headline(result), 2, F.concat(bullet, F.col("headline"))),
+        _line(headline(result), 2, "concat('• ', headline)"),
+        _line(
+            anomaly_counts(result.anomalies), 6, "concat('• ', anomaly_count, ' YoY anomalies flagged')"
+        ),
+        _line(result.anomalies, 6, f"concat('• ', {ANOMALY})", "rank"),
     ]
     if config.scorecard:
-        value = reduce(
-            lambda chosen, style: F.when(
-                F.col("style") == style, STYLES[style](F.col("value"))
-            ).otherwise(chosen),
-            STYLES,
-            F.lit(""),
-        )
-        row = _row(
-            F.col("label"), value, signed_percent(F.col("yoy")), signed_percent(F.col("wow"))
-        )
+        styled = " ".join(f"WHEN '{name}' THEN {show('value')}" for name, show in STYLES.items())
+        row = _row("label", f"CASE style {styled} END", signed_percent("yoy"), signed_percent("wow"))
         parts.append(_line(scorecard(result.summary, config), 3, row, "position"))
     if growth is not None:
-        table = channel_table(result.breakdown, config)
-        revenue, revenue_yoy, orders, orders_yoy, per_order, per_order_yoy = [
-            F.col(c) for c in table.columns[1:7]
-        ]
-        note = F.when(F.col("small_denominator"), "%s (small)").otherwise("%s")
-        row = _row(
-            F.col("dimension"),
-            money(revenue),
-            signed_percent(revenue_yoy),
-            F.replace(note, F.lit("%s"), whole(orders)),
-            signed_percent(orders_yoy),
-            money(per_order),
-            signed_percent(per_order_yoy),
-        )
-        parts.append(_line(table, 4, row, key="dimension"))
-        text = F.concat(
-            F.lit("• *"),
-            F.initcap(_driver_name()),
-            F.lit(":* "),
-            signed_percent(F.col("factor_yoy")),
-            F.lit(" YoY, contributing "),
-            signed_percent(F.col("contribution")),
-            F.lit(" of revenue growth"),
-        )
-        parts.append(_line(result.growth, 5, text, "position"))
-        moved = F.concat(
-            F.lit("• *Channel "),
-            F.col("dimension"),
-            F.lit(":* contributing "),
-            signed_percent(F.col("contribution")),
-            F.lit(" of revenue growth"),
-        )
-        parts.append(_line(result.contributions, 5, moved, "100", "dimension"))
-    count = F.format_string("• %d YoY anomalies flagged", F.col("anomaly_count"))
-    parts.append(_line(anomaly_counts(result.anomalies), 6, count))
-    parts.append(_line(result.anomalies, 6, F.concat(bullet, _anomaly_text()), "rank"))
+        parts += _growth_lines(result)
     if result.validations is not None:
-        verdict = (
-            F.when(F.col("passed"), "PASS").when(~F.col("passed"), "FAIL").otherwise("NOT CHECKED")
-        )
-        text = F.concat(F.lit("• Metrics cross-checked against SOT: "), verdict)
+        verdict = "CASE WHEN passed THEN 'PASS' WHEN NOT passed THEN 'FAIL' ELSE 'NOT CHECKED' END"
+        text = f"concat('• Metrics cross-checked against SOT: ', {verdict})"
         parts.append(_line(validation_verdict(result.validations), 7, text))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _growth_lines(result: MonitorResult) -> list[DataFrame]:
+    table = channel_table(result.breakdown, result.config)
+    revenue, revenue_yoy, orders, orders_yoy, per_order, per_order_yoy = table.columns[1:7]
+    note = "CASE WHEN small_denominator THEN ' (small)' ELSE '' END"
+    row = _row(
+        "dimension",
+        money(revenue),
+        signed_percent(revenue_yoy),
+        f"concat({whole(orders)}, {note})",
+        signed_percent(orders_yoy),
+        money(per_order),
+        signed_percent(per_order_yoy),
+    )
+    part = f"' contributing ', {signed_percent('contribution')}, ' of revenue growth'"
+    driver = f"concat('• *', initcap({DRIVER}), ':* ', {signed_percent('factor_yoy')}, ' YoY,', {part})"
+    channel = f"concat('• *Channel ', dimension, ':*', {part})"
+    return [
+        _line(table, 4, row, key="dimension"),
+        _line(result.growth, 5, driver, "position"),
+        _line(result.contributions, 5, channel, "100", "dimension"),
+    ]
+
+
 def prompt_lines(result: MonitorResult) -> DataFrame:
     """The structured text block of one monitor: context, tables, anomalies, checks."""
     fixed = [
@@ -325,80 +251,51 @@ def prompt_lines(result: MonitorResult) -> DataFrame:
         (1, f"Report date: {result.report_date:%Y-%m-%d}"),
         (1, f"Context: {result.context}"),
     ]
-    columns = result.detail.columns
+    record = record_json(result.detail)
+    levels = ", ".join(literal(level) for level in result.config.dimensions)
+    level_order = f"array_position(array({levels}), dim_type)"
 
     def records(df: DataFrame, section: int, title: str) -> list[DataFrame]:
-        # The heading comes with the first record, so an empty frame has none.
+        # An empty frame has no heading.
         heading = df.agg(F.count("*").alias("n")).filter("n > 0")
-        body = _line(
-            df,
-            section,
-            record_json(df, columns),
-            f"array_position(array({_quoted(result.config.dimensions)}), dim_type)",
-            "dimension",
-        )
-        return [_line(heading, section, F.lit(f"\n### {title}")), body]
-
-    item = F.concat(
-        F.lit("  - "),
-        _anomaly_text(),
-        F.lit(" (current: "),
-        four_places(F.col("current_value")),
-        F.lit(", prior: "),
-        four_places(F.col("prior_value")),
-        F.lit(", threshold: "),
-        percent(F.col("threshold"), 0),
-        F.lit(")"),
+        return [
+            _line(heading, section, literal(f"\n### {title}")),
+            _line(df, section, record, level_order, "dimension"),
+        ]
+
+    item = (
+        f"concat('  - ', {ANOMALY}, ' (current: ', {four_places('current_value')}, ', prior: ',"
+        f" {four_places('prior_value')}, ', threshold: ', {percent('threshold', 0)}, ')')"
     )
-    counts = anomaly_counts(result.anomalies)
-    heading = F.concat(
-        F.format_string("\n### Pre-Flagged Anomalies (%d total)", F.col("anomaly_count")),
-        F.when(F.col("anomaly_count") == 0, f"\n  {NO_ANOMALIES}").otherwise(""),
+    heading = (
+        f"concat({literal(chr(10) + '### Pre-Flagged Anomalies (')}, anomaly_count, ' total)',"
+        f" CASE WHEN anomaly_count = 0 THEN {literal(chr(10) + '  ' + NO_ANOMALIES)} ELSE '' END)"
     )
     parts = [
         _fixed(result, fixed),
         *records(result.summary, 2, "Overall Summary"),
         *records(result.breakdown, 3, "Breakdown by Dimension"),
-        _line(counts, 4, heading),
+        _line(anomaly_counts(result.anomalies), 4, heading),
         _line(result.anomalies, 4, item, "rank"),
     ]
     if result.validations is not None:
-        verdict = validation_verdict(result.validations).filter("validated > 0")
-        summary = F.concat(
-            F.lit("\n### SOT Cross-Validation"),
-            F.when(
-                F.col("passed"),
-                F.format_string(
-                    f"\n  All %d metrics passed (within {VALIDATION_TOLERANCE * 100:.1f}%% tolerance)",
-                    F.col("validated"),
-                ),
-            ).otherwise(""),
-        )
-        parts.append(_line(verdict, 5, summary))
-        all_passed = verdict.select("passed").scalar()
-        checks = result.validations.filter(~all_passed)
-        parts.append(_line(checks, 5, _validation_text(), "1", "metric"))
+        parts += _validation_lines(result.validations)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _quoted(names: Sequence[str]) -> str:
-    return ", ".join("'" + n.replace("'", "''") + "'" for n in names)
-
-
-def _validation_text() -> Column:
-    return F.concat(
-        F.lit("  - "),
-        F.col("metric"),
-        F.lit(": ours="),
-        grouped(F.col("our_value")),
-        F.lit(", SOT="),
-        grouped(F.col("sot_value")),
-        F.lit(", diff="),
-        percent(F.col("pct_diff"), 2),
-        F.lit(" ["),
-        F.when(F.col("passed"), "PASS").otherwise("FAIL"),
-        F.lit("]"),
+def _validation_lines(validations: DataFrame) -> list[DataFrame]:
+    verdict = validation_verdict(validations).filter("validated > 0")
+    title = literal("\n### SOT Cross-Validation")
+    tolerance = f" metrics passed (within {VALIDATION_TOLERANCE * 100:.1f}% tolerance)"
+    all_passed = f"concat({literal(chr(10) + '  All ')}, validated, {literal(tolerance)})"
+    heading = f"concat({title}, CASE WHEN passed THEN {all_passed} ELSE '' END)"
+    check = (
+        f"concat('  - ', metric, ': ours=', {grouped('our_value')}, ', SOT=', {grouped('sot_value')},"
+        f" ', diff=', {percent('pct_diff', 2)}, CASE WHEN passed THEN ' [PASS]' ELSE ' [FAIL]' END)"
     )
+    # Single checks are listed only when one of them failed.
+    listed = validations.filter(~verdict.select("passed").scalar())
+    return [_line(verdict, 5, heading), _line(listed, 5, check, "1", "metric")]
 
 
 # --- documents ----------------------------------------------------------------------------
@@ -406,16 +303,16 @@ def _validation_text() -> Column:
 
 def as_document(lines: DataFrame, name: str) -> DataFrame:
     """Lines in order, joined into one text."""
-    ordered = F.array_sort(F.collect_list(F.struct("section", "position", "key", "text")))
-    return lines.agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias(name))
+    ordered = _in_order("section, position, key, text", "text")
+    return lines.agg(F.expr(f"array_join({ordered}, '\\n') AS {name}"))
 
 
 def _per_monitor(results: Sequence[MonitorResult], build, name: str) -> DataFrame:
     documents = [
-        as_document(build(r), name).select(
-            F.lit(i).alias("monitor"),
-            F.lit(r.domain).alias("domain"),
-            F.lit(r.report_date).alias("report_date"),
+        as_document(build(r), name).selectExpr(
+            f"{i} AS monitor",
+            f"{literal(r.domain)} AS domain",
+            f"DATE '{r.report_date}' AS report_date",
             name,
         )
         for i, r in enumerate(results)
@@ -434,8 +331,7 @@ def prompt_texts(results: Sequence[MonitorResult]) -> DataFrame:
 
 
 def _joined(name: str) -> Column:
-    ordered = F.array_sort(F.collect_list(F.struct("monitor", name)))
-    return F.array_join(F.transform(ordered, lambda x: x[name]), "\n\n---\n\n")
+    return F.expr(f"array_join({_in_order(f'monitor, {name}', name)}, {literal(SEPARATOR)})")
 
 
 def archive_row(

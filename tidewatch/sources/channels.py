@@ -46,15 +46,23 @@ class ChannelMap:
 
         A short map is spelled out as a CASE expression: Spark then has no join to plan and
         estimates the size of the frame rightly, which lets it broadcast a small lookup. A
-        longer one is joined; being a literal, it is small enough to broadcast.
+        longer one is joined.
         """
         if len(self.channel_of) <= LONGEST_CASE:
             return df.selectExpr(*df.columns, f"{self.code_of(segment)} AS channel_code")
+        return self.join(df, segment)
+
+    def join(self, df: DataFrame, segment: str) -> DataFrame:
+        """The same by a left join; the map is a literal, so it is small enough to broadcast."""
         known = F.broadcast(self.relation(df.sparkSession))
         joined = df.join(known, F.expr(f"{segment} = known_segment"), "left")
         code = f"coalesce(channel_code, {self.other_code}) AS channel_code"
         return joined.selectExpr(*df.columns, code)
 
+    def names(self) -> str:
+        """SQL array of the channel names, in the order of their codes."""
+        return f"array({', '.join(literal(c) for c in self.channels)})"
+
     def code_of(self, segment: str) -> str:
         """SQL for the channel code of a segment."""
         branches = []
