@@ -241,3 +241,18 @@ def test_long_map_is_joined_with_the_same_result(spark, monkeypatch):
     monkeypatch.setattr("tidewatch.sources.channels.LONGEST_CASE", 0)
     joined = source_of(spark, data).daily(["channel"], WINDOW)
     assert rows_of(joined) == short == brute_force(data, "channel", WINDOW)
+
+
+def test_stages_can_filter_one_event_table(spark):
+    day = dt.date(2024, 1, 3)
+    events = spark.createDataFrame(
+        [(day, "view", "a"), (day, "view", None), (day, "error", "a")],
+        "day date, kind string, segment string",
+    )
+    stages = [
+        Stage(kind, COUNT, "events", "day", segment="segment", where=f"kind = '{kind}'")
+        for kind in ("view", "error")
+    ]
+    daily = FunnelSource({"events": events}, stages, None, CHANNELS).daily(["channel"], WINDOW)
+    got = {r.dimension: (r["view"], r["error"]) for r in daily.collect()}
+    assert got == {"O&O": (1, 1), "Other": (1, 0)}
