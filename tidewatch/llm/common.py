@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 SPACES = " \t\n\r\x0b\x0c"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of one group that one task numbers.
+ROWS_PER_BUCKET = 100_000
+
 #: Rows of whole texts that one Arrow batch holds, so that a batch of long texts stays small.
 BATCH_ROWS = 512
 
@@ -92,3 +95,21 @@ def running_totals(
     return joined.withColumns(
         {name: (F.col(name) + F.col(f"{name}_before")).cast("long") for name in totals}
     ).select(*df.columns, *totals)
+
+
+def numbered(df: DataFrame, group: Sequence[str], group_rows: str, number: str) -> DataFrame:
+    """Number the rows of each group from 0, without gaps; ``group_rows`` has the group's size.
+
+    Equal rows are counted first and spread out again at the end, and different ones are dealt into
+    buckets by hash, so neither a large group nor a row repeated very often lands in one task.
+    """
+    columns = df.columns
+    buckets = F.ceil(F.col(group_rows) / ROWS_PER_BUCKET)
+    counted = (
+        df.groupBy(*columns)
+        .agg(F.count("*").alias("equal_rows"))
+        .withColumn("number_bucket", F.pmod(F.xxhash64(*columns), buckets))
+    )
+    ahead = running_totals(counted, group, columns, "number_bucket", {number: "equal_rows"})
+    spread = ahead.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("equal_rows") - 1)))
+    return spread.select(*columns, (F.col(number) + F.col("copy")).alias(number))

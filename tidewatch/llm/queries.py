@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import cut, table
+from tidewatch.llm.mixing import mix
+from tidewatch.llm.packing import best_fit_packing
 from tidewatch.llm.quality_rules import METRICS, measured, with_verdicts
+from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import hex_digits, near_duplicates
 
 
@@ -30,7 +33,33 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target of each document's source and the words that the mix takes of it."""
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of nearly equal bytes; equal texts stay together."""
+    return shard(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 2048 tokens."""
+    return best_fit_packing(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
+    "op5_mixing": op5_mixing,
+    "op8_sharding": op8_sharding,
+    "op9_packing": op9_packing,
 }
