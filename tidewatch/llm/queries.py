@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import cut, table
+from tidewatch.llm.html_extraction import extract
+from tidewatch.llm.licenses import label_list, scan, score
 from tidewatch.llm.mixing import mix
 from tidewatch.llm.packing import best_fit_packing
 from tidewatch.llm.quality_rules import METRICS, measured, with_verdicts
@@ -15,6 +17,15 @@ from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import hex_digits, near_duplicates
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = F.col("main_text")
+    return extract(pages).select(
+        "page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars")
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -38,6 +49,23 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases, labels and score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = F.col("license_scan")
+    base, words = found["place_labels"], found["place_words"]
+    return scan(docs).select(
+        "doc_id",
+        found["n_words"].alias("n_words"),
+        F.size(words).cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        label_list(base).alias("base_labels"),
+        label_list(F.concat(base, found["labels"])).alias("labels"),
+        score(found).alias("score"),
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of nearly equal bytes; equal texts stay together."""
     return shard(table(spark, sf_dir, "documents")).select(
@@ -57,9 +85,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op7_licenses": op7_licenses,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
 }
