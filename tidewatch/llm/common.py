@@ -13,7 +13,7 @@ SPACES = " \t\n\r\x0b\x0c"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows of one group that one task numbers.
-ROWS_PER_BUCKET = 100_000
+ROWS_PER_BUCKET = 5_000
 
 #: Rows of whole texts that one Arrow batch holds, so that a batch of long texts stays small.
 BATCH_ROWS = 512

@@ -12,6 +12,7 @@ from tidewatch.llm.html_extraction import extract
 from tidewatch.llm.licenses import label_list, scan, score
 from tidewatch.llm.mixing import mix
 from tidewatch.llm.packing import best_fit_packing
+from tidewatch.llm.private_data import KINDS, TERM, find_private_data
 from tidewatch.llm.quality_rules import METRICS, measured, with_verdicts
 from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import hex_digits, near_duplicates
@@ -84,6 +85,40 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every document and those of terms that reveal them."""
+    found = find_private_data(table(spark, sf_dir, "documents"))
+    kinds = F.col("spans.kinds")
+    base = F.transform(
+        F.arrays_zip(
+            F.col("spans.starts").alias("start"), kinds.alias("kind"), F.col("spans.ends").alias("end")
+        ),
+        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")),
+    )
+    added = F.transform(
+        "added",
+        lambda s: F.struct(
+            s["start"].alias("start"), F.lit(len(KINDS)).cast("long").alias("kind"), s["end"].alias("end")
+        ),
+    )
+    names = F.array(*[F.lit(name) for name in (*KINDS, TERM)])
+    spans = F.transform(
+        F.array_sort(F.when(F.col("added").isNull(), base).otherwise(F.concat(base, added))),
+        lambda s: F.concat_ws(
+            ":", F.element_at(names, (s["kind"] + 1).cast("int")), s["start"], s["end"]
+        ),
+    )
+    return found.select(
+        "doc_id",
+        *[
+            (F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{name}")
+            for i, name in enumerate(KINDS)
+        ],
+        "spans.base_sha256",
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op3_quality_rules": op3_quality_rules,
@@ -92,4 +127,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_licenses": op7_licenses,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
+    "op10_private_data": op10_private_data,
 }
