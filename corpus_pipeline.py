@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import checkpoint_folder, table
+from tidewatch.llm.mixing import mixed
+from tidewatch.llm.packing import best_fit_packing
+from tidewatch.llm.private_data import sanitised
 from tidewatch.llm.quality_rules import quality_rules
 from tidewatch.llm.simhash import keep_one_of_each
 
@@ -26,9 +29,29 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return keep_one_of_each(docs)
 
 
+def private_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with private data and what reveals it taken out of their texts."""
+    clean = sanitised(docs)
+    n_chars = F.char_length("text").cast("long")
+    return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), n_chars)).select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in training order, as often as the mix takes them."""
+    return mixed(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return best_fit_packing(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
     ("simhash", near_duplicate_stage),
+    ("private_data", private_data_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 #: SQL cannot express near-duplicates of these fingerprints nor the packing; tests/llm compare
