@@ -13,6 +13,7 @@ from tidewatch.llm.licenses import label_list, scan, score
 from tidewatch.llm.mixing import mix
 from tidewatch.llm.packing import best_fit_packing
 from tidewatch.llm.private_data import KINDS, TERM, find_private_data
+from tidewatch.llm.quality_classifier import THRESHOLD, classify, is_held_out
 from tidewatch.llm.quality_rules import METRICS, measured, with_verdicts
 from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import hex_digits, near_duplicates
@@ -50,6 +51,19 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document, from labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    score = F.col("quality_score")
+    return classify(docs, labels).select(
+        "doc_id",
+        is_held_out(F.col("doc_id")).alias("held_out"),
+        score.alias("score"),
+        (score >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base phrases, labels and score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -124,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_licenses": op7_licenses,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
