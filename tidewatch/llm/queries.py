@@ -15,6 +15,7 @@ from tidewatch.llm.packing import best_fit_packing
 from tidewatch.llm.private_data import KINDS, TERM, find_private_data
 from tidewatch.llm.quality_classifier import THRESHOLD, classify, is_held_out
 from tidewatch.llm.quality_rules import METRICS, measured, with_verdicts
+from tidewatch.llm.search import search
 from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import hex_digits, near_duplicates
 
@@ -28,6 +29,12 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best documents for the whole text of every document whose id is divisible by 50."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search(docs, docs.where("doc_id % 50 = 0"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -135,6 +142,7 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_search": op2_search,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
