@@ -2,4 +2,107 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+QUALITY_RULES = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id, source, coalesce(text, '') AS text FROM documents
+), counted AS (
+    SELECT *,
+        regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT row_no, place, array_to_string(words[place:place + 4], ' ') AS phrase
+    FROM (SELECT row_no, words, unnest(range(1, len(words) - 3)) AS place FROM counted)
+), repeated AS (
+    SELECT row_no, phrase FROM windows GROUP BY row_no, phrase HAVING count(*) > 1
+), covered AS (
+    SELECT row_no, count(DISTINCT place + step) AS n_repeat_words
+    FROM windows JOIN repeated USING (row_no, phrase), range(5) AS steps(step)
+    GROUP BY row_no
+), measured AS (
+    SELECT row_no, doc_id, source,
+        len(words) AS n_words,
+        coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM counted LEFT JOIN covered USING (row_no)
+), judged AS (
+    SELECT *,
+        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+        n_words < 10 OR 100 * n_repeat_words > 20 * n_words
+            OR n_symbols > 0.3 * n_words OR n_dup_lines > 0.1 * n_words AS any_failed
+    FROM measured
+), hosts AS (
+    SELECT source AS host, count(*)::DOUBLE AS n, count_if(any_failed)::DOUBLE AS f
+    FROM judged GROUP BY source
+), sums AS (
+    SELECT count(*) AS k, sum(n) AS n, sum(f) AS f, sum(n * n) AS nn, sum(f * f / n) AS ffn FROM hosts
+), moments AS (
+    SELECT f / n AS mean, (ffn - f * f / n) / (k - 1) AS between_hosts,
+        (f - ffn) / (n - k) AS within_hosts, (n - nn / n) / (k - 1) AS usual
+    FROM sums
+), prior AS (
+    SELECT mean, 1 / least(greatest(
+        (between_hosts - within_hosts) / (between_hosts + (usual - 1) * within_hosts),
+        1e-4), 0.9999) - 1 AS strength
+    FROM moments
+), verdicts AS (
+    SELECT host, (f + mean * strength) / (n + strength) >= 0.5 AS rejected FROM hosts, prior
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT rejected AS kept
+FROM judged JOIN verdicts ON source IS NOT DISTINCT FROM host
+"""
+
+MIXING = r"""
+WITH sized AS (
+    SELECT doc_id, source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+        row_number() OVER (ORDER BY source NULLS LAST) AS place
+    FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [3.0, 1.0, 2.0][(place - 1) % 3 + 1]::DOUBLE AS weight,
+        [0.5, 0.0, -0.5][(place - 1) % 3 + 1]::DOUBLE AS slope,
+        source_size * 2.0::DOUBLE AS cap
+    FROM sources
+), levels AS (
+    SELECT *, (
+            sum(source_size) OVER () * 1.5::DOUBLE
+            - coalesce(sum(cap) OVER (ORDER BY cap / weight, place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        ) / sum(weight) OVER (ORDER BY cap / weight, place
+            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighed
+), goals AS (
+    SELECT *, coalesce(least(cap,
+        max(CASE WHEN cap > level * weight THEN level END) OVER () * weight), cap) AS target
+    FROM levels
+), placed AS (
+    SELECT doc_id, size, source_size, target, slope,
+        coalesce(sum(size) OVER (PARTITION BY goals.source
+            ORDER BY coalesce(md5(doc_id::VARCHAR), ''), doc_id, size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_word
+    FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
+), readings AS (
+    SELECT *,
+        greatest(0, least(size, floor(target) - first_word)) AS words_1,
+        greatest(0, least(size, floor(target) - first_word - source_size)) AS words_2,
+        least(first_word / target, 1.0) AS share_1,
+        least((first_word + source_size) / target, 1.0) AS share_2
+    FROM placed
+)
+SELECT doc_id, size, source_size, target, (words_1 + words_2)::BIGINT AS taken,
+    CASE WHEN words_1 > 0 THEN round(CASE WHEN slope = 0 THEN share_1 ELSE greatest(0, least(1,
+        (sqrt((1 - slope) * (1 - slope) + 4 * slope * share_1) - (1 - slope)) / (2 * slope)))
+        END, 9) END AS position,
+    CASE WHEN words_2 > 0 THEN round(CASE WHEN slope = 0 THEN share_2 ELSE greatest(0, least(1,
+        (sqrt((1 - slope) * (1 - slope) + 4 * slope * share_2) - (1 - slope)) / (2 * slope)))
+        END, 9) END AS second_position
+FROM readings
+"""
+
+ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_RULES, "op5_mixing": MIXING}

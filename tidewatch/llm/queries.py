@@ -55,7 +55,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target of each document's source and the words that the mix takes of it."""
-    return mix(table(spark, sf_dir, "documents"))
+    mixture = mix(table(spark, sf_dir, "documents"))
+    return mixture.withColumns(
+        {name: F.round(name, 9) for name in ("position", "second_position")}
+    )
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
