@@ -40,10 +40,10 @@ LINK_SHARE = 0.8
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|iframe|svg|math|object|select)\b[^>]*>"
+    r"|<(script|style|noscript|template|textarea|iframe|svg|math|object|select)\b[^>]*+>"
     r".*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+'){0,400}+(?=>)|[^<>]*+)>"
+    r"|<[!?][^>]*+>",
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
@@ -88,6 +88,7 @@ class Element:
         self.tag, self.parent = tag, parent
         self.parts: list[str | Element] = []
         self.key = 0
+        self.links = (0, 0, 0)
         found = {
             m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)
         } if "=" in attributes else {}
@@ -150,15 +151,9 @@ def parse(html: str) -> Element:
 
 def hash_subtrees(element: Element, found: list[int]) -> str:
     """Hash of an element with all below it; adds those of block-level elements with text."""
-    # Children first, without recursion: pages can be nested very deeply.
-    order, stack = [], [element]
-    while stack:
-        node = stack.pop()
-        order.append(node)
-        stack.extend(part for part in node.parts if isinstance(part, Element))
     texts: dict[int, str] = {}
     around: set[int] = set()  # elements with an article or main element in or below them
-    for node in reversed(order):
+    for node in bottom_up(element):
         if node.tag in MAIN or id(node) in around:
             around.update((id(node), id(node.parent)))
         parts = [
@@ -179,24 +174,41 @@ def hash_subtrees(element: Element, found: list[int]) -> str:
     return texts[id(element)]
 
 
-def is_menu(element: Element) -> bool:
-    """Nearly all text of a list or container is in three links or more."""
-    total = linked = links = 0
-    stack = [(element, False)]
+def bottom_up(root: Element) -> list[Element]:
+    """All elements, each after those inside it; without recursion, as pages can be very deep."""
+    order, stack = [], [root]
     while stack:
-        node, inside = stack.pop()
-        links += node.tag == "a"
-        inside = inside or node.tag == "a"
+        node = stack.pop()
+        order.append(node)
+        stack.extend(part for part in node.parts if isinstance(part, Element))
+    return order[::-1]
+
+
+def count_links(root: Element) -> None:
+    """Give each element its number of links, and the characters in them and in all its text."""
+    for node in bottom_up(root):
+        links = linked = total = 0
         for part in node.parts:
             if isinstance(part, Element):
-                stack.append((part, inside))
+                links, linked, total = (x + y for x, y in zip((links, linked, total), part.links, strict=True))
             else:
-                size = len("".join(part.split()))
-                total += size
-                linked += size * inside
+                total += len("".join(part.split()))
+        node.links = (links + 1, total, total) if node.tag == "a" else (links, linked, total)
+
+
+def is_menu(element: Element) -> bool:
+    """Nearly all text of a list or container is in three links or more."""
+    links, linked, total = element.links
     return links > 2 and linked >= LINK_SHARE * total
 
 
+def is_boilerplate(element: Element, template: frozenset[int]) -> bool:
+    """Marked as such, or a template and not the text of an article."""
+    return element.mark or (
+        element.key in template and element.key != 0 and not (element.main and element.tag in FLOW)
+    )
+
+
 def read_text(element: Element, template: frozenset[int]) -> str:
     """Text of an element without marked and template subtrees, blocks joined by one space."""
     out: list[str] = []
@@ -206,7 +218,7 @@ def read_text(element: Element, template: frozenset[int]) -> str:
         if not isinstance(part, Element):
             out.append(part)
             continue
-        if part.mark or (part.key in template and part.key):
+        if is_boilerplate(part, template):
             out.append(" ")
             continue
         if not part.main and part.tag in ("ul", "ol", "div", "section", "p") and is_menu(part):
@@ -226,7 +238,7 @@ def main_elements(root: Element, template: frozenset[int]) -> list[Element]:
         found, stack = [], [root]
         while stack:
             node = stack.pop()
-            if node.mark or (node.key in template and node.key):
+            if is_boilerplate(node, template):
                 continue
             if node.tag == wanted:
                 found.append(node)
@@ -241,6 +253,7 @@ def main_text(html: str | None, template: frozenset[int] = frozenset()) -> str:
     if not html:
         return ""
     root = parse(html)
+    count_links(root)
     if template:
         hash_subtrees(root, [])
     texts = (read_text(node, template) for node in main_elements(root, template))
