@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tidewatch.config import REVENUE_FUNNEL, AnomalyRules, MonitorConfig
 from tidewatch.functions import business_date
+from tidewatch.operators.stages import Lookup
 from tidewatch.plans.engine import Binding
-from tidewatch.plans.funnel import FunnelSource
+from tidewatch.plans.funnel import REVENUE_FUNNEL_STAGES, FunnelSource
 from tidewatch.sources import ChannelMap, SqlSource
 
 REPORT_DATE = dt.date(2000, 6, 15)
@@ -53,18 +54,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 PRICE = "CAST(l_extendedprice AS decimal(18,2))"
 NET = f"CAST({PRICE} * (1 - CAST(l_discount AS decimal(4,2))) AS decimal(18,4))"
 MONEY = "decimal(18,4)"
+#: A further level with 150 values.
+BUYER = "concat('b', o_custkey % 150) AS buyer"
 
 
 def funnel_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = read(spark, sf_dir, "orders")
     lineitem = read(spark, sf_dir, "lineitem")
-    order_day = business_date("o_orderdate", T.TimestampNTZType())
     return {
-        "visits": orders.selectExpr(f"{order_day} AS visit_date", "o_orderpriority AS segment"),
+        "visits": orders.selectExpr(
+            "o_orderdate AS visit_date", "o_orderpriority AS segment", BUYER
+        ),
         "requests": orders.selectExpr(
             "o_orderkey AS request_pk",
             "CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS request_created_time",
             "o_orderpriority AS segment",
+            BUYER,
         ),
         "projects": lineitem.selectExpr(
             "l_orderkey AS request_pk",
@@ -96,6 +101,18 @@ def funnel_source(spark: SparkSession, sf_dir: str) -> FunnelSource:
     return FunnelSource(funnel_roles(spark, sf_dir), channels=PRIORITY_CHANNELS)
 
 
+def buyer_source(
+    spark: SparkSession, sf_dir: str, channels: ChannelMap = PRIORITY_CHANNELS, segment: str = "segment"
+) -> FunnelSource:
+    """The funnel with the level ``buyer`` besides, or with buyers as segments."""
+    stages = [
+        dataclasses.replace(s, levels={"buyer": "buyer"}, segment=segment) if s.segment else s
+        for s in REVENUE_FUNNEL_STAGES
+    ]
+    lookup = Lookup("requests", "request_pk", segment, levels={"buyer": "buyer"})
+    return FunnelSource(funnel_roles(spark, sf_dir), stages, lookup, channels)
+
+
 def funnel_binding(spark: SparkSession, sf_dir: str, validate: bool = True) -> Binding:
     """The funnel with its source of truth, or without, where nothing is validated."""
     source = funnel_source(spark, sf_dir)
@@ -164,10 +181,10 @@ def sot_of(roles: dict[str, DataFrame]) -> DataFrame:
 
 FUNNEL_SQL = """
 WITH stages AS (
-    SELECT visit_date AS metric_date, {dimension} AS dimension, count(*) AS intentful_visitors,
+    SELECT visit_day AS metric_date, {dimension} AS dimension, count(*) AS intentful_visitors,
            0L AS requests, 0L AS projects, 0L AS contacts, 0 AS revenue
     FROM {visits}
-    WHERE visit_date BETWEEN :start_date AND :end_date
+    WHERE visit_day BETWEEN :start_date AND :end_date
     GROUP BY ALL
     UNION ALL
     SELECT request_date, {dimension}, 0L, count(DISTINCT request_pk), 0L, 0L, 0
@@ -207,8 +224,7 @@ def funnel_sql_source(spark: SparkSession, sf_dir: str) -> SqlSource:
 
     def labelled(role: str) -> DataFrame:
         coded = PRIORITY_CHANNELS.join(roles[role], "segment")
-        channel = f"{PRIORITY_CHANNELS.names()}[channel_code] AS channel"
-        return coded.selectExpr("*", "'overall' AS everything", channel)
+        return coded.selectExpr("*", "'overall' AS everything")
 
     def dated(df: DataFrame, time: str, name: str) -> DataFrame:
         return df.selectExpr("*", f"{business_date(time, ntz)} AS {name}")
@@ -230,7 +246,7 @@ def funnel_sql_source(spark: SparkSession, sf_dir: str) -> SqlSource:
             "channel": {"dimension": F.col("channel"), "unmatched": "Other"},
         },
         {
-            "visits": labelled("visits"),
+            "visits": dated(labelled("visits"), "visit_date", "visit_day"),
             "requests": dated(labelled("requests"), "request_created_time", "request_date"),
             "projects": dated(roles["projects"], "project_created_time", "project_date"),
             "contacts": dated(roles["contacts"], "contact_created_time", "contact_date"),

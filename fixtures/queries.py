@@ -15,6 +15,7 @@ from fixtures.funnel import (
     FUNNEL_MONITOR,
     PRIORITY_CHANNELS,
     REPORT_DATE,
+    buyer_source,
     funnel_binding,
     funnel_roles,
     funnel_source,
@@ -25,6 +26,7 @@ from fixtures.usage import conversation_usage
 from tidewatch.config import MonitorRegistry, parse_keys
 from tidewatch.functions import DateWindow
 from tidewatch.operators.anomalies import anomaly_counts, small_denominators
+from tidewatch.operators.combine import ordered_daily
 from tidewatch.operators.cost import cost_by_model, run_costs
 from tidewatch.operators.metrics import add_ratio_metrics
 from tidewatch.operators.validation import validation_verdict
@@ -33,6 +35,8 @@ from tidewatch.plans.engine import (
     MonitorEngine,
     MonitorResult,
     latest_sot_date,
+    resolve_report_date,
+    sot_has_date,
     stack_details,
 )
 from tidewatch.plans.report import (
@@ -44,11 +48,11 @@ from tidewatch.plans.report import (
     report_texts,
     scorecard,
 )
-from tidewatch.sources import exit_payload
+from tidewatch.sources import ChannelMap, exit_payload
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ALL_TIME = DateWindow(dt.date(1990, 1, 1), dt.date(2029, 12, 31))
+ALL_TIME = DateWindow.always()
 LEVELS = ("overall", "channel")
 VALIDATION_DATES = ("2000-06-15", "2000-06-16", "2000-06-01", "2000-06-02", "2001-06-15")
 ANOMALY_DATES = ("1999-06-15", "2000-06-15", "2000-12-31", "2001-06-15")
@@ -148,15 +152,22 @@ def funnel_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(add_ratio_metrics(daily, FUNNEL_MONITOR))
 
 
+def funnel_three_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return comparable(buyer_source(spark, sf).daily((*LEVELS, "buyer"), ALL_TIME))
+
+
+def funnel_many_channels(spark: SparkSession, sf: str) -> DataFrame:
+    """A hundred channels, by a map of the buyers."""
+    channels = ChannelMap({f"b{i}": f"group {i % 100}" for i in range(150)})
+    source = buyer_source(spark, sf, channels, "buyer")
+    return comparable(source.daily(["channel"], ALL_TIME).drop("dim_type"))
+
+
 def date_check(spark: SparkSession, sf: str) -> DataFrame:
     sot = source_of_truth(spark, sf)
-    days = [dt.date(2000, 6, 15), dt.date(2001, 6, 15)]
-    found = sot.agg(*[F.count_if(F.col("metric_date") == F.lit(d)).alias(f"d{i}") for i, d in enumerate(days)])
-    rows = [
-        F.struct(F.lit(d).alias("report_date"), (F.col(f"d{i}") > 0).alias("in_sot"))
-        for i, d in enumerate(days)
-    ]
-    return found.select(F.inline(F.array(*rows)))
+    days = (dt.date(2000, 6, 15), dt.date(2001, 6, 15))
+    rows = [(day, sot_has_date(sot, resolve_report_date(sot, day))) for day in days]
+    return spark.createDataFrame(rows, "report_date date, in_sot boolean")
 
 
 def archive(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,8 +179,7 @@ def archive(spark: SparkSession, sf: str) -> DataFrame:
 def channel_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Visits per segment and the channel the lookup join gives it."""
     visits = PRIORITY_CHANNELS.join(funnel_roles(spark, sf)["visits"], "segment")
-    channel = f"{PRIORITY_CHANNELS.names()}[channel_code] AS channel"
-    return visits.selectExpr("segment", channel).groupBy("segment", "channel").agg(
+    return visits.groupBy("segment", "channel").agg(
         F.count("*").alias("visits")
     )
 
@@ -208,6 +218,8 @@ def registered() -> dict[str, Query]:
             funnel_sql_source(spark, sf).daily(LEVELS, ALL_TIME)
         ),
         "funnel_metrics": funnel_metrics,
+        "funnel_three_levels": funnel_three_levels,
+        "funnel_many_channels": funnel_many_channels,
         "delta_wow": _delta("wow"),
         "delta_yoy": _delta("yoy"),
         "detail": _detail("pivot"),
@@ -216,7 +228,7 @@ def registered() -> dict[str, Query]:
         "detail_fallback": _per_date(FALLBACK_DATES, lambda r: r.detail),
         "summary": _of_run(lambda r: r.summary),
         "breakdown": _of_run(lambda r: r.breakdown),
-        "raw_channel_pull": _of_run(lambda r: r.raw["channel"]),
+        "raw_channel_pull": _of_run(lambda r: ordered_daily(r.raw["channel"])),
         "latest_date": lambda spark, sf: latest_sot_date(source_of_truth(spark, sf)),
         "date_check": date_check,
         "sot_validation": _per_date(VALIDATION_DATES, lambda r: r.validations, validate=True),

@@ -65,8 +65,8 @@ def test_distinct_keys_need_no_shuffle_after_the_join(spark):
     with conf(spark, **NO_AQE):
         plan = plan_of(funnel_source(spark, SF_DIR).measure("projects", "channel", ALL_TIME))
     tree = plan.split("(1) Scan")[0]
-    # Two for the lookup, two for the keys, two for the few rows per day.
-    assert len(re.findall(r"Exchange \(\d+\)", tree)) - len(re.findall("BroadcastExchange", tree)) == 6
+    # Two for the lookup, two for the keys, one for the few rows per day.
+    assert len(re.findall(r"- Exchange \(\d+\)", tree)) == 5
 
 
 def test_unique_lookup_is_shuffled_for_the_join_only(spark):
@@ -77,7 +77,7 @@ def test_unique_lookup_is_shuffled_for_the_join_only(spark):
         plan = plan_of(source.measure("revenue", "channel", ALL_TIME))
         overall = plan_of(source.measure("revenue", "overall", ALL_TIME))
     tree = plan.split("(1) Scan")[0]
-    assert len(re.findall(r"- Exchange \(\d+\)", tree)) == 4
+    assert len(re.findall(r"- Exchange \(\d+\)", tree)) == 3
     assert "Join" not in overall
 
 
@@ -89,8 +89,8 @@ def test_bucketed_requests_are_not_shuffled(spark):
     with conf(spark, **NO_AQE):
         plan = plan_of(source.measure("revenue", "channel", ALL_TIME))
     tree = plan.split("(1) Scan")[0]
-    # One for the facts and two for the few rows per day; none for the lookup.
-    assert len(re.findall(r"- Exchange \(\d+\)", tree)) == 3
+    # One for the facts and one for the few rows per day; none for the lookup.
+    assert len(re.findall(r"- Exchange \(\d+\)", tree)) == 2
 
 
 def test_hot_keys_are_split_by_the_adaptive_join(spark):

@@ -55,22 +55,27 @@ def _instant(day: dt.date, dtype: T.DataType) -> str:
 
 @dataclass(frozen=True)
 class DateWindow:
-    """An inclusive range of business dates, or chosen days inside it."""
+    """An inclusive range of business dates, or chosen days inside it; ``None`` leaves an end open."""
 
-    start: dt.date
-    end: dt.date
+    start: dt.date | None
+    end: dt.date | None
     days: tuple[dt.date, ...] | None = None
 
     @classmethod
     def lookback(cls, report_date: dt.date, days: int) -> DateWindow:
         return cls(report_date - dt.timedelta(days=days), report_date)
 
+    @classmethod
+    def always(cls) -> DateWindow:
+        return cls(None, None)
+
     def only(self, *days: dt.date) -> DateWindow:
         """The same window narrowed to some days; days outside it are left out."""
-        inside = sorted({d for d in days if self.start <= d <= self.end})
+        first, last = self.start or dt.date.min, self.end or dt.date.max
+        inside = sorted({d for d in days if first <= d <= last})
         return DateWindow(self.start, self.end, tuple(inside))
 
-    def _ranges(self) -> list[tuple[dt.date, dt.date]]:
+    def _ranges(self) -> list[tuple[dt.date | None, dt.date | None]]:
         if self.days is None:
             return [(self.start, self.end)]
         return [(d, d) for d in self.days]
@@ -82,11 +87,14 @@ class DateWindow:
         business days start and end. The business zone never changes its clocks at
         midnight, so this keeps exactly the rows whose business date is in the window.
         """
+        is_date = isinstance(dtype, T.DateType)
         tests = []
         for first, last in self._ranges():
-            if isinstance(dtype, T.DateType):
-                tests.append(f"{name} BETWEEN DATE '{first}' AND DATE '{last}'")
-            else:
-                after = _instant(last + dt.timedelta(days=1), dtype)
-                tests.append(f"({name} >= {_instant(first, dtype)} AND {name} < {after})")
+            bounds = []
+            if first is not None:
+                bounds.append(f"{name} >= " + (f"DATE '{first}'" if is_date else _instant(first, dtype)))
+            if last is not None:
+                after = last + dt.timedelta(days=1)
+                bounds.append(f"{name} < " + (f"DATE '{after}'" if is_date else _instant(after, dtype)))
+            tests.append(f"({' AND '.join(bounds) or 'true'})")
         return " OR ".join(tests) or "false"

@@ -5,91 +5,62 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.text import literal
-from tidewatch.sources.channels import ChannelMap
+from tidewatch.operators.stages import CHANNEL, OVERALL
 
-OVERALL, CHANNEL = "overall", "channel"
-LEVELS = (OVERALL, CHANNEL)
+__all__ = ["CHANNEL", "OVERALL", "combine_by_outer_join", "combine_counts", "ordered_daily"]
 
-_ALL_BITS = -1
+KEYS = ("metric_date", "dim_type", "dimension")
 
 
-def check_levels(levels: Sequence[str]) -> tuple[str, ...]:
-    """The levels as a tuple; an unknown level is an error, not a silent ``overall``."""
-    unknown = [level for level in levels if level not in LEVELS]
-    if unknown or not levels:
-        raise ValueError(f"unknown dimension level {unknown}; known levels are {list(LEVELS)}")
-    return tuple(levels)
+def sum_of(measure: str, dtype: T.DataType, result_type: str | None) -> Column:
+    """Total of a measure, 0 where a stage has no rows; decimals keep their scale."""
+    column = F.coalesce(F.sum(f"`{measure}`"), F.lit(0))
+    if result_type is None and isinstance(dtype, T.DecimalType):
+        result_type = f"decimal(38,{dtype.scale})"
+    elif result_type is None:
+        result_type = "double" if isinstance(dtype, (T.FloatType, T.DoubleType)) else "bigint"
+    return column.cast(result_type).alias(measure)
 
 
-def level_targets(levels: Sequence[str], channels: ChannelMap) -> str:
-    """SQL array of ``dim_type, dimension, bits``, one entry per dimension value."""
-    entries = []
-    for level in levels:
-        if level == OVERALL:
-            entries.append((OVERALL, OVERALL, _ALL_BITS))
-        else:
-            entries += [(CHANNEL, name, 1 << code) for code, name in enumerate(channels.channels)]
-    structs = [
-        f"struct({literal(dim_type)} AS dim_type, {literal(dimension)} AS dimension, {bits}L AS bits)"
-        for dim_type, dimension, bits in entries
-    ]
-    return f"array({', '.join(structs)})"
-
-
-def combine_partials(
-    partials: Sequence[DataFrame],
-    result_types: Mapping[str, str],
-    levels: Sequence[str],
-    channels: ChannelMap,
+def combine_counts(
+    counts: Sequence[DataFrame], result_types: Mapping[str, str | None]
 ) -> DataFrame:
     """One row per day, level and dimension value; a stage without rows there counts 0.
 
     The stages are padded with NULL columns, stacked and grouped, which gives the rows of a
-    chain of full outer joins without its shuffles. The first grouping leaves one row per day,
-    channel set and number of copies; only these few rows are sent to their levels.
+    chain of full outer joins without its shuffles. Sums are taken before the shuffle.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), partials)
-    schema = stacked.schema
-    measures = [m for m in result_types if m in schema.names]
-    grouped = stacked.groupBy("metric_date", "channel_mask", "copies").agg(
-        *[F.sum(m).alias(m) for m in measures]
-    )
-    spread = grouped.selectExpr(
-        "metric_date",
-        "channel_mask",
-        *[f"{_times_copies(m, schema[m].dataType)} AS {m}" for m in measures],
-        f"inline({level_targets(levels, channels)})",
-    ).filter("bits & channel_mask != 0")
-    daily = spread.groupBy("metric_date", "dim_type", "dimension").agg(
-        *[F.expr(f"CAST(coalesce(sum({m}), 0) AS {result_types[m]}) AS {m}") for m in measures]
-    )
-    return daily.filter("metric_date IS NOT NULL")
-
-
-def _times_copies(measure: str, dtype: T.DataType) -> str:
-    product = f"{measure} * copies"
-    # Whole copies add no decimals, so the product keeps the scale of the sum.
-    return f"CAST({product} AS decimal(38,{dtype.scale}))" if isinstance(dtype, T.DecimalType) else product
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
+    types = {f.name: f.dataType for f in stacked.schema}
+    totals = [sum_of(m, types[m], kind) for m, kind in result_types.items() if m in types]
+    daily = stacked.groupBy(*KEYS).agg(*totals)
+    return daily.filter(F.col("metric_date").isNotNull())
+
+
+def ordered_daily(daily: DataFrame) -> DataFrame:
+    """A daily frame in the order in which it is handed out: by date, then dimension (O1)."""
+    order = [F.col("metric_date"), *[F.col(c) for c in ("dim_type", "dimension") if c in daily.columns]]
+    return daily.orderBy(*order)
 
 
 def combine_by_outer_join(
-    stages: Sequence[DataFrame], result_types: Mapping[str, str]
+    stages: Sequence[DataFrame], result_types: Mapping[str, str | None]
 ) -> DataFrame:
     """The same for one level, as chained full outer joins of ``metric_date, dimension`` frames.
 
     Costs a shuffle of both sides per stage. Kept as the second form that tests and the
-    benchmark hold against :func:`combine_partials`.
+    benchmark hold against :func:`combine_counts`.
     """
     keys = ["metric_date", "dimension"]
     joined = reduce(lambda a, b: a.join(b, keys, "full_outer"), stages)
+    types = {f.name: f.dataType for f in joined.schema}
     measures = [
-        F.coalesce(F.col(m), F.lit(0)).cast(t).alias(m)
-        for m, t in result_types.items()
-        if m in joined.columns
+        F.coalesce(F.col(f"`{m}`"), F.lit(0)).cast(kind or types[m]).alias(m)
+        for m, kind in result_types.items()
+        if m in types
     ]
     return joined.select(*keys, *measures).filter(F.col("metric_date").isNotNull())

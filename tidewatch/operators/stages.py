@@ -1,38 +1,38 @@
 """Daily stages of a funnel: scan, attribute, count.
 
-Each stage yields rows with a ``metric_date`` and a ``channel_mask``, a set of channels held
-as the bits of one long:
-
-* an additive stage has one bit set per row, the row's channel;
-* a distinct stage has one row per entity and day, with a bit for each channel the entity
-  was seen in. So one shuffle on (day, entity) serves the overall count and every channel
-  count, where counting per level would send each row once per level.
-
-There are few masks, so grouping by them leaves a few rows per day to spread over levels.
+Each stage yields rows ``metric_date, dim_type, dimension`` and its measure, one row per level for
+every row or entity that counts there. Levels may be any number, and have any number of values. A
+distinct count groups by (day, entity, level, value) before it counts, so repeats of an entity, and
+an entity with very many rows, are collapsed before the shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions import DateWindow, business_date, missing_if_nan
+from tidewatch.functions.text import literal
 from tidewatch.sources.channels import ChannelMap
 
 COUNT, DISTINCT, SUM = "count", "distinct", "sum"
+OVERALL, CHANNEL = "overall", "channel"
 
 
 @dataclass(frozen=True)
 class Stage:
     """One measure taken from one role.
 
-    ``value`` is the SQL expression counted distinctly or summed. The segment comes from the
-    role's own ``segment`` column, or from the lookup role through ``lookup_key``. Several
-    ``sum`` stages may share a measure; their rows are added up.
+    ``value`` is the SQL expression counted distinctly or summed. The segment, which makes the
+    ``channel`` level, comes from the role's own ``segment`` column, or from the lookup role through
+    ``lookup_key``. ``levels`` names further levels and the expressions that give their values;
+    a level it does not name comes from the lookup role. Several ``sum`` stages may share a
+    measure; their rows are added up.
     """
 
     measure: str
@@ -43,6 +43,7 @@ class Stage:
     segment: str | None = None
     lookup_key: str | None = None
     where: str | None = None
+    levels: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.kind not in (COUNT, DISTINCT, SUM):
@@ -57,10 +58,17 @@ class Stage:
         """Whether the entity counted is the lookup key itself."""
         return self.kind == DISTINCT and self.value == self.lookup_key
 
+    def own_levels(self) -> dict[str, str]:
+        """Levels that the role's own rows give, with their expressions."""
+        own = dict(self.levels)
+        if self.segment is not None:
+            own[CHANNEL] = self.segment
+        return own
+
 
 @dataclass(frozen=True)
 class Lookup:
-    """The role that knows the segment of a key.
+    """The role that knows the segment of a key, and the values of further ``levels``.
 
     When a key repeats there, each copy is joined: sums grow with the copies and a key may
     count in several channels. Declare ``unique`` if keys never repeat, and the step that
@@ -71,20 +79,30 @@ class Lookup:
     key: str
     segment: str
     unique: bool = False
+    levels: Mapping[str, str] = field(default_factory=dict)
+
+    def own_levels(self) -> dict[str, str]:
+        return {**self.levels, CHANNEL: self.segment}
 
 
-_BIT = "shiftleft(1L, channel_code)"
+def level_column(level: str) -> str:
+    return f"`level {level}`"
 
 
-def stage_rows(roles: Mapping[str, DataFrame], stage: Stage, window: DateWindow) -> DataFrame:
-    """Rows of a stage inside the window: ``metric_date, value`` and its segment or lookup key."""
+def stage_rows(
+    roles: Mapping[str, DataFrame],
+    stage: Stage,
+    window: DateWindow,
+    levels: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of a stage inside the window: ``metric_date, value``, lookup key and own level values."""
     df = roles[stage.role]
     if stage.where is not None:
         df = df.filter(stage.where)
     dtype = df.schema[stage.time].dataType
     columns = [f"{business_date(stage.time, dtype)} AS metric_date"]
-    if stage.segment is not None:
-        columns.append(f"{stage.segment} AS segment")
+    own = stage.own_levels()
+    columns += [f"{own[level]} AS {level_column(level)}" for level in levels if level in own]
     if stage.lookup_key is not None:
         columns.append(f"{stage.lookup_key} AS lookup_key")
     if stage.value is not None and not stage.counts_its_key:
@@ -98,93 +116,126 @@ def stage_rows(roles: Mapping[str, DataFrame], stage: Stage, window: DateWindow)
 
 
 class StageReader:
-    """Turns stages into daily partial counts for one set of roles."""
+    """Turns stages into daily counts by level for one set of roles."""
 
     def __init__(
         self,
         roles: Mapping[str, DataFrame],
         channels: ChannelMap,
         lookup: Lookup | None,
+        stages: Sequence[Stage],
     ) -> None:
         self.roles = roles
         self.channels = channels
         self.lookup = lookup
-        self._lookup_relations: dict[bool, DataFrame] = {}
-
-    def _lookup_relation(self, by_channel: bool) -> DataFrame:
-        """``lookup_key, channel_code, copies``: how often each key occurs in each channel."""
-        if by_channel not in self._lookup_relations:
-            self._lookup_relations[by_channel] = self._build_lookup(by_channel)
-        return self._lookup_relations[by_channel]
-
-    def _build_lookup(self, by_channel: bool) -> DataFrame:
-        lookup = self.lookup
-        df = self.roles[lookup.role].filter(f"{lookup.key} IS NOT NULL")
-        if by_channel:
-            named = df.selectExpr(f"{lookup.key} AS lookup_key", f"{lookup.segment} AS segment")
-            df = self.channels.with_code(named, "segment").drop("segment")
-        else:
-            code = f"{self.channels.other_code} AS channel_code"
-            df = df.selectExpr(f"{lookup.key} AS lookup_key", code)
-        if lookup.unique:
-            return df.selectExpr("*", "1L AS copies")
-        return df.groupBy("lookup_key", "channel_code").agg(F.expr("count(*) AS copies"))
-
-    def _attribute(self, rows: DataFrame, stage: Stage, by_channel: bool) -> DataFrame:
-        """Add ``channel_code`` and ``copies`` to stage rows."""
-        other = self.channels.other_code
-        rest = [c for c in rows.columns if c not in ("segment", "lookup_key")]
+        self.stages = tuple(stages)
+        self._lookup_relations: dict[tuple, DataFrame] = {}
+
+    def check_levels(self, levels: Sequence[str]) -> tuple[str, ...]:
+        """The levels as a tuple; one that a stage cannot give is an error."""
+        for stage in self.stages:
+            known = {OVERALL, *stage.own_levels()}
+            if stage.lookup_key is not None:
+                known |= set(self.lookup.own_levels())
+            if unknown := [level for level in levels if level not in known]:
+                raise ValueError(
+                    f"unknown dimension level {unknown}; stage {stage.measure!r} knows {sorted(known)}"
+                )
+        if not levels:
+            raise ValueError("unknown dimension level: give at least one")
+        return tuple(levels)
+
+    def _named(self, df: DataFrame, levels: Sequence[str]) -> DataFrame:
+        """Level values as they are reported: mapped, if the level has a map, and never NULL."""
+        for level in levels:
+            name = level_column(level)
+            if level == CHANNEL:
+                mapped = self.channels.join(df, name, "channel_name")
+                df = mapped.drop(name.strip("`")).withColumnRenamed("channel_name", name.strip("`"))
+            else:
+                value = F.coalesce(F.col(name).cast("string"), F.lit(ChannelMap.OTHER))
+                df = df.withColumn(name.strip("`"), value)
+        return df
+
+    def _looked_up(self, levels: tuple[str, ...]) -> DataFrame:
+        """``lookup_key, copies`` and level values: how often each key occurs with each of them.
+
+        Repeats of a key are counted before the shuffle, and the shuffle by key lies directly below
+        the facts' join, so that adaptive execution can split a hot key there.
+        """
+        if levels not in self._lookup_relations:
+            lookup, own = self.lookup, self.lookup.own_levels()
+            named = [f"{own[level]} AS {level_column(level)}" for level in levels]
+            role = self.roles[lookup.role].filter(f"{lookup.key} IS NOT NULL")
+            known = self._named(role.selectExpr(f"{lookup.key} AS lookup_key", *named), levels)
+            if lookup.unique:
+                known = known.withColumn("copies", F.lit(1).cast("bigint"))
+            else:
+                known = known.groupBy(*[F.col(f"`{c}`") for c in known.columns]).agg(
+                    F.count("*").alias("copies")
+                )
+            self._lookup_relations[levels] = known
+        return self._lookup_relations[levels]
+
+    def _attribute(
+        self, rows: DataFrame, stage: Stage, levels: tuple[str, ...]
+    ) -> DataFrame:
+        """Add level values and ``copies`` to stage rows."""
+        own = tuple(level for level in levels if level in stage.own_levels())
+        other = tuple(level for level in levels if level not in own and level != OVERALL)
+        rows = self._named(rows, own)
+        # Without levels only the number of copies matters, and only to a sum.
+        needs_copies = stage.kind != DISTINCT and stage.lookup_key and not self.lookup.unique
+        if other or needs_copies:
+            rows = rows.join(self._looked_up(other), "lookup_key", "left")
+            for level in other:
+                name = level_column(level).strip("`")
+                value = F.coalesce(F.col(f"`{name}`"), F.lit(ChannelMap.OTHER))
+                rows = rows.withColumn(name, value)
         if stage.counts_its_key:
             # Taken from the key after the join, which leaves the rows of a key together.
-            rest.append("lookup_key AS value")
-        if stage.segment is not None and by_channel:
-            coded = self.channels.with_code(rows, "segment")
-            return coded.selectExpr(*rest, "channel_code", "1L AS copies")
-        # Without channels only the number of copies matters, and only to a sum.
-        looks_up = stage.lookup_key is not None and (
-            by_channel or (stage.kind != DISTINCT and not self.lookup.unique)
-        )
-        if not looks_up:
-            return rows.selectExpr(*rest, f"{other} AS channel_code", "1L AS copies")
-        joined = rows.join(self._lookup_relation(by_channel), "lookup_key", "left")
-        return joined.selectExpr(
-            *rest,
-            f"coalesce(channel_code, {other}) AS channel_code",
-            "coalesce(copies, 1L) AS copies",
-        )
+            rows = rows.withColumn("value", F.col("lookup_key"))
+        copies = F.coalesce("copies", F.lit(1)) if "copies" in rows.columns else F.lit(1)
+        return rows.withColumn("copies", copies.cast("bigint"))
 
-    def partials(
-        self, stages: list[Stage], window: DateWindow, by_channel: bool = True
+    def counts(
+        self, stages: list[Stage], window: DateWindow, levels: tuple[str, ...]
     ) -> DataFrame:
-        """``metric_date, channel_mask, copies`` and the measure that all of ``stages`` feed.
+        """``metric_date, dim_type, dimension`` and the measure that all of ``stages`` feed.
 
-        The measure is 1 or 0 per counted row or entity, or the amount to sum, and stands
-        for ``copies`` times its value. A row with a NULL value is kept, as it still says
-        that the day has data.
+        A row with a NULL value is kept, as it still says that the day has data.
         """
         first = stages[0]
         if len({(s.kind, s.segment is None) for s in stages}) > 1:
             raise ValueError(f"measure {first.measure!r} mixes kinds of stages")
         rows = reduce(
-            DataFrame.unionByName, [stage_rows(self.roles, s, window) for s in stages]
-        )
-        if first.kind == DISTINCT:
-            return self._distinct_partials(rows, first, by_channel)
-        value = "1L" if first.kind == COUNT else "value"
-        return self._attribute(rows, first, by_channel).selectExpr(
-            "metric_date", f"{_BIT} AS channel_mask", "copies", f"{value} AS {first.measure}"
+            DataFrame.unionByName,
+            [stage_rows(self.roles, stage, window, levels) for stage in stages],
         )
-
-    def _distinct_partials(self, rows: DataFrame, stage: Stage, by_channel: bool) -> DataFrame:
-        if stage.counts_its_key:
+        if first.counts_its_key:
             # Collapse repeats of a key before the join, however many rows one key has.
             rows = rows.distinct()
-        # Copies are always positive. Naming them keeps the lookup the same for every stage,
-        # so that Spark builds and shuffles it once.
-        seen = (
-            self._attribute(rows, stage, by_channel)
-            .groupBy("metric_date", "value")
-            .agg(F.expr(f"bit_or(CASE WHEN copies > 0 THEN {_BIT} END) AS channel_mask"))
-        )
-        counted = f"CAST(value IS NOT NULL AS BIGINT) AS {stage.measure}"
-        return seen.selectExpr("metric_date", "channel_mask", "1L AS copies", counted)
+        spread = f"inline(array({', '.join(level_entry(level) for level in levels)}))"
+        found = self._attribute(rows, first, levels)
+        if first.kind == DISTINCT:
+            # Copies are always positive. Naming them keeps the lookup the same for every stage,
+            # so that Spark builds and shuffles it once.
+            seen = found.filter("copies > 0").selectExpr("metric_date", "value", spread).distinct()
+            measure = "CAST(value IS NOT NULL AS BIGINT)"
+            return seen.selectExpr("metric_date", "dim_type", "dimension", f"{measure} AS `{first.measure}`")
+        measure = "copies"
+        if first.kind == SUM:
+            measure = _times_copies("value", found.schema["value"].dataType)
+        return found.selectExpr("metric_date", spread, f"{measure} AS `{first.measure}`")
+
+
+def level_entry(level: str) -> str:
+    """SQL struct of a row's place in a level."""
+    value = literal(OVERALL) if level == OVERALL else level_column(level)
+    return f"struct({literal(level)} AS dim_type, {value} AS dimension)"
+
+
+def _times_copies(value: str, dtype: T.DataType) -> str:
+    product = f"{value} * copies"
+    # Whole copies add no decimals, so the product keeps the scale of the value.
+    return f"CAST({product} AS decimal(38,{dtype.scale}))" if isinstance(dtype, T.DecimalType) else product

@@ -9,13 +9,8 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions import DateWindow
-from tidewatch.operators.combine import (
-    CHANNEL,
-    check_levels,
-    combine_by_outer_join,
-    combine_partials,
-)
+from tidewatch.functions import DateWindow, business_date
+from tidewatch.operators.combine import combine_by_outer_join, combine_counts
 from tidewatch.operators.stages import COUNT, DISTINCT, SUM, Lookup, Stage, StageReader, stage_rows
 from tidewatch.sources.channels import MARKETING_CHANNELS, ChannelMap
 
@@ -66,8 +61,9 @@ class FunnelSource:
         stages: Sequence[Stage] = REVENUE_FUNNEL_STAGES,
         lookup: Lookup | None = REVENUE_FUNNEL_LOOKUP,
         channels: ChannelMap = MARKETING_CHANNELS,
-        sum_type: str = "decimal(28,4)",
+        sum_type: str | None = None,
     ) -> None:
+        """Sums have the scale of what they sum, or are ``sum_type``, if given."""
         missing = {s.role for s in stages} - set(roles)
         if missing:
             raise ValueError(f"no data given for roles {sorted(missing)}")
@@ -76,7 +72,7 @@ class FunnelSource:
         self.roles = dict(roles)
         self.stages = tuple(stages)
         self.channels = channels
-        self._reader = StageReader(self.roles, channels, lookup)
+        self._reader = StageReader(self.roles, channels, lookup, self.stages)
         self.result_types = {
             s.measure: sum_type if s.kind == SUM else "bigint" for s in self.stages
         }
@@ -90,22 +86,19 @@ class FunnelSource:
 
     def daily(self, levels: Sequence[str], window: DateWindow) -> DataFrame:
         """All measures at all ``levels`` from one pass over the roles (A5)."""
-        levels = check_levels(levels)
-        by_channel = CHANNEL in levels
-        partials = [
-            self._reader.partials(stages, window, by_channel)
+        levels = self._reader.check_levels(levels)
+        counts = [
+            self._reader.counts(stages, window, levels)
             for stages in self._stages_by_measure.values()
         ]
-        return combine_partials(partials, self.result_types, levels, self.channels)
+        return combine_counts(counts, self.result_types)
 
     def measure(self, measure: str, level: str, window: DateWindow) -> DataFrame:
         """One stage at one level: ``metric_date, dimension`` and the measure."""
-        levels = check_levels([level])
-        partial = self._reader.partials(
-            self._stages_by_measure[measure], window, by_channel=level == CHANNEL
-        )
-        daily = combine_partials([partial], self.result_types, levels, self.channels)
-        return daily.select("metric_date", "dimension", measure)
+        levels = self._reader.check_levels([level])
+        counts = self._reader.counts(self._stages_by_measure[measure], window, levels)
+        daily = combine_counts([counts], self.result_types)
+        return daily.select("metric_date", "dimension", f"`{measure}`")
 
     def daily_by_outer_join(self, level: str, window: DateWindow) -> DataFrame:
         """One level through chained full outer joins, the reference form of the combination."""
@@ -118,9 +111,18 @@ class FunnelSource:
         return any(not stage_rows(self.roles, s, window).isEmpty() for s in self.stages)
 
     def latest_day(self, window: DateWindow) -> dt.date | None:
-        """The last day with a row in the window: a scan of the time columns alone (A4)."""
-        days = reduce(
-            DataFrame.unionByName,
-            [stage_rows(self.roles, s, window).select("metric_date") for s in self.stages],
-        )
+        """The last day with a row in the window: a scan of the time columns alone (A4).
+
+        The latest raw time is found first, and only that is turned into a date.
+        """
+        latest = []
+        for stage in self.stages:
+            df = self.roles[stage.role]
+            if stage.where is not None:
+                df = df.filter(stage.where)
+            dtype = df.schema[stage.time].dataType
+            inside = df.filter(window.covers(stage.time, dtype))
+            last = inside.agg(F.max(stage.time).alias("last"))
+            latest.append(last.selectExpr(f"{business_date('last', dtype)} AS metric_date"))
+        days = reduce(DataFrame.unionByName, latest)
         return days.agg(F.max("metric_date")).first()[0]

@@ -7,72 +7,32 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import literal
-
-MAX_CHANNELS = 62
-LONGEST_CASE = 64
-
 
 class ChannelMap:
-    """Maps segments to channels; a segment it does not know, or NULL, is ``Other``.
-
-    Channels are numbered, so that a set of channels fits the bits of one long. That is
-    how distinct counts keep track of the channels an entity was seen in.
-    """
+    """Maps segments to channels, any number of them; a segment it does not know, or NULL, is
+    ``Other``."""
 
     OTHER = "Other"
 
     def __init__(self, channel_of: Mapping[str, str]) -> None:
         self.channel_of = dict(channel_of)
-        self.channels = sorted(set(self.channel_of.values()) - {self.OTHER}) + [self.OTHER]
-        if len(self.channels) > MAX_CHANNELS:
-            raise ValueError(f"at most {MAX_CHANNELS} channels, got {len(self.channels)}")
-        self.other_code = len(self.channels) - 1
 
     def relation(self, spark: SparkSession) -> DataFrame:
-        """``known_segment, channel_code``, one row per known segment."""
+        """``known_segment, channel``, one row per known segment."""
         if not self.channel_of:
-            return spark.createDataFrame([], "known_segment string, channel_code int")
-        codes = {name: code for code, name in enumerate(self.channels)}
-        rows, values = [], {}
-        for i, (segment, channel) in enumerate(self.channel_of.items()):
-            rows.append(f"(:segment{i}, {codes[channel]})")
-            values[f"segment{i}"] = segment
-        text = f"SELECT * FROM VALUES {', '.join(rows)} AS channel_map(known_segment, channel_code)"
+            return spark.createDataFrame([], "known_segment string, channel string")
+        pairs = enumerate(self.channel_of.items())
+        values = {f"{kind}{i}": text for i, pair in pairs for kind, text in zip("sc", pair, strict=True)}
+        rows = ", ".join(f"(:s{i}, :c{i})" for i in range(len(self.channel_of)))
+        text = f"SELECT * FROM VALUES {rows} AS channel_map(known_segment, channel)"
         return spark.sql(text, args=values)
 
-    def with_code(self, df: DataFrame, segment: str) -> DataFrame:
-        """Add ``channel_code`` of the segment.
-
-        A short map is spelled out as a CASE expression: Spark then has no join to plan and
-        estimates the size of the frame rightly, which lets it broadcast a small lookup. A
-        longer one is joined.
-        """
-        if len(self.channel_of) <= LONGEST_CASE:
-            return df.selectExpr(*df.columns, f"{self.code_of(segment)} AS channel_code")
-        return self.join(df, segment)
-
-    def join(self, df: DataFrame, segment: str) -> DataFrame:
-        """The same by a left join; the map is a literal, so it is small enough to broadcast."""
+    def join(self, df: DataFrame, segment: str, into: str = "channel") -> DataFrame:
+        """Add the channel of a segment (J1); the map is a literal of the program, broadcast."""
         known = F.broadcast(self.relation(df.sparkSession))
         joined = df.join(known, F.expr(f"{segment} = known_segment"), "left")
-        code = f"coalesce(channel_code, {self.other_code}) AS channel_code"
-        return joined.selectExpr(*df.columns, code)
-
-    def names(self) -> str:
-        """SQL array of the channel names, in the order of their codes."""
-        return f"array({', '.join(literal(c) for c in self.channels)})"
-
-    def code_of(self, segment: str) -> str:
-        """SQL for the channel code of a segment."""
-        branches = []
-        for code, channel in enumerate(self.channels):
-            names = [literal(s) for s, c in self.channel_of.items() if c == channel]
-            if names and code != self.other_code:
-                branches.append(f"WHEN {segment} IN ({', '.join(names)}) THEN {code}")
-        if not branches:
-            return str(self.other_code)
-        return f"CASE {' '.join(branches)} ELSE {self.other_code} END"
+        channel = F.coalesce(known["channel"], F.lit(self.OTHER)).alias(into)
+        return joined.select(*[df[name] for name in df.columns], channel)
 
 
 # The shipped four-channel taxonomy.

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions import DateWindow
+from tidewatch.functions import DateWindow, missing_if_nan
+from tidewatch.functions.dates import day_start_utc
 
 
 def run_sql(
@@ -23,11 +24,17 @@ def run_sql(
     return spark.sql(text, args=dict(args or {}), **fields)
 
 
+def _instant(day: dt.date) -> Column:
+    """The instant at which a business day starts, as a literal."""
+    return F.expr(f"TIMESTAMP '{day_start_utc(day).isoformat(' ')}'")
+
+
 class SqlSource:
     """A metric source given as a SQL query per dimension level.
 
     The query returns ``metric_date``, ``dimension`` and measures. It marks the pull with
-    ``:start_date`` and ``:end_date``. What differs between levels it marks with ``{name}``
+    ``:start_date`` and ``:end_date``, or, for a raw time column, which Parquet can then skip by, with
+    the instants ``:start_instant`` (inclusive) and ``:end_instant`` (exclusive). What differs between levels it marks with ``{name}``
     fields: ``level_columns`` gives their values per level, a plain column reference or a
     string, which becomes a literal. ``relations`` are DataFrames the query names as ``{name}``.
     """
@@ -50,11 +57,20 @@ class SqlSource:
                 f"unknown dimension level {level!r}; known levels are {list(self.level_columns)}"
             )
         fields = self.relations | self.level_columns[level]
-        args = {"start_date": window.start, "end_date": window.end}
+        first, last = window.start or dt.date(1, 1, 1), window.end or dt.date(9999, 12, 30)
+        # As SQL literals: an open window reaches to years that plain dates cannot carry over.
+        args = {"start_date": F.expr(f"DATE '{first}'"), "end_date": F.expr(f"DATE '{last}'")}
+        if ":start_instant" in self.text:
+            args["start_instant"] = _instant(first)
+            args["end_instant"] = _instant(last + dt.timedelta(days=1))
         pulled = run_sql(self.spark, self.text, args, **fields)
         if window.days is not None:
             pulled = pulled.filter(F.col("metric_date").isin([F.lit(d) for d in window.days]))
-        measures = [c for c in pulled.columns if c not in ("metric_date", "dimension")]
+        measures = [
+            missing_if_nan(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+            for f in pulled.schema
+            if f.name not in ("metric_date", "dimension")
+        ]
         return pulled.select(
             "metric_date", F.lit(level).alias("dim_type"), "dimension", *measures
         )
