@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.llm.license_rules import rules
+from tidewatch.llm.licenses import scan, scan_text, score
+from tidewatch.llm.queries import QUERIES
+
+PHRASES = {"mit": ["mit", "license"], "apache": ["apache", "license"], "gpl": ["general", "public", "license"]}
+
+
+def plain_places(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    places = [
+        (i, label)
+        for i in range(len(words))
+        for label, phrase in PHRASES.items()
+        if words[i : i + len(phrase)] == phrase
+    ]
+    return len(words), places
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "MIT license, Mit-License; submit license; mit licenses; mit\n\nLICENSE",
+        "émit license mité license the general public  license",
+        "general public apache license license mit",
+        "",
+        None,
+        "mit license " * 500,
+    ],
+)
+def test_base_places_as_by_hand(text):
+    found = scan_text(text)
+    words, places = plain_places(text)
+    assert found[0] == words and list(zip(found[1], found[2], strict=True)) == places
+
+
+@pytest.mark.parametrize(
+    ("text", "names"),
+    [
+        ("Licensed under the Apache License, Version 2.0.", ["apache:granted"]),
+        ("Released under the MIT License.", ["mit:granted"]),
+        ("SPDX-License-Identifier: BSD-3-Clause", ["bsd:spdx"]),
+        ("under the GNU Lesser General Public License version 3", ["lgpl:titled"]),
+        ("Licensed under CC BY-NC 4.0.", ["cc-by-nc:granted"]),
+        ("see https://www.mozilla.org/MPL/2.0/", ["mpl:page"]),
+        ("a driver's license and a fishing licence", []),
+    ],
+)
+def test_what_lies_in_a_better_detection_goes(text, names):
+    assert scan_text(text)[3] == names
+
+
+def test_there_are_hundreds_of_rules_with_keywords_that_they_need():
+    assert len(rules()) > 200 and all(rule.keywords for rule in rules())
+
+
+def test_odd_documents(odd_docs, no_docs):
+    found = scan(odd_docs)
+    assert found.columns == [*odd_docs.columns, "license_scan"]
+    rows = found.withColumn("score", score(F.col("license_scan"))).collect()
+    assert len(rows) == odd_docs.count()
+    for row in rows:
+        words, places = plain_places(row["text"])
+        spotted = row["license_scan"]
+        assert spotted["n_words"] == words and spotted["place_words"] == [i for i, _ in places]
+        assert 0 <= row["score"] <= 1 and (row["score"] > 0) == bool(places or spotted["labels"])
+    assert scan(no_docs).count() == 0
+
+
+def test_query_lists_base_and_other_labels(spark):
+    rows = QUERIES["op7_licenses"](spark, "/root/testdata/sf0.001").collect()
+    for row in rows:
+        base, labels = (set(row[c].split(",")) - {""} for c in ("base_labels", "labels"))
+        assert base <= labels and (row["first_word"] is None) == (row["n_base"] == 0)
+    assert {"apache", "mit"} <= {label for r in rows for label in r["labels"].split(",")}
