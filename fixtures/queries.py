@@ -144,7 +144,7 @@ def _of_run(frame: Callable[[MonitorResult], DataFrame]) -> Query:
 
 
 def _of_both(frame: Callable[[list[MonitorResult]], DataFrame]) -> Query:
-    return lambda spark, sf: frame(run_both(spark, sf, persist=True))
+    return lambda spark, sf: frame(run_both(spark, sf))
 
 
 def funnel_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +172,7 @@ def date_check(spark: SparkSession, sf: str) -> DataFrame:
 
 def archive(spark: SparkSession, sf: str) -> DataFrame:
     costs = run_costs(conversation_usage(spark, sf))
-    results = run_both(spark, sf, persist=True)
+    results = run_both(spark, sf)
     return archive_row(results, parse_keys(REQUESTED), costs)
 
 

@@ -29,7 +29,7 @@ def _plain(value):
     if isinstance(value, Decimal):
         value = float(value)
     if isinstance(value, float):
-        return None if math.isnan(value) else value + 0.0
+        return "NaN" if math.isnan(value) else value + 0.0
     if isinstance(value, dt.datetime):
         return value.isoformat(" ")
     return value

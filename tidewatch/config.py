@@ -85,6 +85,14 @@ class MonitorConfig:
         unknown = set(self.comparisons) - set(COMPARISON_DAYS)
         if unknown:
             raise ConfigError(f"monitor {self.key!r}: unknown comparison {sorted(unknown)}")
+        if self.growth and "yoy" not in self.comparisons:
+            # Growth is year over year: without that comparison there are no growth sections.
+            object.__setattr__(self, "growth", None)
+        if self.growth and not any(
+            (m.numerator, m.denominator) == (self.growth.revenue, self.growth.orders)
+            for m in self.metrics
+        ):
+            raise ConfigError(f"monitor {self.key!r}: a growth model needs its revenue per order")
         for what, names in (
             ("metric", [m.key for m in self.metrics] + list(self.volume_metrics)),
             ("dimension", list(self.dimensions)),

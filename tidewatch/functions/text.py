@@ -13,6 +13,11 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def quoted(name: str) -> str:
+    """A column name in SQL, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _or_missing(value: str, text: str) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN {text} ELSE '{MISSING}' END"
 

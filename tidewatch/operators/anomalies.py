@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.config import MonitorConfig, RatioMetric
-from tidewatch.functions.text import literal
+from tidewatch.functions.text import literal, quoted
 from tidewatch.operators.ranking import add_global_rank
 
 HIGH, MEDIUM = "high", "medium"
@@ -31,7 +31,7 @@ def by_metric(detail: DataFrame, config: MonitorConfig) -> DataFrame:
     have = set(detail.columns)
 
     def number(column: str, name: str) -> str:
-        return f"CAST({column if column in have else 'NULL'} AS DOUBLE) AS {name}"
+        return f"CAST({quoted(column) if column in have else 'NULL'} AS DOUBLE) AS {name}"
 
     def row(position: int, metric: RatioMetric) -> str:
         fields = [
@@ -46,8 +46,11 @@ def by_metric(detail: DataFrame, config: MonitorConfig) -> DataFrame:
         ]
         return f"struct({', '.join(fields)})"
 
-    rows = ", ".join(row(i, m) for i, m in enumerate(config.metrics))
-    return detail.selectExpr("metric_date", "dim_type", "dimension", f"inline(array({rows}))")
+    # Without ratio metrics there is nothing to flag: an empty frame of the usual shape.
+    nothing = RatioMetric("", "", "", "")
+    rows = ", ".join(row(i, m) for i, m in enumerate(config.metrics or (nothing,)))
+    spread = detail if config.metrics else detail.limit(0)
+    return spread.selectExpr("metric_date", "dim_type", "dimension", f"inline(array({rows}))")
 
 
 def detect_anomalies(detail: DataFrame, config: MonitorConfig) -> DataFrame:

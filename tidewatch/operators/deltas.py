@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import MonitorConfig
 from tidewatch.functions import pct_change
+from tidewatch.functions.text import quoted
 
 KEYS = ("dim_type", "dimension")
 FORMS = ("pivot", "join", "window")
@@ -38,11 +39,11 @@ def add_deltas(
     columns = config.compared_columns(daily.columns)
     build = {"pivot": _by_pivot, "join": _by_join, "window": _by_window}[form]
     wide = build(daily, columns, config, anchor)
-    output = ["dimension", f"DATE '{anchor}' AS metric_date", *columns]
+    output = ["dimension", f"DATE '{anchor}' AS metric_date", *map(quoted, columns)]
     for name in config.offsets:
         for c in columns:
-            prior = f"{c}_{name}_prior"
-            output += [prior, f"{pct_change(c, prior)} AS {c}_{name}"]
+            prior = quoted(f"{c}_{name}_prior")
+            output += [prior, f"{pct_change(quoted(c), prior)} AS {quoted(f'{c}_{name}')}"]
     return wide.selectExpr(*output, "dim_type")
 
 
@@ -50,7 +51,9 @@ def _by_pivot(
     daily: DataFrame, columns: Sequence[str], config: MonitorConfig, anchor: dt.date
 ) -> DataFrame:
     def on_day(day: dt.date, column: str, name: str):
-        return F.expr(f"max({column}) FILTER (WHERE metric_date = DATE '{day}') AS {name}")
+        return F.expr(
+            f"max({quoted(column)}) FILTER (WHERE metric_date = DATE '{day}') AS {quoted(name)}"
+        )
 
     picked = [on_day(anchor, c, c) for c in columns]
     for name, offset in config.offsets.items():
@@ -69,12 +72,14 @@ def _on_days(config: MonitorConfig, anchor: dt.date) -> str:
 def _by_join(
     daily: DataFrame, columns: Sequence[str], config: MonitorConfig, anchor: dt.date
 ) -> DataFrame:
-    wide = daily.filter(F.col("metric_date") == F.lit(anchor)).select("metric_date", *KEYS, *columns)
+    wide = daily.filter(F.col("metric_date") == F.lit(anchor)).select(
+        "metric_date", *KEYS, *map(quoted, columns)
+    )
     for name, days in config.offsets.items():
         prior = daily.select(
             F.date_add("metric_date", days).alias("metric_date"),
             *KEYS,
-            *[F.col(c).alias(f"{c}_{name}_prior") for c in columns],
+            *[F.col(quoted(c)).alias(f"{c}_{name}_prior") for c in columns],
         ).filter(F.col("metric_date") == F.lit(anchor))
         wide = wide.join(prior, ["metric_date", *KEYS], "left")
     return wide
@@ -88,6 +93,6 @@ def _by_window(
     added = {}
     for name, days in config.offsets.items():
         window = Window.partitionBy(*KEYS).orderBy(day_number).rangeBetween(-days, -days)
-        added |= {f"{c}_{name}_prior": F.first(c).over(window) for c in columns}
+        added |= {f"{c}_{name}_prior": F.first(quoted(c)).over(window) for c in columns}
     rows = daily.filter(_on_days(config, anchor)).withColumns(added)
     return rows.filter(F.col("metric_date") == F.lit(anchor))

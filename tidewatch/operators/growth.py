@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import COMPARISON_DAYS, GrowthModel
 from tidewatch.functions import pct_change, safe_ratio
+from tidewatch.functions.text import quoted
 
 DRIVERS = ("top_of_funnel", "conversion", "monetization")
 
 
 def _factors(growth: GrowthModel, suffix: str) -> dict[str, str]:
     visitors, orders, revenue = (
-        name + suffix for name in (growth.visitors, growth.orders, growth.revenue)
+        quoted(name + suffix) for name in (growth.visitors, growth.orders, growth.revenue)
     )
     return {
         "top_of_funnel": f"CAST({visitors} AS DOUBLE)",
@@ -37,12 +38,12 @@ def growth_decomposition(summary: DataFrame, growth: GrowthModel) -> DataFrame:
         f" {then[driver]} AS factor_prior)"
         for i, driver in enumerate(DRIVERS)
     ]
-    revenue = f"CAST({growth.revenue} AS DOUBLE)"
-    prior = f"CAST({growth.revenue}_yoy_prior AS DOUBLE)"
+    now_revenue, then_revenue = quoted(growth.revenue), quoted(f"{growth.revenue}_yoy_prior")
+    revenue, prior = f"CAST({now_revenue} AS DOUBLE)", f"CAST({then_revenue} AS DOUBLE)"
     positive = " AND ".join(f"({factor}) > 0" for factor in [*now.values(), *then.values()])
     unpivoted = summary.selectExpr(
         f"CASE WHEN {positive} AND {revenue} <> {prior} THEN ln({revenue} / {prior}) END AS log_growth",
-        f"{pct_change(growth.revenue, growth.revenue + '_yoy_prior')} AS revenue_yoy",
+        f"{pct_change(now_revenue, then_revenue)} AS revenue_yoy",
         f"inline(array({', '.join(rows)}))",
     )
     share = "CASE WHEN log_growth IS NOT NULL THEN ln(factor_current / factor_prior) / log_growth END"

@@ -58,7 +58,7 @@ def resolve_report_date(sot: DataFrame | None, date: str | dt.date | None = None
     if date:
         day = as_date(date)
         if sot is not None and not sot_has_date(sot, day):
-            log.warning("date %s is not in the source of truth; results may be partial", day)
+            log.warning("date %s is not in the source of truth; numbers of that day can be incomplete", day)
         return day
     if sot is None:
         raise ValueError("give a report date, there is no source of truth to take it from")
@@ -153,11 +153,18 @@ class MonitorResult:
         return channel_contribution(self.comparison, self.anchor, self.config.growth.revenue)
 
     def unpersist(self) -> None:
-        """Let go of the frames a persisted run keeps."""
-        for df in (self.validations, self.anomalies, self.detail, self.comparison):
+        """Let go of the frames a persisted run keeps; those never used are not built for it."""
+        built = (self.__dict__.get(name) for name in ("validations", "anomalies", "detail"))
+        for df in (*built, self.comparison):
             if df is not None:
                 df.unpersist()
 
+    def __enter__(self) -> MonitorResult:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.unpersist()
+
 
 class MonitorEngine:
     """Runs registered monitors over the data bound to them."""
@@ -180,7 +187,7 @@ class MonitorEngine:
         self,
         key: str,
         date: str | dt.date | None = None,
-        persist: bool = True,
+        persist: bool = False,
         form: str = "pivot",
     ) -> MonitorResult:
         """Plan one monitor (M8).
@@ -206,7 +213,7 @@ class MonitorEngine:
         self,
         keys: str | Sequence[str],
         date: str | dt.date | None = None,
-        persist: bool = True,
+        persist: bool = False,
     ) -> list[MonitorResult]:
         """Plan several monitors; unknown keys are skipped with a warning (M9)."""
         results = []

@@ -20,6 +20,7 @@ from tidewatch.functions.text import (
     literal,
     money,
     percent,
+    quoted,
     record_json,
     signed_percent,
     whole,
@@ -56,7 +57,7 @@ def scorecard(summary: DataFrame, config: MonitorConfig) -> DataFrame:
     have = set(summary.columns)
 
     def number(column: str, name: str) -> str:
-        return f"CAST({column if column in have else 'NULL'} AS DOUBLE) AS {name}"
+        return f"CAST({quoted(column) if column in have else 'NULL'} AS DOUBLE) AS {name}"
 
     rows = [
         f"struct({i} AS position, {literal(line.column)} AS metric, {literal(line.label)} AS label,"
@@ -79,8 +80,8 @@ def channel_table(breakdown: DataFrame, config: MonitorConfig) -> DataFrame:
     columns = [
         x for name in (growth.revenue, growth.orders, per_order) for x in (name, f"{name}_yoy")
     ]
-    small = f"{growth.orders} < {config.rules.min_denominator} AS small_denominator"
-    return breakdown.selectExpr("dimension", *columns, small)
+    small = f"{quoted(growth.orders)} < {config.rules.min_denominator} AS small_denominator"
+    return breakdown.selectExpr("dimension", *map(quoted, columns), small)
 
 
 def headline(result: MonitorResult) -> DataFrame:
@@ -90,7 +91,7 @@ def headline(result: MonitorResult) -> DataFrame:
         text = f"concat({literal(result.name)}, ': ', anomaly_count, ' anomalies flagged')"
         return anomaly_counts(result.anomalies).selectExpr(f"{text} AS headline")
     totals = result.summary.selectExpr(
-        f"{growth.revenue} AS revenue", f"{growth.revenue}_yoy AS yoy"
+        f"{quoted(growth.revenue)} AS revenue", f"{quoted(growth.revenue + '_yoy')} AS yoy"
     ).agg(F.max("revenue").alias("revenue"), F.max("yoy").alias("yoy"))
     part = f"concat({DRIVER}, ' ', {signed_percent('factor_yoy')}) AS text"
     # Three rows at most, one per driver.
