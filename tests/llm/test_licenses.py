@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import re
+from re import _parser
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm.license_rules import rules
+from tidewatch.llm.license_rules import GATE, rules
 from tidewatch.llm.licenses import scan, scan_text, score
 from tidewatch.llm.queries import QUERIES
 
@@ -61,6 +62,64 @@ def test_there_are_hundreds_of_rules_with_keywords_that_they_need():
     assert len(rules()) > 200 and all(rule.keywords for rule in rules())
 
 
+def examples(parsed, space):
+    """Texts that a parsed pattern matches: each branch and each optional part, once at least."""
+    texts = [""]
+    for op, value in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            ways = [chr(value)]
+        elif op == "IN":
+            kind, first = value[0] if str(value[0][0]) != "NEGATE" else (None, None)
+            kind = str(kind)
+            is_space = kind == "CATEGORY" and "SPACE" in str(first)
+            ways = [space if is_space else "w" if kind in ("CATEGORY", "None") else chr(first[0] if kind == "RANGE" else first)]
+        elif op == "BRANCH":
+            ways = [way for branch in value[1] for way in examples(branch, space)]
+        elif op == "SUBPATTERN":
+            ways = examples(value[3], space)
+        elif op in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+            low, _, part = value
+            ways = [way * max(low, 1) for way in examples(part, space)] + [""] * (low == 0)
+        elif op == "ANY":
+            ways = ["x"]
+        else:
+            assert op in ("AT", "ASSERT_NOT", "ASSERT"), op
+            ways = [""]
+        width = max(len(texts), len(ways))
+        # Pair them instead of all products: every way of every part occurs.
+        texts = [texts[i % len(texts)] + ways[i % len(ways)] for i in range(width)] + (
+            [text + ways[0] for text in texts[1:]] if len(ways) > 1 else []
+        )
+        texts = list(dict.fromkeys(texts))
+    return texts
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\t  \n", "\u00a0"])
+def test_keywords_are_in_every_text_that_a_rule_matches(space):
+    for rule in rules():
+        matched = [t for t in examples(_parser.parse(rule.pattern.pattern), space) if rule.pattern.search(t)]
+        assert matched, rule.name
+        for text in matched:
+            assert any(word in text for word in GATE), (rule.name, text)
+            assert any(all(word in text for word in words) for words in rule.keywords), (rule.name, text)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("Licensed under the GNU GPL v3", "gpl"),
+        ("Licensed under Creative Commons Zero", "cc0"),
+        ("the GNU Library General Public License", "lgpl"),
+        ("the Eclipse\nPublic License", "epl"),
+        ("this is subject\nto the Mozilla\nPublic License", "mpl"),
+        ("Released\nunder CC0", "cc0"),
+    ],
+)
+def test_other_names_and_wrapped_lines_are_found(text, label):
+    assert label in scan_text(text)[4]
+
+
 def test_odd_documents(odd_docs, no_docs):
     found = scan(odd_docs)
     assert found.columns == [*odd_docs.columns, "license_scan"]

@@ -6,29 +6,30 @@ import re
 from dataclasses import dataclass
 from functools import cache
 
-# Label, keyword, SPDX identifiers, ways to write the name, page on the web. A
-# name is a pattern over lower-case text; white space in it stands for any white space.
+# Label, keywords, SPDX identifiers, ways to write the name, page on the web. A
+# name is a pattern over lower-case text; white space in it stands for any white space. Keywords are
+# alternatives of single words: every way to write the name has all words of one of them.
 LICENSES = (
-    ("mit", "mit", "mit(?:-0)?", "mit|expat", r"opensource\.org/licenses/mit"),
+    ("mit", "mit|expat", "mit(?:-0)?", "mit|expat", r"opensource\.org/licenses/mit"),
     ("apache", "apache", r"apache-(?:1\.[01]|2\.0)", r"apache(?: software)?", r"www\.apache\.org/licenses"),
-    ("gpl", "general public", r"gpl-[123]\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public|gnu gpl", r"www\.gnu\.org/licenses/(?:old-licenses/)?gpl"),
-    ("lgpl", "lesser", r"lgpl-[23]\.[01](?:-only|-or-later|\+)?", r"(?:gnu )?(?:lesser|library) general public", r"www\.gnu\.org/licenses/(?:old-licenses/)?lgpl"),
+    ("gpl", "general public|gnu gpl", r"gpl-[123]\.0(?:-only|-or-later|\+)?", r"(?:gnu )?general public|gnu gpl", r"www\.gnu\.org/licenses/(?:old-licenses/)?gpl"),
+    ("lgpl", "lesser general|library general", r"lgpl-[23]\.[01](?:-only|-or-later|\+)?", r"(?:gnu )?(?:lesser|library) general public", r"www\.gnu\.org/licenses/(?:old-licenses/)?lgpl"),
     ("agpl", "affero", r"agpl-[13]\.0(?:-only|-or-later|\+)?", r"(?:gnu )?affero general public", r"www\.gnu\.org/licenses/agpl"),
     ("gfdl", "free documentation", r"gfdl-1\.[123](?:-only|-or-later)?", r"(?:gnu )?free documentation", r"www\.gnu\.org/licenses/fdl"),
     ("bsd", "bsd", r"0?bsd(?:-[1234]-clause)?", r"(?:new |modified |simplified |original |[234]-clause )?bsd(?: [234]-clause)?", r"opensource\.org/licenses/bsd"),
-    ("isc", "isc", "isc", "isc|internet systems consortium", r"opensource\.org/licenses/isc"),
+    ("isc", "isc|internet consortium", "isc", "isc|internet systems consortium", r"opensource\.org/licenses/isc"),
     ("mpl", "mozilla", r"mpl-[12]\.[01]", "mozilla public", r"(?:www\.)?mozilla\.org/mpl"),
     ("epl", "eclipse public", r"epl-[12]\.0", "eclipse public", r"www\.eclipse\.org/legal/epl"),
     ("edl", "eclipse distribution", "bsd-3-clause-edl", "eclipse distribution", r"www\.eclipse\.org/org/documents/edl"),
-    ("cddl", "cddl", r"cddl-1\.[01]", "common development and distribution|cddl", r"opensource\.org/licenses/cddl"),
+    ("cddl", "cddl|common development", r"cddl-1\.[01]", "common development and distribution|cddl", r"opensource\.org/licenses/cddl"),
     ("cpl", "common public", r"cpl-1\.0", "common public", r"opensource\.org/licenses/cpl"),
     ("eupl", "european union public", r"eupl-1\.[012]", "european union public", r"joinup\.ec\.europa\.eu/.{0,40}eupl"),
     ("artistic", "artistic", r"artistic-[12]\.0", "(?:perl )?artistic", r"opensource\.org/licenses/artistic"),
     ("zlib", "zlib", "zlib", "zlib(?:/libpng)?", r"opensource\.org/licenses/zlib"),
     ("boost", "boost", r"bsl-1\.0", "boost(?: software)?", r"www\.boost\.org/license"),
     ("unlicense", "unlicense", "unlicense", "unlicense", r"unlicense\.org"),
-    ("wtfpl", "wtfpl", "wtfpl", "wtfpl|do what the fuck you want to public", r"www\.wtfpl\.net"),
-    ("python", "python", r"psf-2\.0|python-2\.0", "python(?: software foundation)?|psf", r"docs\.python\.org/.{0,20}license"),
+    ("wtfpl", "wtfpl|fuck", "wtfpl", "wtfpl|do what the fuck you want to public", r"www\.wtfpl\.net"),
+    ("python", "python|psf", r"psf-2\.0|python-2\.0", "python(?: software foundation)?|psf", r"docs\.python\.org/.{0,20}license"),
     ("php", "php", r"php-3\.0[01]?", "php", r"www\.php\.net/license"),
     ("ruby", "ruby", "ruby", "ruby", r"www\.ruby-lang\.org/.{0,10}license"),
     ("openssl", "openssl", "openssl", "openssl", r"www\.openssl\.org/source/license"),
@@ -56,33 +57,34 @@ LICENSES = (
     ("odbl", "open database", r"odbl-1\.0", "open database", r"opendatacommons\.org/licenses/odbl"),
     ("odc-by", "open data commons", r"odc-by-1\.0", "open data commons attribution", r"opendatacommons\.org/licenses/by"),
     ("pddl", "public domain dedication", r"pddl-1\.0", "public domain dedication(?: and)?", r"opendatacommons\.org/licenses/pddl"),
-    ("cc0", "cc0", r"cc0-1\.0", r"cc0|creative commons zero|cc zero", r"creativecommons\.org/publicdomain/zero"),
-    ("cc-by", "", r"cc-by-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)(?! ?-? ?(?:nc|sa|nd|non|share|no))", r"creativecommons\.org/licenses/by/"),
-    ("cc-by-sa", "", r"cc-by-sa-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:sa|share ?-?alike)", r"creativecommons\.org/licenses/by-sa"),
-    ("cc-by-nd", "", r"cc-by-nd-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nd|no ?-?deriv\w*)", r"creativecommons\.org/licenses/by-nd"),
-    ("cc-by-nc", "", r"cc-by-nc-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nc|non ?-?commercial)(?! ?-? ?(?:sa|nd|share|no ?-?deriv))", r"creativecommons\.org/licenses/by-nc/"),
-    ("cc-by-nc-sa", "", r"cc-by-nc-sa-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nc|non ?-?commercial)[ -](?:sa|share ?-?alike)", r"creativecommons\.org/licenses/by-nc-sa"),
-    ("cc-by-nc-nd", "", r"cc-by-nc-nd-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nc|non ?-?commercial)[ -](?:nd|no ?-?deriv\w*)", r"creativecommons\.org/licenses/by-nc-nd"),
+    ("cc0", "cc0|creative zero|cc zero", r"cc0-1\.0", r"cc0|creative commons zero|cc zero", r"creativecommons\.org/publicdomain/zero"),
+    ("cc-by", "cc|creative", r"cc-by-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)(?! ?-? ?(?:nc|sa|nd|non|share|no))", r"creativecommons\.org/licenses/by/"),
+    ("cc-by-sa", "cc|creative", r"cc-by-sa-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:sa|share ?-?alike)", r"creativecommons\.org/licenses/by-sa"),
+    ("cc-by-nd", "cc|creative", r"cc-by-nd-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nd|no ?-?deriv\w*)", r"creativecommons\.org/licenses/by-nd"),
+    ("cc-by-nc", "cc|creative", r"cc-by-nc-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nc|non ?-?commercial)(?! ?-? ?(?:sa|nd|share|no ?-?deriv))", r"creativecommons\.org/licenses/by-nc/"),
+    ("cc-by-nc-sa", "cc|creative", r"cc-by-nc-sa-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nc|non ?-?commercial)[ -](?:sa|share ?-?alike)", r"creativecommons\.org/licenses/by-nc-sa"),
+    ("cc-by-nc-nd", "cc|creative", r"cc-by-nc-nd-[1234]\.[05]", r"(?:cc|creative commons)[ -](?:by|attribution)[ -](?:nc|non ?-?commercial)[ -](?:nd|no ?-?deriv\w*)", r"creativecommons\.org/licenses/by-nc-nd"),
 )
 
 # Form, keyword, pattern, priority, score.
 FORMS = (
     ("spdx", "spdx", r"spdx-license-identifier:? *(?:{spdx})\b", 5, 1.0),
     ("granted", "under", r"(?:licen[cs]ed|released|distributed|available|published|provided|covered|redistribute it)(?: and/or modified| to you)?(?: only)? under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: public)?(?: licen[cs]e)?(?:,? (?:version|v) ?[0-9.]*[0-9]| [0-9]\.[0-9])?", 4, 0.95),
-    ("subject", "subject to", r"subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e)?(?:,? (?:version|v) ?[0-9.]*[0-9])?", 3, 0.9),
+    ("subject", "subject", r"subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e)?(?:,? (?:version|v) ?[0-9.]*[0-9])?", 3, 0.9),
     ("page", "://", r"https?://{page}[^\s\"'<>]*", 3, 0.9),
     ("titled", "licen", r"\b(?:{name}) licen[cs]e(?:,? (?:version|v)? ?[0-9.]*[0-9])?", 2, 0.8),
     ("field", "licen", r"\blicen[cs]e:? (?:the )?(?:{name})\b", 1, 0.7),
 )
 #: A text without any of these cannot match a rule and is not looked at further.
-GATE = ("licen", "spdx", " under", "subject to", "://")
+GATE = ("licen", "spdx", "under", "subject", "://")
 
 
 @dataclass(frozen=True)
 class Rule:
     name: str
     label: str
-    keywords: tuple[str, ...]
+    #: A text that the pattern matches has all words of one of these.
+    keywords: tuple[tuple[str, ...], ...]
     pattern: re.Pattern
     priority: int
     score: float
@@ -95,12 +97,12 @@ def rules() -> tuple[Rule, ...]:
     for label, keyword, spdx, name, page in LICENSES:
         for form, needed, pattern, priority, score in FORMS:
             text = pattern.replace("{spdx}", spdx).replace("{name}", name).replace("{page}", page)
-            own = () if form in ("spdx", "page") or not keyword else (keyword,)
-            own = () if "|" in name and keyword in ("mit", "isc", "cddl", "wtfpl", "python") else own
+            own = [()] if form in ("spdx", "page") else [ways.split() for ways in keyword.split("|")]
+            keywords = tuple((needed, *words) for words in own)
             if form != "page":
                 text = text.replace(" *", r"\s*").replace(" ?", r"\s?").replace(" ", r"\s+")
                 text = text.replace("[\\s+-]", r"[\s-]+")
             made.append(
-                Rule(f"{label}:{form}", label, (needed, *own), re.compile(text), priority, score)
+                Rule(f"{label}:{form}", label, keywords, re.compile(text), priority, score)
             )
     return tuple(made)

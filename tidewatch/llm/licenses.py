@@ -1,6 +1,7 @@
 """License scan with ordered signature rules (operator 7).
 
-A few keywords decide whether a text is looked at; rules then run whose own keywords occur. Where
+A few keywords decide whether a text is looked at; rules then run whose own keywords occur. Keywords
+are single words that every match has, so they lose none. Where
 detections overlap, the one of higher priority, then the longer, then the earlier rule stays, and
 what lies within the interval of a detection that stayed goes. Three base phrases are looked for
 besides, as consecutive words, in every text; their places and labels are always reported.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -80,9 +82,10 @@ def detections(text: str) -> list[tuple[int, int, int, float, str, str]]:
     """What rules find, without what lies within a detection that ranks before it."""
     if not any(keyword in text for keyword in GATE):
         return []
+    has = cache(text.__contains__)
     found = []
     for number, rule in enumerate(rules()):
-        if all(keyword in text for keyword in rule.keywords):
+        if any(all(map(has, words)) for words in rule.keywords):
             found.extend(
                 (-rule.priority, m.start() - m.end(), number, m.start(), m.end(), rule)
                 for m in rule.pattern.finditer(text)
