@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.llm.quality_classifier import classify, is_held_out, learn
@@ -48,3 +50,16 @@ def test_odd_documents_and_labels(spark, odd_docs, no_docs):
     none = classify(odd_docs, labels.limit(0)).collect()
     assert {r["quality_score"] for r in none} == {0.5}
     assert classify(no_docs, labels).count() == 0
+
+
+@pytest.mark.parametrize("letters", [("abcdefghijkl", "mnopqrstuvwx"), ("абвгдежзиклм", "αβγδεζηθικλμ")])
+def test_a_label_that_depends_on_vocabulary_alone(spark, letters):
+    """Words of the same lengths and shapes; only which words there are tells good from bad."""
+    generator = random.Random(5)
+    words = [["".join(generator.choices(own, k=6)) for _ in range(300)] for own in letters]
+    rows = [(i, " ".join(generator.choices(words[i % 2], k=60)), i % 2) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    found = classify(frame.select("doc_id", "text"), frame.select("doc_id", "quality"))
+    held = found.where(is_held_out(F.col("doc_id"))).collect()
+    assert len(held) > 50
+    assert all((r["quality_score"] >= 0.7) == bool(r["doc_id"] % 2) for r in held)
