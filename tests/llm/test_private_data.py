@@ -95,6 +95,20 @@ def test_terms_that_reveal_an_entity_are_found_and_others_stay(spark):
     assert sorted(map(str, (clean[242], clean[243]))) == ["", "None"]
 
 
+def test_terms_far_from_an_entity_and_without_it_are_found(spark):
+    generator = random.Random(3)
+    common = lambda n: " ".join("w%d" % generator.randrange(40) for _ in range(n))
+    texts = [f"Zorblax {common(30)} z@private.example {common(20)} zorblax" for _ in range(3)]
+    texts += [f"{common(10)} Zorblax {common(5)}"] + [common(30) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in find_private_data(docs).where("doc_id < 10").collect():
+        added = [texts[row["doc_id"]][s["start"] : s["end"]] for s in row["added"] or []]
+        assert added == [["Zorblax", "zorblax"], ["Zorblax"], []][(row["doc_id"] > 2) + (row["doc_id"] > 3)]
+    clean = {r["doc_id"]: r["text"] for r in sanitised(docs).collect()}
+    assert not any("zorblax" in clean[i].lower() for i in range(4))
+    assert all(clean[i] == texts[i] for i in range(4, len(texts)))
+
+
 def test_counts_of_candidates_are_exact(spark):
     docs = revealing_corpus(spark)
     wanted = spark.createDataFrame([("zorblax",), ("w3",), ("absent",)], "term string")

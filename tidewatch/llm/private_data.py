@@ -5,13 +5,19 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers. Each diffe
 protected entity. A term beside an entity may reveal it too: how strongly, the corpus tells. With
 the information content IC(e) = -log p(e) of an entity and the mutual information
 PMI(t, e) = log(p(t, e) / (p(t) p(e))), a term discloses PMI / IC of the entity: all of it if the
-term comes with no other text. Probabilities are shares of documents. Terms in a window of words
-around the entity are looked at; a term is sanitised where it discloses ``MAX_DISCLOSURE`` or more
-and was seen beside the entity in ``MIN_CONTEXTS`` different windows (copies of one passage are
-one window). It is removed if it discloses nearly all, else generalised to its kind.
-
-Terms are counted over all documents. To keep that small, tasks count only terms that may be
-candidates, by a bitmap of fixed size that cannot miss one; counts are exact.
+term comes with no other text. Probabilities are shares of documents, and a pair is in every
+document that holds both, however far apart. One of the different texts that hold a pair is left out
+of p(t, e) (smoothing: of n different texts with the pair, n - 1 count), so copies of one text, or a
+pair in one text only, say nothing about the term: once the entity is sanitised there, no other text
+links the two. A term that discloses ``MAX_DISCLOSURE`` or more of any entity is sanitised at every
+occurrence in every document; removed if it discloses nearly all, else generalised to its kind.
+
+Documents are counted over the whole corpus. Pairs that cannot reach ``MAX_DISCLOSURE`` because the
+term is too frequent are not shuffled: PMI / IC is at most what p(t, e) = p(e) gives, so a term must be
+in at most n(e)^m * N^(1 - m) of N documents, m being MAX_DISCLOSURE. Frequent terms and entities, in
+one of ``FREQUENT`` documents or more, are broadcast for that: at most FREQUENT times the mean number of
+different terms of a document, whatever the corpus. Terms are looked for by a bitmap of fixed size that
+cannot miss one, and then exactly.
 
 Defined cases: a NULL or empty text has no spans and stays as it is; equal texts share their spans;
 repeated rows and NULL ids get a result each; an empty table gives an empty result; other columns of
@@ -37,8 +43,7 @@ from tidewatch.llm.common import cut, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-WINDOW_WORDS = 8
-MIN_CONTEXTS = 4
+FREQUENT = 500
 MAX_DISCLOSURE = 0.8
 REMOVE_FROM = 0.95
 #: Bits of the candidate bitmap: 2 MB, whatever the corpus.
@@ -99,18 +104,16 @@ def value_of(kind: int, text: str) -> str:
     return f"{KINDS[kind]}:" + (text.lower() if kind < 2 else "".join(DIGIT.findall(text)))
 
 
-def words_around(text: str, start: int, end: int) -> list[re.Match]:
-    """The words nearest to a span on either side."""
-    reach = 40
-    while True:
-        first, last = max(0, start - reach), min(len(text), end + reach)
-        before = [m for m in WORD.finditer(text, first, start) if m.start() > first or first == 0]
-        after = [m for m in WORD.finditer(text, end, last) if m.end() < last or last == len(text)]
-        done_before = len(before) >= WINDOW_WORDS or first == 0
-        done_after = len(after) >= WINDOW_WORDS or last == len(text)
-        if done_before and done_after:
-            return before[-WINDOW_WORDS:] + after[:WINDOW_WORDS]
-        reach *= 2
+def free_words(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Places of the words that lie in no span."""
+    ahead, last = 0, 0
+    for match in WORD.finditer(text):
+        start, end = match.span()
+        while ahead < len(spans) and spans[ahead][0] < end:
+            last = max(last, spans[ahead][2])
+            ahead += 1
+        if start >= last:
+            yield start, end
 
 
 SPANS = StructType(
@@ -120,12 +123,8 @@ SPANS = StructType(
         StructField("ends", ArrayType(LongType())),
         StructField("values", ArrayType(StringType())),
         StructField("base_sha256", StringType()),
-        # One entry per entity and word beside it.
-        StructField("near_values", ArrayType(StringType())),
-        StructField("near_terms", ArrayType(StringType())),
-        StructField("near_starts", ArrayType(LongType())),
-        StructField("near_ends", ArrayType(LongType())),
-        StructField("near_windows", ArrayType(LongType())),
+        # Different words of the document outside the spans; none without spans.
+        StructField("terms", ArrayType(StringType())),
     ]
 )
 
@@ -136,21 +135,14 @@ def span_text(spans: list[tuple[int, int, int]]) -> str:
 
 def find_spans(text: str | None) -> tuple:
     spans = base_spans(text)
-    near = []
     values = [value_of(kind, text[start:end]) for start, kind, end in spans]
-    taken = [(start, end) for start, _, end in spans]
-    for value, (start, _, end) in zip(values, spans, strict=True):
-        words = words_around(text, start, end)
-        words = [m for m in words if not any(a < m.end() and m.start() < b for a, b in taken)]
-        window = zlib.crc32(" ".join(m[0].lower() for m in words).encode())
-        near.extend((value, m[0].lower(), m.start(), m.end(), window) for m in words)
     return (
         [kind for _, kind, _ in spans],
         [start for start, _, _ in spans],
         [end for _, _, end in spans],
         values,
         hashlib.sha256(span_text(spans).encode()).hexdigest(),
-        *([row[i] for row in near] for i in range(5)),
+        list({text[start:end].lower() for start, end in free_words(text, spans)}) if spans else [],
     )
 
 
@@ -165,8 +157,8 @@ def text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
-def document_frequencies(docs: DataFrame, text: str, candidates: DataFrame) -> DataFrame:
-    """Documents that hold each term, exact for all candidates: (term, n_docs)."""
+def term_bitmap(candidates: DataFrame) -> bytes:
+    """Bits of the hashes of all terms in the column ``term``."""
     # Numbers from 1 on: bucket n then holds the 32,768 numbers from (n - 1) * 32,768 + 1 on.
     number = (F.crc32("term") % BITMAP_BITS) + 1
     parts = (
@@ -177,24 +169,35 @@ def document_frequencies(docs: DataFrame, text: str, candidates: DataFrame) -> D
     bitmap = np.zeros((BITMAP_BITS // BUCKET_BITS, BUCKET_BITS // 8), np.uint8)
     for row in parts:
         bitmap[row["bucket"] - 1] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.tobytes())
+    return bitmap.tobytes()
+
+
+class Wanted:
+    """Which terms may be in a bitmap."""
+
+    def __init__(self, bitmap: bytes) -> None:
+        self.may_be = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
+        self.known: dict[str, bool] = {}
+
+    def __call__(self, term: str) -> bool:
+        wanted = self.known.get(term)
+        if wanted is None:
+            wanted = bool(self.may_be[zlib.crc32(term.encode()) % BITMAP_BITS])
+            if len(self.known) < 300_000:
+                self.known[term] = wanted
+        return wanted
+
+
+def document_frequencies(docs: DataFrame, text: str, candidates: DataFrame) -> DataFrame:
+    """Documents that hold each term, exact for all candidates: (term, term_docs)."""
+    shared = docs.sparkSession.sparkContext.broadcast(term_bitmap(candidates))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        may_be = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little")
+        wanted = Wanted(shared.value)
         counts: Counter[str] = Counter()
-        known: dict[str, bool] = {}
         for frame in batches:
             for whole in frame["whole"]:
-                if not whole:
-                    continue
-                for term in set(WORD.findall(whole.lower())):
-                    wanted = known.get(term)
-                    if wanted is None:
-                        wanted = bool(may_be[zlib.crc32(term.encode()) % BITMAP_BITS])
-                        if len(known) < 300_000:
-                            known[term] = wanted
-                    if wanted:
-                        counts[term] += 1
+                counts.update(filter(wanted, set(WORD.findall((whole or "").lower()))))
             if len(counts) > 200_000:
                 yield pd.DataFrame(counts.items(), columns=["term", "n_docs"])
                 counts.clear()
@@ -206,40 +209,74 @@ def document_frequencies(docs: DataFrame, text: str, candidates: DataFrame) -> D
     return partial.groupBy("term").agg(F.sum("n_docs").alias("term_docs"))
 
 
+def pair_counts(holders: DataFrame, terms: DataFrame, entities: DataFrame, total: int) -> DataFrame:
+    """Documents and different texts that hold both: (value, term, pair_docs, texts).
+
+    Pairs whose term is too frequent to reach MAX_DISCLOSURE are left out.
+    """
+    least = total / FREQUENT
+    frequent_terms = dict(terms.where(F.col("term_docs") >= least).toLocalIterator())
+    frequent_values = dict(entities.where(F.col("value_docs") >= least).toLocalIterator())
+    shared = holders.sparkSession.sparkContext.broadcast((frequent_terms, frequent_values))
+    names = ["value", "term", "pair_docs", "texts"]
+
+    def rows(counts: dict) -> pd.DataFrame:
+        return pd.DataFrame([(*pair, *n) for pair, n in counts.items()], columns=names)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often, values_often = shared.value
+        counts: dict[tuple[str, str], list[int]] = {}
+        for frame in batches:
+            for values, terms, copies in zip(frame["values"], frame["terms"], frame["copies"], strict=True):
+                for value in set(values):
+                    most = values_often.get(value, least) ** MAX_DISCLOSURE * total ** (1 - MAX_DISCLOSURE)
+                    for term in terms:
+                        # A little more, as rounding must not lose a pair.
+                        if often.get(term, 0) <= most * 1.000001:
+                            count = counts.setdefault((value, term), [0, 0])
+                            count[0] += copies
+                            count[1] += 1
+                if len(counts) > 200_000:
+                    yield rows(counts)
+                    counts.clear()
+        yield rows(counts)
+
+    partial = holders.select("values", "terms", "copies").mapInPandas(
+        counted, "value string, term string, pair_docs long, texts long"
+    )
+    return partial.groupBy("value", "term").agg(
+        F.sum("pair_docs").alias("pair_docs"), F.sum("texts").alias("texts")
+    )
+
+
 def disclosures(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
     """Pairs of entity and term that disclose too much: (value, term, disclosure).
 
     ``found`` has one row per document: ``text_key`` and the struct ``spans``.
     """
-    total = found.count()
+    total = max(found.count(), 1)
     with_spans = found.where(F.size("spans.kinds") > 0)
-    entities = (
-        with_spans.select(F.explode(F.array_distinct("spans.values")).alias("value"))
+    # Equal texts have equal spans and terms.
+    holders = cut(
+        with_spans.groupBy("text_key").agg(
+            F.any_value("spans.values").alias("values"),
+            F.any_value("spans.terms").alias("terms"),
+            F.count("*").alias("copies"),
+        )
+    )
+    entities = cut(
+        holders.select(F.explode(F.array_distinct("values")).alias("value"), "copies")
         .groupBy("value")
-        .agg(F.count("*").alias("value_docs"))
+        .agg(F.sum("copies").alias("value_docs"))
     )
-    near = with_spans.select(
-        F.explode(
-            F.array_distinct(
-                F.arrays_zip(
-                    F.col("spans.near_values").alias("value"),
-                    F.col("spans.near_terms").alias("term"),
-                    F.col("spans.near_windows").alias("window"),
-                )
-            )
-        ).alias("n")
-    ).select("n.*")
-    by_window = near.groupBy("value", "term", "window").agg(F.count("*").alias("n_docs"))
-    pairs = cut(
-        by_window.groupBy("value", "term")
-        .agg(F.sum("n_docs").alias("pair_docs"), F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= MIN_CONTEXTS)
+    terms = cut(
+        document_frequencies(docs, text, holders.select(F.explode("terms").alias("term")))
     )
-    terms = document_frequencies(docs, text, pairs)
+    # A pair in one text only has nothing left when that text is left out.
+    pairs = cut(pair_counts(holders, terms, entities, total).where("texts > 1"))
     joined = pairs.join(terms, "term").join(entities, "value")
-    count = F.lit(float(max(total, 1)))
-    # More windows than documents may hold a pair; a share is at most that of either part.
-    both = F.least("pair_docs", "term_docs", "value_docs")
+    count = F.lit(float(total))
+    both = F.col("pair_docs") * (F.col("texts") - 1) / F.col("texts")
     pmi = F.log(both * count / (F.col("term_docs") * F.col("value_docs")))
     content = F.log(count / F.col("value_docs"))
     share = F.when(content > 0, pmi / content).otherwise(0.0)
@@ -248,30 +285,35 @@ def disclosures(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
     )
 
 
+def term_places(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """Where terms may stand outside base spans: (text_key, term, start, end)."""
+    shared = docs.sparkSession.sparkContext.broadcast(term_bitmap(terms))
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = Wanted(shared.value)
+        for frame in batches:
+            rows = []
+            for key, whole in zip(frame["text_key"], frame["whole"], strict=True):
+                if not whole or not any(map(wanted, set(WORD.findall(whole.lower())))):
+                    continue
+                for start, end in free_words(whole, base_spans(whole)):
+                    term = whole[start:end].lower()
+                    if wanted(term):
+                        rows.append((key, term, start, end))
+            yield pd.DataFrame(rows, columns=["text_key", "term", "start", "end"])
+
+    return docs.select(text_key(docs[text]).alias("text_key"), docs[text].alias("whole")).mapInPandas(
+        placed, "text_key string, term string, start long, end long"
+    )
+
+
 def added_spans(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
     """Spans of revealing terms by text: ``added_key`` and ``added``, an array of structs."""
-    revealing = cut(disclosures(docs, found, text))
-    # Equal texts have equal spans: one row each, at most WINDOW_WORDS * 2 words per entity.
-    places = (
-        found.where(F.size("spans.kinds") > 0)
-        .select(
-            "text_key",
-            F.explode(
-                F.arrays_zip(
-                    F.col("spans.near_values").alias("value"),
-                    F.col("spans.near_terms").alias("term"),
-                    F.col("spans.near_starts").alias("start"),
-                    F.col("spans.near_ends").alias("end"),
-                )
-            ).alias("n"),
-        )
-        .select("text_key", "n.*")
-        .distinct()
-    )
+    revealing = disclosures(docs, found, text).groupBy("term")
+    revealing = cut(revealing.agg(F.max("disclosure").alias("disclosure")))
+    places = term_places(docs, text, revealing).distinct()
     return (
-        places.join(revealing, ["value", "term"])
-        .groupBy("text_key", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"))
+        places.join(revealing, "term")
         .groupBy(F.col("text_key").alias("added_key"))
         .agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure"))).alias("added"))
     )
