@@ -109,6 +109,13 @@ def test_terms_far_from_an_entity_and_without_it_are_found(spark):
     assert all(clean[i] == texts[i] for i in range(4, len(texts)))
 
 
+def test_a_pair_in_two_different_texts_is_scored(spark):
+    texts = ["Zorblax a b z@private.example", "c z@private.example d Zorblax"] + ["a b c d"] * 300
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in sanitised(docs).collect()}
+    assert "Zorblax" not in clean[0] + clean[1] and clean[2] == texts[2]
+
+
 def test_counts_of_candidates_are_exact(spark):
     docs = revealing_corpus(spark)
     wanted = spark.createDataFrame([("zorblax",), ("w3",), ("absent",)], "term string")
