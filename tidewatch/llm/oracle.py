@@ -105,4 +105,107 @@ SELECT doc_id, size, source_size, target, (words_1 + words_2)::BIGINT AS taken,
 FROM readings
 """
 
-ORACLES: dict[str, str] = {"op3_quality_rules": QUALITY_RULES, "op5_mixing": MIXING}
+MERKLE = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(entry ORDER BY i) AS entries
+    FROM (SELECT i, list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS entry
+        FROM range(256) AS numbers(i))
+), sums AS (
+    SELECT documents.*, xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT,
+            list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+        lambda sum, byte: xor(sum >> 8, entries[(xor(sum, byte) & 255)::BIGINT + 1]))) AS crc
+    FROM documents, crc_table
+), leaves AS (
+    SELECT coalesce('=' || lang, '') AS tree, doc_id, before_text || coalesce(strlen(text) || ':' || text, '-') AS original,
+        before_text || coalesce(strlen(changed) || ':' || changed, '-') AS tampered
+    FROM (SELECT *,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+            || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-')
+            || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS before_text,
+        CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+            ELSE text END AS changed
+        FROM sums)
+), placed AS (
+    SELECT tree, doc_id, sha256(original) AS leaf, sha256(tampered) AS start,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS place,
+        count(*) OVER (PARTITION BY tree) AS n
+    FROM leaves
+), lower_nodes AS (
+    SELECT tree, 0 AS depth, place, leaf AS digest, n FROM placed
+    UNION ALL
+    SELECT tree, depth + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+    FROM lower_nodes WHERE n > 1 GROUP BY tree, depth, place // 8, n
+), subroots AS (
+    SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS place,
+        count(*) OVER () AS n
+    FROM lower_nodes WHERE n = 1
+), upper_nodes AS (
+    SELECT 0 AS depth, place, subroot AS digest, n FROM subroots
+    UNION ALL
+    SELECT depth + 1, place // 8, sha256(string_agg(digest, '' ORDER BY place)), (n + 7) // 8
+    FROM upper_nodes WHERE n > 1 GROUP BY depth, place // 8, n
+), lower_fold AS (
+    SELECT tree, doc_id, 0 AS depth, place, n, start AS digest, '' AS siblings FROM placed
+    UNION ALL
+    SELECT f.tree, f.doc_id, f.depth + 1, f.place // 8, (f.n + 7) // 8,
+        sha256(string_agg(CASE WHEN m.place = f.place THEN f.digest ELSE m.digest END, '' ORDER BY m.place)),
+        f.siblings || string_agg(CASE WHEN m.place = f.place THEN '' ELSE m.digest END, '' ORDER BY m.place)
+    FROM lower_fold f JOIN lower_nodes m
+        ON m.tree = f.tree AND m.depth = f.depth AND m.place // 8 = f.place // 8
+    WHERE f.n > 1 GROUP BY f.tree, f.doc_id, f.depth, f.place, f.n, f.digest, f.siblings
+), upper_fold AS (
+    SELECT f.tree, doc_id, 0 AS depth, s.place, s.n, digest, siblings
+    FROM lower_fold f JOIN subroots s USING (tree) WHERE f.n = 1
+    UNION ALL
+    SELECT f.tree, f.doc_id, f.depth + 1, f.place // 8, (f.n + 7) // 8,
+        sha256(string_agg(CASE WHEN m.place = f.place THEN f.digest ELSE m.digest END, '' ORDER BY m.place)),
+        f.siblings || string_agg(CASE WHEN m.place = f.place THEN '' ELSE m.digest END, '' ORDER BY m.place)
+    FROM upper_fold f JOIN upper_nodes m ON m.depth = f.depth AND m.place // 8 = f.place // 8
+    WHERE f.n > 1 GROUP BY f.tree, f.doc_id, f.depth, f.place, f.n, f.digest, f.siblings
+)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, f.digest AS folded_root,
+    f.digest = root AS verified
+FROM upper_fold f JOIN placed USING (tree, doc_id) JOIN subroots USING (tree),
+    (SELECT digest AS root FROM upper_nodes WHERE n = 1)
+WHERE f.n = 1
+"""
+
+FILL_IN_MIDDLE = r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+        regexp_extract_all(coalesce(text, ''),
+            '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+    FROM documents
+), numbers AS (
+    SELECT *, len(units) AS n,
+        ('0x' || digest[1:8])::UBIGINT % (len(units) + 1) AS first,
+        ('0x' || digest[9:16])::UBIGINT % (len(units) + 1) AS second,
+        text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+            OR ('0x' || digest[17:24])::UBIGINT % 100 >= 50 AS plain,
+        ('0x' || digest[25:32])::UBIGINT % 100 < 80 AS spm
+    FROM drawn
+), parts AS (
+    SELECT *, array_to_string(units[1:least(first, second)::BIGINT], '') AS prefix,
+        array_to_string(units[least(first, second)::BIGINT + 1:greatest(first, second)::BIGINT], '') AS middle,
+        array_to_string(units[greatest(first, second)::BIGINT + 1:], '') AS suffix
+    FROM numbers
+)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+    CASE WHEN NOT plain THEN length(prefix) END AS prefix_chars,
+    CASE WHEN NOT plain THEN length(middle) END AS middle_chars,
+    sha256(CASE WHEN plain THEN text
+        WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+        ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+    sha256(CASE WHEN plain THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM parts
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": QUALITY_RULES,
+    "op5_mixing": MIXING,
+    "op12_merkle_manifest": MERKLE,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
+}

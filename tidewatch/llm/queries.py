@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import cut, table
+from tidewatch.llm.fill_in_middle import fill_in_middle, restored
 from tidewatch.llm.html_extraction import extract
 from tidewatch.llm.licenses import label_list, scan, score
+from tidewatch.llm.merkle import merkle_proofs
 from tidewatch.llm.mixing import mix
 from tidewatch.llm.packing import best_fit_packing
 from tidewatch.llm.private_data import KINDS, TERM, find_private_data
@@ -18,6 +20,7 @@ from tidewatch.llm.quality_rules import METRICS, measured, with_verdicts
 from tidewatch.llm.search import search
 from tidewatch.llm.sharding import shard
 from tidewatch.llm.simhash import hex_digits, near_duplicates
+from tidewatch.llm.sum_of_squares import sum_of_squares_packing
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +146,30 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in windows of 2048 tokens."""
+    packed = sum_of_squares_packing(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    crc = F.crc32("ids").alias("ids_crc32")
+    return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document against the manifest of all, some of them tampered with."""
+    return merkle_proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cuts, output and restored text of every document, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fim = F.col("fim")
+    return fill_in_middle(docs).select(
+        "doc_id",
+        *[fim[name].alias(name) for name in ("n", "form", "prefix_chars", "middle_chars")],
+        F.sha2(fim["output"], 256).alias("output_sha256"),
+        F.sha2(restored(fim["output"], fim["form"]), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_search": op2_search,
@@ -154,4 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_private_data": op10_private_data,
+    "op11_sum_of_squares": op11_sum_of_squares,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
