@@ -4,12 +4,16 @@ import contextlib
 import datetime as dt
 import re
 
+import pytest
 from compare import plan_of
 from conftest import SF_DIR
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fixtures.funnel import PRIORITY_CHANNELS, funnel_roles, funnel_source
+from fixtures.funnel import PRIORITY_CHANNELS, buyer_source, funnel_roles, funnel_source
 from fixtures.queries import ALL_TIME, LEVELS, run
 from tidewatch.functions import DateWindow
+from tidewatch.operators.prefilter import key_filter, might_match
 from tidewatch.operators.stages import Lookup
 from tidewatch.plans.funnel import FunnelSource
 
@@ -119,5 +123,72 @@ def test_ranking_computes_the_funnel_once(spark):
     df = run(spark, SF_DIR.replace("0.001", "0.01")).anomalies
     assert df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    # Six stages and the lookup are scanned once each.
-    assert final.count("FileScan") == 7
+    # Six stages and the lookup are scanned once each, and the keys of four stages for the prefilter.
+    assert final.count("FileScan") == 11
+
+
+def shuffled_rows(df):
+    """Partitioning and rows of every shuffle of a frame that has run, those reused left out."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ReusedExchangeExec":
+            continue
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                rows = node.metrics().apply("shuffleRecordsWritten").value()
+                found.append((node.outputPartitioning().toString(), rows))
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_levels_do_not_multiply_what_a_distinct_count_shuffles(spark):
+    sf = SF_DIR.replace("0.001", "0.01")
+
+    def by_entity(levels):
+        df = buyer_source(spark, sf).daily(levels, ALL_TIME)
+        df.collect()
+        entity = [(text, rows) for text, rows in shuffled_rows(df) if "value#" in text]
+        return entity, plan_of(df)
+
+    overall, _ = by_entity(["overall"])
+    three, plan = by_entity(["overall", "channel", "buyer"])
+    largest = max(rows for _, rows in overall)
+    assert largest > 10_000
+    assert all(rows <= largest for _, rows in three)
+    assert not any("dim_type#" in text for text, _ in three)
+    # Levels are spread out above the last shuffle by entity, with no shuffle before they are counted.
+    numbered = {int(n): (kind, text) for n, kind, text in re.findall(r"^\((\d+)\) (\w+)(.*?)(?=^\(\d+\) |\Z)", plan, re.M | re.S)}
+    shuffles = [text for kind, text in numbered.values() if kind == "Exchange" and "REPARTITION_BY_COL" in text]
+    assert len(shuffles) >= 2 and all(re.search(r"hashpartitioning\(metric_date#\w+, value#\w+, 4\)", t) for t in shuffles)
+
+
+def test_a_run_shuffles_few_of_the_lookup_keys(spark):
+    sf = SF_DIR.replace("0.001", "0.01")
+    days = DateWindow.always().only(dt.date(2000, 6, 15), dt.date(2000, 6, 8), dt.date(1999, 6, 17))
+    df = funnel_source(spark, sf).daily(LEVELS, days)
+    wanted = sorted(df.collect())
+    lookup = [rows for text, rows in shuffled_rows(df) if "lookup_key#" in text]
+    keys = funnel_roles(spark, sf)["contacts"].filter(days.covers("contact_created_time", T.TimestampNTZType()))
+    matched = keys.select("request_pk").distinct().count()
+    assert 0 < max(lookup) <= 2 * matched < funnel_roles(spark, sf)["requests"].count() / 20
+    everything = funnel_source(spark, sf).daily(LEVELS, ALL_TIME)
+    assert wanted == sorted(everything.filter(F.col("metric_date").isin(list(days.days))).collect())
+
+
+@pytest.mark.parametrize("bits", [64 * 1024, 1 << 20])
+def test_the_key_filter_loses_no_wanted_key(spark, bits):
+    keys = spark.range(0, 30_000, 3).selectExpr("CASE WHEN id % 9 = 0 THEN NULL ELSE concat('k', id) END AS k", "id")
+    rows = spark.range(0, 60_000).selectExpr("concat('k', id % 30000) AS k", "id AS _block")
+    wanted = key_filter(keys, "k", bits)
+    assert wanted.count() <= bits // 64 // 1024 + 1
+    kept = might_match(rows, "k", wanted, bits)
+    assert kept.columns == rows.columns
+    assert kept.join(keys, "k", "left_semi").count() == rows.join(keys, "k", "left_semi").count()
+    assert kept.count() < rows.count() and might_match(rows, "k", key_filter(keys.limit(0), "k")).isEmpty()

@@ -1,9 +1,12 @@
 """Daily stages of a funnel: scan, attribute, count.
 
 Each stage yields rows ``metric_date, dim_type, dimension`` and its measure, one row per level for
-every row or entity that counts there. Levels may be any number, and have any number of values. A
-distinct count groups by (day, entity, level, value) before it counts, so repeats of an entity, and
-an entity with very many rows, are collapsed before the shuffle.
+every row or entity that counts there. Levels may be any number, and have any number of values.
+
+A distinct count drops repeats of (day, entity, values of all levels) first, so an entity with very
+many rows is collapsed before it is shuffled. What is left is brought together by (day, entity), and
+only there spread into levels: dropping repeats per level needs no shuffle then, and the number of
+levels does not change how many rows are shuffled.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions import DateWindow, business_date, missing_if_nan
 from tidewatch.functions.text import literal
+from tidewatch.operators.prefilter import key_filter, might_match
 from tidewatch.sources.channels import ChannelMap
 
 COUNT, DISTINCT, SUM = "count", "distinct", "sum"
@@ -130,6 +134,7 @@ class StageReader:
         self.lookup = lookup
         self.stages = tuple(stages)
         self._lookup_relations: dict[tuple, DataFrame] = {}
+        self._key_filters: dict[DateWindow, DataFrame] = {}
 
     def check_levels(self, levels: Sequence[str]) -> tuple[str, ...]:
         """The levels as a tuple; one that a stage cannot give is an error."""
@@ -157,28 +162,45 @@ class StageReader:
                 df = df.withColumn(name.strip("`"), value)
         return df
 
-    def _looked_up(self, levels: tuple[str, ...]) -> DataFrame:
+    def _wanted_keys(self, window: DateWindow) -> DataFrame:
+        """A filter of fixed size over the keys that any stage looks up in the window."""
+        if window not in self._key_filters:
+            keys = [
+                stage_rows(self.roles, stage, window).select("lookup_key")
+                for stage in self.stages
+                if stage.lookup_key is not None
+            ]
+            self._key_filters[window] = key_filter(reduce(DataFrame.union, keys), "lookup_key")
+        return self._key_filters[window]
+
+    def _looked_up(self, levels: tuple[str, ...], window: DateWindow) -> DataFrame:
         """``lookup_key, copies`` and level values: how often each key occurs with each of them.
 
         Repeats of a key are counted before the shuffle, and the shuffle by key lies directly below
-        the facts' join, so that adaptive execution can split a hot key there.
+        the facts' join, so that adaptive execution can split a hot key there. A run over single days
+        needs few of all keys ever seen: a filter of their hashes, the same for every stage, keeps
+        the others out of the shuffle.
         """
-        if levels not in self._lookup_relations:
+        wanted = (levels, window if window.days is not None else None)
+        if wanted not in self._lookup_relations:
             lookup, own = self.lookup, self.lookup.own_levels()
             named = [f"{own[level]} AS {level_column(level)}" for level in levels]
             role = self.roles[lookup.role].filter(f"{lookup.key} IS NOT NULL")
-            known = self._named(role.selectExpr(f"{lookup.key} AS lookup_key", *named), levels)
+            known = role.selectExpr(f"{lookup.key} AS lookup_key", *named)
+            if window.days is not None:
+                known = might_match(known, "lookup_key", self._wanted_keys(window))
+            known = self._named(known, levels)
             if lookup.unique:
                 known = known.withColumn("copies", F.lit(1).cast("bigint"))
             else:
                 known = known.groupBy(*[F.col(f"`{c}`") for c in known.columns]).agg(
                     F.count("*").alias("copies")
                 )
-            self._lookup_relations[levels] = known
-        return self._lookup_relations[levels]
+            self._lookup_relations[wanted] = known
+        return self._lookup_relations[wanted]
 
     def _attribute(
-        self, rows: DataFrame, stage: Stage, levels: tuple[str, ...]
+        self, rows: DataFrame, stage: Stage, levels: tuple[str, ...], window: DateWindow
     ) -> DataFrame:
         """Add level values and ``copies`` to stage rows."""
         own = tuple(level for level in levels if level in stage.own_levels())
@@ -187,7 +209,7 @@ class StageReader:
         # Without levels only the number of copies matters, and only to a sum.
         needs_copies = stage.kind != DISTINCT and stage.lookup_key and not self.lookup.unique
         if other or needs_copies:
-            rows = rows.join(self._looked_up(other), "lookup_key", "left")
+            rows = rows.join(self._looked_up(other, window), "lookup_key", "left")
             for level in other:
                 name = level_column(level).strip("`")
                 value = F.coalesce(F.col(f"`{name}`"), F.lit(ChannelMap.OTHER))
@@ -216,11 +238,16 @@ class StageReader:
             # Collapse repeats of a key before the join, however many rows one key has.
             rows = rows.distinct()
         spread = f"inline(array({', '.join(level_entry(level) for level in levels)}))"
-        found = self._attribute(rows, first, levels)
+        found = self._attribute(rows, first, levels, window)
         if first.kind == DISTINCT:
             # Copies are always positive. Naming them keeps the lookup the same for every stage,
             # so that Spark builds and shuffles it once.
-            seen = found.filter("copies > 0").selectExpr("metric_date", "value", spread).distinct()
+            values = [level_column(level) for level in levels if level != OVERALL]
+            entities = found.filter("copies > 0").select("metric_date", "value", *values)
+            if len(levels) > 1 and not first.counts_its_key:
+                # The join has brought the rows of a key together already where the key counts.
+                entities = entities.distinct().repartition("metric_date", "value")
+            seen = entities.selectExpr("metric_date", "value", spread).distinct()
             measure = "CAST(value IS NOT NULL AS BIGINT)"
             return seen.selectExpr("metric_date", "dim_type", "dimension", f"{measure} AS `{first.measure}`")
         measure = "copies"
