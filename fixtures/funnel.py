@@ -14,7 +14,7 @@ from tidewatch.functions import business_date
 from tidewatch.operators.stages import Lookup
 from tidewatch.plans.engine import Binding
 from tidewatch.plans.funnel import REVENUE_FUNNEL_STAGES, FunnelSource
-from tidewatch.sources import ChannelMap, SqlSource
+from tidewatch.sources import ChannelMap, GroupedSqlSource, SqlSource
 
 REPORT_DATE = dt.date(2000, 6, 15)
 LAST_SOT_DATE = dt.date(2000, 12, 31)
@@ -217,8 +217,49 @@ GROUP BY metric_date, dimension
 """
 
 
-def funnel_sql_source(spark: SparkSession, sf_dir: str) -> SqlSource:
-    """The same funnel as one SQL query, the way a user brings their own metric source."""
+#: The same for all levels at once: every stage groups by sets of its day and channel.
+GROUPED_SQL = """
+WITH known AS (SELECT request_pk, channel FROM {requests}),
+stages AS (
+    SELECT visit_day AS metric_date, channel, grouping_id() AS level_id,
+           count(*) AS intentful_visitors, 0L AS requests, 0L AS projects, 0L AS contacts, 0 AS revenue
+    FROM {visits}
+    WHERE visit_date >= :start_utc AND visit_date < :end_utc
+    GROUP BY GROUPING SETS ((visit_day), (visit_day, channel))
+    UNION ALL
+    SELECT request_date, channel, grouping_id(), 0L, count(DISTINCT request_pk), 0L, 0L, 0
+    FROM {requests}
+    WHERE request_created_time >= :start_utc AND request_created_time < :end_utc
+    GROUP BY GROUPING SETS ((request_date), (request_date, channel))
+    UNION ALL
+    SELECT project_date, found, grouping_id(), 0L, 0L, count(DISTINCT request_pk), 0L, 0
+    FROM (SELECT project_date, request_pk, coalesce(channel, 'Other') AS found
+          FROM {projects} LEFT JOIN known USING (request_pk)
+          WHERE project_created_time >= :start_utc AND project_created_time < :end_utc)
+    GROUP BY GROUPING SETS ((project_date), (project_date, found))
+    UNION ALL
+    SELECT contact_date, found, grouping_id(), 0L, 0L, 0L, count(DISTINCT contact_pk), 0
+    FROM (SELECT contact_date, contact_pk, coalesce(channel, 'Other') AS found
+          FROM {contacts} LEFT JOIN known USING (request_pk)
+          WHERE contact_created_time >= :start_utc AND contact_created_time < :end_utc)
+    GROUP BY GROUPING SETS ((contact_date), (contact_date, found))
+    UNION ALL
+    SELECT revenue_date, found, grouping_id(), 0L, 0L, 0L, 0L, sum(amount)
+    FROM (SELECT revenue_date, amount, coalesce(channel, 'Other') AS found
+          FROM {revenue} LEFT JOIN known USING (request_pk)
+          WHERE ts >= :start_utc AND ts < :end_utc)
+    GROUP BY GROUPING SETS ((revenue_date), (revenue_date, found))
+)
+SELECT metric_date, channel, level_id, sum(intentful_visitors) AS intentful_visitors,
+       sum(requests) AS requests, sum(projects) AS projects, sum(contacts) AS contacts,
+       cast(sum(revenue) AS decimal(28,4)) AS revenue
+FROM stages
+GROUP BY metric_date, channel, level_id
+"""
+
+
+def sql_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The funnel's roles as a user's SQL reads them."""
     roles = funnel_roles(spark, sf_dir)
     ntz = T.TimestampNTZType()
 
@@ -238,18 +279,25 @@ def funnel_sql_source(spark: SparkSession, sf_dir: str) -> SqlSource:
         .selectExpr("request_pk", "transaction_timestamp AS ts", "gross_revenue AS amount")
         .unionByName(roles["rev_b"].selectExpr("request_pk", "ts", f"{revenue_b} AS amount"))
     )
-    return SqlSource(
-        spark,
-        FUNNEL_SQL,
-        {
-            "overall": {"dimension": F.col("everything"), "unmatched": "overall"},
-            "channel": {"dimension": F.col("channel"), "unmatched": "Other"},
-        },
-        {
-            "visits": dated(labelled("visits"), "visit_date", "visit_day"),
-            "requests": dated(labelled("requests"), "request_created_time", "request_date"),
-            "projects": dated(roles["projects"], "project_created_time", "project_date"),
-            "contacts": dated(roles["contacts"], "contact_created_time", "contact_date"),
-            "revenue": dated(revenue, "ts", "revenue_date"),
-        },
-    )
+    return {
+        "visits": dated(labelled("visits"), "visit_date", "visit_day"),
+        "requests": dated(labelled("requests"), "request_created_time", "request_date"),
+        "projects": dated(roles["projects"], "project_created_time", "project_date"),
+        "contacts": dated(roles["contacts"], "contact_created_time", "contact_date"),
+        "revenue": dated(revenue, "ts", "revenue_date"),
+    }
+
+
+def funnel_sql_per_level(spark: SparkSession, sf_dir: str) -> SqlSource:
+    """The same funnel as one SQL query per level, the way a user brings their own metric source."""
+    levels = {
+        "overall": {"dimension": F.col("everything"), "unmatched": "overall"},
+        "channel": {"dimension": F.col("channel"), "unmatched": "Other"},
+    }
+    return SqlSource(spark, FUNNEL_SQL, levels, sql_relations(spark, sf_dir))
+
+
+def funnel_sql_source(spark: SparkSession, sf_dir: str) -> GroupedSqlSource:
+    """The same funnel as one SQL query for all levels."""
+    levels = {"overall": None, "channel": "channel"}
+    return GroupedSqlSource(spark, GROUPED_SQL, levels, sql_relations(spark, sf_dir))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from functools import reduce
+from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,17 +20,19 @@ from fixtures.funnel import (
     funnel_binding,
     funnel_roles,
     funnel_source,
+    funnel_sql_per_level,
     funnel_sql_source,
     source_of_truth,
 )
 from fixtures.usage import conversation_usage
 from tidewatch.config import MonitorRegistry, parse_keys
 from tidewatch.functions import DateWindow
-from tidewatch.operators.anomalies import anomaly_counts, small_denominators
+from tidewatch.operators.anomalies import small_denominators
 from tidewatch.operators.combine import ordered_daily
 from tidewatch.operators.cost import cost_by_model, run_costs
 from tidewatch.operators.metrics import add_ratio_metrics
-from tidewatch.operators.validation import validation_verdict
+from tidewatch.operators.validation import failed_validations
+from tidewatch.plans.backfill import Backfill, backfill
 from tidewatch.plans.engine import (
     Binding,
     MonitorEngine,
@@ -48,7 +51,16 @@ from tidewatch.plans.report import (
     report_texts,
     scorecard,
 )
-from tidewatch.sources import ChannelMap, exit_payload
+from tidewatch.sources import (
+    ChannelMap,
+    DailyStore,
+    checkpoint_folder,
+    exit_payload,
+    load_monitor,
+    read_archive,
+    replace_in_archive,
+    shared,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,16 +137,14 @@ def _detail(form: str) -> Query:
 
 
 def _per_date(
-    dates: Sequence[str], frame: Callable[[MonitorResult], DataFrame], validate: bool = False
+    dates: Sequence[str], frame: Callable[[Backfill], DataFrame], validate: bool = False
 ) -> Query:
-    """A frame of one run per report date, stacked under a ``report_date`` column."""
+    """A frame of one plan over several report dates."""
 
     def query(spark: SparkSession, sf: str) -> DataFrame:
         binding = funnel_binding(spark, sf, validate)
         engine = MonitorEngine(MonitorRegistry(FUNNEL_MONITOR), {FUNNEL_MONITOR.key: binding})
-        runs = [engine.run(FUNNEL_MONITOR.key, date, persist=False) for date in dates]
-        tagged = [frame(r).selectExpr(f"DATE '{r.report_date}' AS report_date", "*") for r in runs]
-        return comparable(reduce(DataFrame.unionByName, tagged))
+        return comparable(frame(backfill(engine, FUNNEL_MONITOR.key, dates)))
 
     return query
 
@@ -176,6 +186,46 @@ def archive(spark: SparkSession, sf: str) -> DataFrame:
     return archive_row(results, parse_keys(REQUESTED), costs)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid4().hex}"
+
+
+def detail_from_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail of a run whose days were kept one after the other; only its own day is computed for it."""
+    binding = funnel_binding(spark, sf, validate=False)
+    store = DailyStore(binding.source, scratch(spark, "store"), LEVELS)
+    store.refresh([REPORT_DATE - dt.timedelta(days=n) for n in (1, 7, 8, 364, 365)])
+    engine = MonitorEngine(MonitorRegistry(FUNNEL_MONITOR), {FUNNEL_MONITOR.key: Binding(store)})
+    return comparable(engine.run(FUNNEL_MONITOR.key, REPORT_DATE).detail)
+
+
+def archive_rewritten(spark: SparkSession, sf: str) -> DataFrame:
+    """A run archived twice, and read: one row."""
+    location = scratch(spark, "archive")
+    row = shared(archive(spark, sf))
+    for _ in range(2):
+        replace_in_archive(row, location)
+    columns = ("report_date", "anomaly_count", "monitors_run", "token_cost_usd")
+    return comparable(read_archive(spark, location).select(*columns))
+
+
+def from_files(spark: SparkSession, sf: str) -> MonitorResult:
+    """A monitor that consists of a JSON and two SQL files."""
+    folder = Path(__file__).resolve().parent
+    config, source, sot = load_monitor(spark, folder / "order_health.json", {"tables": sf})
+    engine = MonitorEngine(MonitorRegistry(config), {config.key: Binding(source, sot)})
+    return engine.run(config.key, REPORT_DATE)
+
+
+def pull_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the pulls of a run, observed while they are written."""
+    result = run(spark, sf)
+    for pull in result.raw.values():
+        shared(pull)
+    return spark.createDataFrame(list(result.pull_sizes().items()), "level string, n_rows bigint")
+
+
 def channel_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Visits per segment and the channel the lookup join gives it."""
     visits = PRIORITY_CHANNELS.join(funnel_roles(spark, sf)["visits"], "segment")
@@ -217,6 +267,9 @@ def registered() -> dict[str, Query]:
         "funnel_sql_source": lambda spark, sf: comparable(
             funnel_sql_source(spark, sf).daily(LEVELS, ALL_TIME)
         ),
+        "funnel_sql_per_level": lambda spark, sf: comparable(
+            funnel_sql_per_level(spark, sf).daily(LEVELS, ALL_TIME)
+        ),
         "funnel_metrics": funnel_metrics,
         "funnel_three_levels": funnel_three_levels,
         "funnel_many_channels": funnel_many_channels,
@@ -226,6 +279,10 @@ def registered() -> dict[str, Query]:
         "detail_window": _detail("window"),
         "detail_self_join": _detail("join"),
         "detail_fallback": _per_date(FALLBACK_DATES, lambda r: r.detail),
+        "detail_from_store": detail_from_store,
+        "detail_from_files": lambda spark, sf: comparable(from_files(spark, sf).detail),
+        "validation_from_files": lambda spark, sf: comparable(from_files(spark, sf).validations),
+        "pull_sizes": pull_sizes,
         "summary": _of_run(lambda r: r.summary),
         "breakdown": _of_run(lambda r: r.breakdown),
         "raw_channel_pull": _of_run(lambda r: ordered_daily(r.raw["channel"])),
@@ -233,13 +290,11 @@ def registered() -> dict[str, Query]:
         "date_check": date_check,
         "sot_validation": _per_date(VALIDATION_DATES, lambda r: r.validations, validate=True),
         "failed_validations": _per_date(
-            VALIDATION_DATES, lambda r: r.validations.filter(~F.col("passed")), validate=True
-        ),
-        "validation_verdict": _per_date(
-            VALIDATION_DATES, lambda r: validation_verdict(r.validations), validate=True
+            VALIDATION_DATES, lambda r: failed_validations(r.validations), validate=True
         ),
+        "validation_verdict": _per_date(VALIDATION_DATES, lambda r: r.verdicts, validate=True),
         "anomalies": _of_run(lambda r: r.anomalies),
-        "anomaly_counts": _per_date(ANOMALY_DATES, lambda r: anomaly_counts(r.anomalies)),
+        "anomaly_counts": _per_date(ANOMALY_DATES, lambda r: r.anomaly_counts),
         "small_denominators": _of_run(lambda r: small_denominators(r.detail, r.config)),
         "scorecard": _of_run(lambda r: scorecard(r.summary, r.config).drop("style")),
         "channel_table": _of_run(lambda r: channel_table(r.breakdown, r.config)),
@@ -250,6 +305,7 @@ def registered() -> dict[str, Query]:
         "channel_lookup": channel_lookup,
         "anomaly_section": _of_run(anomaly_items),
         "archive_numbers": archive_numbers,
+        "archive_rewritten": archive_rewritten,
         "report_text": _of_both(report_texts),
         "prompt_text": _of_both(prompt_texts),
         "findings_json": _of_both(findings_json),

@@ -147,9 +147,12 @@ def test_rank_of_many_with_a_large_group_of_ties(spark):
 
 def test_global_rank_over_buckets(spark):
     df = spark.range(100).withColumn("b", (F.col("id") / 10).cast("int"))
-    ranked = add_global_rank(df, ["b"], [F.col("id").desc()])
+    ranked = add_global_rank(df, [F.col("b"), -F.col("id")])
     assert {r.id: r["rank"] for r in ranked.collect()}[0] == 10
     assert {r.id: r["rank"] for r in ranked.collect()}[99] == 91
+    anew = add_global_rank(df, [-F.col("id")], by=["b"], ranges=7)
+    assert all(r["rank"] == 10 - r.id % 10 for r in anew.collect())
+    assert add_global_rank(df.limit(0), [F.col("id")]).isEmpty()
 
 
 def test_section_lists_in_rank_order(spark):

@@ -10,10 +10,18 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fixtures.funnel import PRIORITY_CHANNELS, buyer_source, funnel_roles, funnel_source
-from fixtures.queries import ALL_TIME, LEVELS, run
+from __spark_entry__ import queries
+from fixtures.funnel import (
+    PRIORITY_CHANNELS,
+    buyer_source,
+    funnel_roles,
+    funnel_source,
+    funnel_sql_source,
+)
+from fixtures.queries import ALL_TIME, LEVELS, archive, run, run_both
 from tidewatch.functions import DateWindow
 from tidewatch.operators.prefilter import key_filter, might_match
+from tidewatch.operators.ranking import add_global_rank
 from tidewatch.operators.stages import Lookup
 from tidewatch.plans.funnel import FunnelSource
 
@@ -122,30 +130,79 @@ def test_hot_keys_are_split_by_the_adaptive_join(spark):
 def test_ranking_computes_the_funnel_once(spark):
     df = run(spark, SF_DIR.replace("0.001", "0.01")).anomalies
     assert df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     # Six stages and the lookup are scanned once each, and the keys of four stages for the prefilter.
-    assert final.count("FileScan") == 11
+    # The sample of the ranks reuses their shuffles; only visits, which have none, are read again.
+    scans = [node.toString() for kind, node in executed(df) if kind == "FileSourceScanExec"]
+    assert len(scans) <= 12 and len([s for s in scans if s.startswith("FileScan parquet [o_orderdate")]) <= 2
 
 
-def shuffled_rows(df):
-    """Partitioning and rows of every shuffle of a frame that has run, those reused left out."""
-    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+def executed(df):
+    """Kind and node of the plan of a frame that has run, subqueries included, reused parts left out."""
+    todo = [df._jdf.queryExecution().executedPlan()]
     while todo:
         node = todo.pop()
         kind = node.getClass().getSimpleName()
-        if kind == "ReusedExchangeExec":
+        if kind in ("ReusedExchangeExec", "ReusedSubqueryExec"):
             continue
         if kind == "AdaptiveSparkPlanExec":
             todo.append(node.executedPlan())
         elif kind.endswith("QueryStageExec"):
             todo.append(node.plan())
         else:
-            if kind == "ShuffleExchangeExec":
-                rows = node.metrics().apply("shuffleRecordsWritten").value()
-                found.append((node.outputPartitioning().toString(), rows))
-            children = node.children()
-            todo += [children.apply(i) for i in range(children.size())]
-    return found
+            yield kind, node
+            for inner in (node.children(), node.subqueries()):
+                todo += [inner.apply(i) for i in range(inner.size())]
+
+
+def shuffled_rows(df):
+    """Partitioning and rows of every shuffle of a frame that has run."""
+    return [
+        (node.outputPartitioning().toString(), node.metrics().apply("shuffleRecordsWritten").value())
+        for kind, node in executed(df)
+        if kind == "ShuffleExchangeExec"
+    ]
+
+
+def test_a_report_reads_its_events_once(spark):
+    row = archive(spark, SF_DIR)
+    plan = row._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") <= 20
+    results = run_both(spark, SF_DIR)
+    assert results[0].settled is results[0].settled is results[0].settled.settled
+    assert sorted(results[0].settled.detail.collect()) == sorted(results[0].detail.collect())
+
+
+def test_a_backfill_scans_each_role_once(spark):
+    df = queries()["sot_validation"](spark, SF_DIR)
+    df.collect()
+    scans = [node for kind, node in executed(df) if kind == "FileSourceScanExec"]
+    # Six stages, the lookup and the keys of four stages, and five parts of the source of truth.
+    assert len(scans) <= 16
+
+
+def test_a_grouped_sql_source_scans_each_role_once(spark):
+    df = funnel_sql_source(spark, SF_DIR).daily(LEVELS, DateWindow(dt.date(2000, 6, 1), dt.date(2000, 6, 15)))
+    df.collect()
+    scans = [node.toString() for kind, node in executed(df) if kind == "FileSourceScanExec"]
+    # Visits, requests, projects, contacts, two revenues, and the lookup that three of them share.
+    assert len(scans) == 7
+    contacts = [scan for scan in scans if "[IsNotNull(l_shipdate), Gr" in scan]
+    assert len(contacts) == 1 and "GreaterThanOrEqual(l_shipdate,2000-06-01T07:00)" in contacts[0]
+
+
+def test_equal_changes_are_ranked_in_many_tasks(spark):
+    """18,000 of 20,000 changes are equal; the rest of the order tells them apart."""
+    rows = spark.range(20_000).selectExpr(
+        "concat('d', lpad(id * 7919 % 20000, 5, '0')) AS dimension", "IF(id < 18000, 1D, 0.5D + id) AS size"
+    )
+    with conf(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}):
+        ranked = add_global_rank(rows, [-F.col("size"), F.col("dimension")], ranges=64)
+        found = {row["rank"]: (-row["size"], row["dimension"]) for row in ranked.collect()}
+        sorts = [node for kind, node in executed(ranked) if kind == "WindowExec" and "row_number" in node.toString()]
+        ranges = ranked.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert len(sorts) == 1 and ranges[0] < 6_000 and ranges[1] >= 8
+    assert sorted(found) == list(range(1, 20_001))
+    assert [found[i] for i in range(1, 20_001)] == sorted(found.values())
 
 
 def test_levels_do_not_multiply_what_a_distinct_count_shuffles(spark):

@@ -75,10 +75,24 @@ class DateWindow:
         inside = sorted({d for d in days if first <= d <= last})
         return DateWindow(self.start, self.end, tuple(inside))
 
+    def all_days(self) -> list[dt.date] | None:
+        """Every day of the window; None if an end is open."""
+        if self.days is not None:
+            return list(self.days)
+        if self.start is None or self.end is None:
+            return None
+        return [self.start + dt.timedelta(days=n) for n in range((self.end - self.start).days + 1)]
+
     def _ranges(self) -> list[tuple[dt.date | None, dt.date | None]]:
         if self.days is None:
             return [(self.start, self.end)]
-        return [(d, d) for d in self.days]
+        ranges: list[tuple[dt.date, dt.date]] = []
+        for day in self.days:
+            if ranges and day == ranges[-1][1] + dt.timedelta(days=1):
+                ranges[-1] = (ranges[-1][0], day)
+            else:
+                ranges.append((day, day))
+        return ranges
 
     def covers(self, name: str, dtype: T.DataType) -> str:
         """SQL predicate on the stored column, so that Parquet can skip row groups.

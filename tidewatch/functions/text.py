@@ -55,9 +55,9 @@ STYLES = {"count": whole, "money": money, "ratio": four_places}
 def record_json(df: DataFrame) -> str:
     """A row as indented JSON: NULL fields left out, fractions rounded to 4 places."""
     fields = [
-        f"round({field.name}, 4) AS {field.name}"
+        f"round({quoted(field.name)}, 4) AS {quoted(field.name)}"
         if isinstance(field.dataType, T.FractionalType)
-        else field.name
+        else quoted(field.name)
         for field in df.schema
     ]
     return f"to_json(struct({', '.join(fields)}), map('pretty', 'true'))"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ ANOMALY_COLUMNS = (
 )
 
 
-def by_metric(detail: DataFrame, config: MonitorConfig) -> DataFrame:
-    """The detail frame with one row per dimension value and ratio metric."""
+def by_metric(detail: DataFrame, config: MonitorConfig, by: Sequence[str] = ()) -> DataFrame:
+    """The detail frame with one row per dimension value and ratio metric; keeps the columns ``by``."""
     have = set(detail.columns)
 
     def number(column: str, name: str) -> str:
@@ -50,18 +52,20 @@ def by_metric(detail: DataFrame, config: MonitorConfig) -> DataFrame:
     nothing = RatioMetric("", "", "", "")
     rows = ", ".join(row(i, m) for i, m in enumerate(config.metrics or (nothing,)))
     spread = detail if config.metrics else detail.limit(0)
-    return spread.selectExpr("metric_date", "dim_type", "dimension", f"inline(array({rows}))")
+    return spread.selectExpr(*by, "metric_date", "dim_type", "dimension", f"inline(array({rows}))")
 
 
-def detect_anomalies(detail: DataFrame, config: MonitorConfig) -> DataFrame:
+def detect_anomalies(
+    detail: DataFrame, config: MonitorConfig, by: Sequence[str] = ()
+) -> DataFrame:
     """Harmful moves beyond the threshold, with their ``rank``: high first, then the largest.
 
     Ties keep metric order, then level order, then dimension. Without ``yoy`` among the
     comparisons there is nothing to flag (T13); volumes and week-over-week moves are never
-    flagged (T12).
+    flagged (T12). Ranks start anew for every value of the columns ``by``.
     """
     threshold = float(config.rules.yoy_threshold)
-    flagged = by_metric(detail, config).filter(
+    flagged = by_metric(detail, config, by).filter(
         f"(denominator IS NULL OR denominator >= {config.rules.min_denominator})"
         f" AND abs(pct_change) > {threshold!r}D"
         " AND CASE direction WHEN 'up' THEN pct_change < 0 ELSE pct_change > 0 END"
@@ -74,17 +78,18 @@ def detect_anomalies(detail: DataFrame, config: MonitorConfig) -> DataFrame:
         f"{threshold!r}D AS threshold",
         f"CASE WHEN {high} THEN '{HIGH}' ELSE '{MEDIUM}' END AS severity",
         f"CASE WHEN {high} THEN 0 ELSE 1 END AS severity_order",
-        "CAST(-floor(log2(abs(pct_change)) * 64) AS INT) AS size_order",
         f"array_position(array({levels}), dim_type) AS level_order",
     )
-    order = [F.abs("pct_change").desc(), "metric_order", "level_order", "dimension"]
-    ranked = add_global_rank(keyed, ["severity_order", "size_order"], order)
-    return ranked.select(*ANOMALY_COLUMNS)
+    size = (-F.abs("pct_change")).alias("size")
+    order = [F.col("severity_order"), size, *map(F.col, ("metric_order", "level_order", "dimension"))]
+    ranked = add_global_rank(keyed, order, by=by)
+    return ranked.select(*by, *ANOMALY_COLUMNS)
 
 
-def anomaly_counts(anomalies: DataFrame) -> DataFrame:
-    """``anomaly_count, high_count, medium_count`` in one row."""
-    return anomalies.agg(
+def anomaly_counts(anomalies: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``anomaly_count, high_count, medium_count`` in one row, or one per value of ``by`` that has any
+    anomaly (A6)."""
+    return anomalies.groupBy(*by).agg(
         F.count("*").alias("anomaly_count"),
         F.count_if(F.col("severity") == HIGH).alias("high_count"),
         F.count_if(F.col("severity") == MEDIUM).alias("medium_count"),

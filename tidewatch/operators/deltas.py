@@ -20,6 +20,7 @@ from tidewatch.functions.text import quoted
 
 KEYS = ("dim_type", "dimension")
 FORMS = ("pivot", "join", "window")
+CURRENT = "current"
 
 
 def comparison_days(config: MonitorConfig, anchor: dt.date) -> tuple[dt.date, ...]:
@@ -39,12 +40,40 @@ def add_deltas(
     columns = config.compared_columns(daily.columns)
     build = {"pivot": _by_pivot, "join": _by_join, "window": _by_window}[form]
     wide = build(daily, columns, config, anchor)
-    output = ["dimension", f"DATE '{anchor}' AS metric_date", *map(quoted, columns)]
+    return wide.selectExpr(
+        "dimension", f"DATE '{anchor}' AS metric_date", *_with_changes(columns, config), "dim_type"
+    )
+
+
+def _with_changes(columns: Sequence[str], config: MonitorConfig) -> list[str]:
+    """SQL for the compared columns, and for each comparison their prior values and changes."""
+    output = [quoted(c) for c in columns]
     for name in config.offsets:
         for c in columns:
             prior = quoted(f"{c}_{name}_prior")
             output += [prior, f"{pct_change(quoted(c), prior)} AS {quoted(f'{c}_{name}')}"]
-    return wide.selectExpr(*output, "dim_type")
+    return output
+
+
+def add_deltas_by_date(daily: DataFrame, config: MonitorConfig, days: DataFrame) -> DataFrame:
+    """The same for many report dates at once, told apart by ``report_date``.
+
+    ``days`` says which ``day`` each ``report_date`` needs as what: ``part`` is ``current`` or the name of
+    a comparison. It has a few rows per report date, all from the caller's program, and is broadcast;
+    a day that serves several report dates fans out to them before it is grouped.
+    """
+    columns = config.compared_columns(daily.columns)
+    needed = daily.join(F.broadcast(days), F.col("metric_date") == F.col("day"))
+
+    def of_part(part: str, column: str, name: str):
+        return F.expr(f"max({quoted(column)}) FILTER (WHERE part = '{part}') AS {quoted(name)}")
+
+    picked = [of_part(CURRENT, c, c) for c in ("metric_date", *columns)]
+    picked += [of_part(name, c, f"{c}_{name}_prior") for name in config.offsets for c in columns]
+    wide = needed.groupBy("report_date", *KEYS).agg(*picked).filter("metric_date IS NOT NULL")
+    return wide.selectExpr(
+        "report_date", "dimension", "metric_date", *_with_changes(columns, config), "dim_type"
+    )
 
 
 def _by_pivot(

@@ -7,25 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges that rows are ranked in, and so the size of the sample that bounds them.
+RANGES = 256
+
 
 def add_global_rank(
-    df: DataFrame, bucket: Sequence[str], order: Sequence[Column | str], name: str = "rank"
+    df: DataFrame,
+    order: Sequence[Column],
+    name: str = "rank",
+    by: Sequence[str] = (),
+    ranges: int = RANGES,
 ) -> DataFrame:
-    """Number rows from 1 in the order ``bucket`` ascending, then ``order`` inside a bucket.
+    """Number rows from 1 in ascending ``order``; with ``by``, anew for every value of these columns.
 
-    Buckets must be coarse, so that there are few, and must agree with the wanted order. Only
-    their counts meet in one place; rows are sorted bucket by bucket.
+    The rows of the smallest hashes, a sample that depends on the rows alone, bound ranges of the full
+    order. Rows are numbered inside their range behind the counts of earlier ranges, so equal leading
+    values do not meet in one task as long as later columns of the order differ.
     """
-    before = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    keyed = df.withColumn("_key", F.struct(*by, *order))
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(ranges - 1)
+    bounds = sample.agg(F.array_sort(F.collect_list("_key"))).scalar()
+    not_after = F.filter("_bounds", lambda bound: bound <= F.col("_key"))
+    ranged = keyed.withColumn("_bounds", bounds).withColumn("_range", F.size(not_after)).drop("_bounds")
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    bucket = [*by, "_range"]
+    # At most one row per range and value of by.
     offsets = (
-        df.groupBy(*bucket)
+        ranged.groupBy(*bucket)
         .agg(F.count("*").alias("_size"))
         .select(*bucket, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     )
-    inside = F.row_number().over(Window.partitionBy(*bucket).orderBy(*order))
+    inside = F.row_number().over(Window.partitionBy(*bucket).orderBy("_key"))
     return (
-        df.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), list(bucket))
+        ranged.withColumn("_inside", inside)
+        .join(F.broadcast(offsets), bucket)
         .withColumn(name, (F.col("_before") + F.col("_inside")).cast("bigint"))
-        .drop("_before", "_inside")
+        .select(*df.columns, name)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
@@ -9,7 +10,7 @@ from dataclasses import dataclass
 from functools import cached_property, reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -21,6 +22,7 @@ from tidewatch.operators.deltas import add_deltas, comparison_days
 from tidewatch.operators.growth import channel_contribution, growth_decomposition
 from tidewatch.operators.metrics import add_ratio_metrics
 from tidewatch.operators.validation import validate_against_sot
+from tidewatch.sources.shared import shared
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +36,8 @@ class DailySource(Protocol):
 
     def latest_day(self, window: DateWindow) -> dt.date | None: ...
 
+    def days_with_rows(self, window: DateWindow) -> set[dt.date]: ...
+
 
 @dataclass(frozen=True)
 class Binding:
@@ -68,6 +72,11 @@ def resolve_report_date(sot: DataFrame | None, date: str | dt.date | None = None
     return latest
 
 
+def _is_done(seen: Observation) -> bool:
+    """Whether a frame with this observation has been run; asking for its values would wait for that."""
+    return seen._jo is not None and seen._jo.future().isCompleted()
+
+
 @dataclass(frozen=True)
 class MonitorResult:
     """One monitor's frames. All are lazy; nothing is computed until one of them is used."""
@@ -101,16 +110,25 @@ class MonitorResult:
         return DateWindow.lookback(self.report_date, self.config.lookback_days)
 
     @cached_property
+    def _pulls(self) -> dict[str, tuple[DataFrame, Observation]]:
+        pulls = {}
+        for level in self.config.dimensions:
+            daily, seen = self.source.daily([level], self.window), Observation(f"pull of {level}")
+            counted = daily.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+            pulls[level] = (counted.drop("dim_type"), seen)
+        return pulls
+
+    @property
     def raw(self) -> dict[str, DataFrame]:
         """The whole pull of every level, as daily frames."""
-        return {
-            level: self.source.daily([level], self.window).drop("dim_type")
-            for level in self.config.dimensions
-        }
+        return {level: df for level, (df, _) in self._pulls.items()}
 
     def pull_sizes(self) -> dict[str, int]:
-        """Rows of every pull; counts them, so use it on purpose."""
-        return {level: df.count() for level, df in self.raw.items()}
+        """Rows of every pull (A8): as observed where it has been run, otherwise counted now."""
+        return {
+            level: seen.get["n_rows"] if _is_done(seen) else df.count()
+            for level, (df, seen) in self._pulls.items()
+        }
 
     @cached_property
     def detail(self) -> DataFrame:
@@ -152,6 +170,20 @@ class MonitorResult:
     def contributions(self) -> DataFrame:
         return channel_contribution(self.comparison, self.anchor, self.config.growth.revenue)
 
+    @cached_property
+    def settled(self) -> MonitorResult:
+        """The same result over frames computed once, for those who read it many times.
+
+        The compared days, detail, anomalies and validations, all small, are written to the shared
+        folder; nothing above them goes back to the events.
+        """
+        kept = dataclasses.replace(self, comparison=shared(self.comparison), persist=False)
+        kept.__dict__["settled"] = kept
+        for name in ("detail", "anomalies", "validations"):
+            frame = getattr(kept, name)
+            kept.__dict__[name] = None if frame is None else shared(frame)
+        return kept
+
     def unpersist(self) -> None:
         """Let go of the frames a persisted run keeps; those never used are not built for it."""
         built = (self.__dict__.get(name) for name in ("validations", "anomalies", "detail"))

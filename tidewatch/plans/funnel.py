@@ -110,6 +110,20 @@ class FunnelSource:
         window = DateWindow(day, day)
         return any(not stage_rows(self.roles, s, window).isEmpty() for s in self.stages)
 
+    def days_with_rows(self, window: DateWindow) -> set[dt.date]:
+        """Days in the window on which any stage has a row: a scan of the time columns alone."""
+        days = [
+            stage_rows(self.roles, s, window).select("metric_date").distinct() for s in self.stages
+        ]
+        found = reduce(DataFrame.unionByName, days).distinct()
+        return {row[0] for row in found.collect()}  # one row per day asked for
+
+    def rows_by_day(self, window: DateWindow) -> DataFrame:
+        """``metric_date, source_rows``: rows of all stages per day, from the time columns alone."""
+        days = [stage_rows(self.roles, s, window).select("metric_date") for s in self.stages]
+        stacked = reduce(DataFrame.unionByName, days)
+        return stacked.groupBy("metric_date").agg(F.count("*").alias("source_rows"))
+
     def latest_day(self, window: DateWindow) -> dt.date | None:
         """The last day with a row in the window: a scan of the time columns alone (A4).
 

@@ -141,8 +141,14 @@ def findings(result: MonitorResult) -> DataFrame:
     )
 
 
+def settled(results: Sequence[MonitorResult]) -> list[MonitorResult]:
+    """Results to read many times: what sections share is computed once."""
+    return [result.settled for result in results]
+
+
 def findings_json(results: Sequence[MonitorResult]) -> DataFrame:
     """All findings of a run as one JSON array, most severe first: ``findings_json``."""
+    results = settled(results)
     stacked = reduce(
         DataFrame.unionByName,
         [findings(r).selectExpr(f"{i} AS monitor", "*") for i, r in enumerate(results)],
@@ -309,6 +315,7 @@ def as_document(lines: DataFrame, name: str) -> DataFrame:
 
 
 def _per_monitor(results: Sequence[MonitorResult], build, name: str) -> DataFrame:
+    results = settled(results)
     documents = [
         as_document(build(r), name).selectExpr(
             f"{i} AS monitor",
@@ -347,6 +354,7 @@ def archive_row(
     """
     if not results:
         raise ValueError("no monitor ran, there is nothing to archive")
+    results = settled(results)
     counts = reduce(
         DataFrame.unionByName, [anomaly_counts(r.anomalies) for r in results]
     ).agg(F.sum("anomaly_count"))
