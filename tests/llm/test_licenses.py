@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 from re import _parser
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.llm.license_rules import GATE, rules
-from tidewatch.llm.licenses import scan, scan_text, score
+from tidewatch.llm.licenses import Reach, detections, scan, scan_text, score
 from tidewatch.llm.queries import QUERIES
 
 PHRASES = {"mit": ["mit", "license"], "apache": ["apache", "license"], "gpl": ["general", "public", "license"]}
@@ -139,3 +141,54 @@ def test_query_lists_base_and_other_labels(spark):
         base, labels = (set(row[c].split(",")) - {""} for c in ("base_labels", "labels"))
         assert base <= labels and (row["first_word"] is None) == (row["n_base"] == 0)
     assert {"apache", "mit"} <= {label for r in rows for label in r["labels"].split(",")}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "provided under mitigating circumstances",
+        "covered under phpbb",
+        "distributed under rubyist rules",
+        "subject to vim and vigour",
+        "deploy 2.0, an example 2",
+    ],
+)
+def test_names_inside_other_words_are_no_licenses(text):
+    assert detections(text) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("GPLv3", "gpl"),
+        ("released under GPL v2", "gpl"),
+        ("licensed under MPL 2.0", "mpl"),
+        ("LGPL 2.1", "lgpl"),
+        ("under the AGPL\n3.0+", "agpl"),
+        ("subject to the MIT license", "mit"),
+    ],
+)
+def test_short_forms(text, label):
+    assert {row[4] for row in detections(text.lower())} == {label}
+
+
+def test_suppression_is_as_by_comparing_all():
+    random.seed(5)
+    found = [(random.randrange(3), s, s + random.randrange(1, 12)) for s in random.choices(range(40), k=400)]
+    ranked = sorted((-p, s - e, 0, s, e) for p, s, e in found)
+    kept = []
+    for _, _, _, start, end in ranked:
+        if not any(first <= start and end <= last for first, last in kept):
+            kept.append((start, end))
+    reach, fast = Reach(s for _, s, _ in found), []
+    for _, _, _, start, end in ranked:
+        if reach.furthest(start) < end:
+            fast.append((start, end))
+            reach.add(start, end)
+    assert fast == kept
+
+
+def test_long_texts_take_time_in_proportion():
+    start = time.perf_counter()
+    assert len(scan_text("mit license " * 30_000)[3]) > 29_999
+    assert time.perf_counter() - start < 20

@@ -69,14 +69,25 @@ LICENSES = (
 # Form, keyword, pattern, priority, score.
 FORMS = (
     ("spdx", "spdx", r"spdx-license-identifier:? *(?:{spdx})\b", 5, 1.0),
-    ("granted", "under", r"(?:licen[cs]ed|released|distributed|available|published|provided|covered|redistribute it)(?: and/or modified| to you)?(?: only)? under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: public)?(?: licen[cs]e)?(?:,? (?:version|v) ?[0-9.]*[0-9]| [0-9]\.[0-9])?", 4, 0.95),
-    ("subject", "subject", r"subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e)?(?:,? (?:version|v) ?[0-9.]*[0-9])?", 3, 0.9),
+    ("granted", "under", r"(?:licen[cs]ed|released|distributed|available|published|provided|covered|redistribute it)(?: and/or modified| to you)?(?: only)? under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})\b(?: public)?(?: licen[cs]e)?(?:,? (?:version|v) ?[0-9.]*[0-9]| [0-9]\.[0-9])?", 4, 0.95),
+    ("subject", "subject", r"subject to (?:the )?(?:terms (?:and conditions )?of )?(?:the )?(?:{name})(?: licen[cs]e\b(?:,? (?:version|v) ?[0-9.]*[0-9])?|,? (?:version|v) ?[0-9.]*[0-9])", 3, 0.9),
     ("page", "://", r"https?://{page}[^\s\"'<>]*", 3, 0.9),
     ("titled", "licen", r"\b(?:{name}) licen[cs]e(?:,? (?:version|v)? ?[0-9.]*[0-9])?", 2, 0.8),
     ("field", "licen", r"\blicen[cs]e:? (?:the )?(?:{name})\b", 1, 0.7),
 )
+# Label, short name as it is written with a version, such as GPLv3 or LGPL 2.1.
+SHORT = (
+    ("gpl", "gpl"),
+    ("lgpl", "lgpl"),
+    ("agpl", "agpl"),
+    ("mpl", "mpl"),
+    ("eupl", "eupl"),
+    ("cddl", "cddl"),
+)
+#: A short name with its version, which tells it from other words of the same letters.
+SHORT_FORM = r"(?<![a-z0-9-])(?:gnu )?{short}(?: ?-?v(?:ersion)? ?|[ -])[1-3](?:\.[0-9])?(?:\+|\b)(?![a-z0-9.]*[a-z0-9])"
 #: A text without any of these cannot match a rule and is not looked at further.
-GATE = ("licen", "spdx", "under", "subject", "://")
+GATE = ("licen", "spdx", "under", "subject", "://", *(short for _, short in SHORT))
 
 
 @dataclass(frozen=True)
@@ -105,4 +116,8 @@ def rules() -> tuple[Rule, ...]:
             made.append(
                 Rule(f"{label}:{form}", label, keywords, re.compile(text), priority, score)
             )
+    for label, short in SHORT:
+        text = SHORT_FORM.replace("{short}", short).replace(" ?", r"\s?").replace("(?:gnu )", r"(?:gnu\s+)")
+        text = text.replace("[ -]", r"[\s-]")
+        made.append(Rule(f"{label}:short", label, ((short,),), re.compile(text), 1, 0.7))
     return tuple(made)

@@ -14,7 +14,8 @@ are kept.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -78,6 +79,27 @@ def base_places(data: bytes) -> tuple[int, list[tuple[int, str]]]:
     return len(offsets), sorted(places)
 
 
+class Reach:
+    """The furthest end of intervals that start at or before a place, by a tree over known starts."""
+
+    def __init__(self, starts: Iterable[int]) -> None:
+        self.starts = sorted(set(starts))
+        self.tree = [-1] * (len(self.starts) + 1)
+
+    def furthest(self, start: int) -> int:
+        place, end = bisect_right(self.starts, start), -1
+        while place:
+            end = max(end, self.tree[place])
+            place &= place - 1
+        return end
+
+    def add(self, start: int, end: int) -> None:
+        place = bisect_right(self.starts, start)
+        while place < len(self.tree):
+            self.tree[place] = max(self.tree[place], end)
+            place += place & -place
+
+
 def detections(text: str) -> list[tuple[int, int, int, float, str, str]]:
     """What rules find, without what lies within a detection that ranks before it."""
     if not any(keyword in text for keyword in GATE):
@@ -90,12 +112,13 @@ def detections(text: str) -> list[tuple[int, int, int, float, str, str]]:
                 (-rule.priority, m.start() - m.end(), number, m.start(), m.end(), rule)
                 for m in rule.pattern.finditer(text)
             )
-    kept: list[tuple[int, int]] = []
+    reach = Reach(row[3] for row in found)
     result = []
     for _, _, number, start, end, rule in sorted(found, key=lambda row: row[:4]):
-        if not any(first <= start and end <= last for first, last in kept):
-            kept.append((start, end))
+        # What lies within a suppressed detection lies within the one that suppressed it.
+        if reach.furthest(start) < end:
             result.append((start, end, number, rule.score, rule.label, rule.name))
+            reach.add(start, end)
     return sorted(result)
 
 
