@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 from html import unescape
 
 import pytest
@@ -92,3 +93,11 @@ def test_query_gives_the_article_of_every_page(spark):
         plain = re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", article))
         text = " ".join(unescape(plain).split())
         assert found[page_id]["text"] == text and found[page_id]["n_chars"] == len(text)
+
+
+def test_many_open_and_stray_tags_and_attributes_are_read_in_proportion():
+    start = time.perf_counter()
+    assert main_text("<p>x</p>" + "<b>" * 20_000 + "</i>" * 20_000 + "hello") == "x hello"
+    assert time.perf_counter() - start < 10
+    many = " ".join(f'a{i}="x > y"' for i in range(600))
+    assert main_text(f"<div {many}>text</div>") == "text"

@@ -20,6 +20,7 @@ closed or cut off is read as browsers do, to the end; other columns of the input
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -42,7 +43,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|textarea|iframe|svg|math|object|select)\b[^>]*+>"
     r".*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+'){0,400}+(?=>)|[^<>]*+)>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)|[^<>]*+)>"
     r"|<[!?][^>]*+>",
     re.DOTALL | re.IGNORECASE,
 )
@@ -114,15 +115,28 @@ def parse(html: str) -> Element:
     """The page as a tree; text is left as it stands, with its character references."""
     root = current = Element("html", None, "")
     place = 0
+    open_tags: Counter[str] = Counter()
 
     def close(upto: frozenset, unless: frozenset) -> Element:
+        # Nothing to look for above: a stray end tag costs the same however deep it stands.
+        if not any(open_tags[tag] for tag in upto):
+            return current
         node = current
         while node is not None and node.tag not in unless:
             if node.tag in upto:
-                return node.parent or root
+                return leave(node)
             node = node.parent
         return current
 
+    def leave(upto: Element) -> Element:
+        """Close elements from the current one up to this one."""
+        node = current
+        while node is not upto:
+            open_tags[node.tag] -= 1
+            node = node.parent
+        open_tags[upto.tag] -= 1
+        return upto.parent or root
+
     for token in TOKEN.finditer(html):
         if token.start() > place:
             current.parts.append(html[place : token.start()])
@@ -144,6 +158,7 @@ def parse(html: str) -> Element:
         current.parts.append(element)
         if tag not in VOID and not token[4].rstrip().endswith("/"):
             current = element
+            open_tags[tag] += 1
     if place < len(html):
         current.parts.append(html[place:])
     return root
