@@ -156,3 +156,8 @@ def test_query_agrees_with_brute_force(spark):
 def test_rate_of_documents_left_alone(spark):
     docs = spark.createDataFrame([(i, f"plain words number {i}") for i in range(50)], "doc_id long, text string")
     assert find_private_data(docs).where(F.size("spans.kinds") > 0).count() == 0
+
+
+def test_an_address_with_very_many_zeros_is_one():
+    text = "at 1.2.3." + "0" * 6_000 + "1 and 1.2.3." + "0" * 6_000 + "256"
+    assert base_spans(text) == [(3, 1, 3 + 6 + 6_001)]

@@ -88,7 +88,8 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     if not DIGIT.search(text):
         return sorted(found)
     for match in IP.finditer(text):
-        if all(len(part.lstrip("0")) < 4 and int(part) <= 255 for part in match[0].split(".")):
+        parts = [part.lstrip("0") for part in match[0].split(".")]
+        if all(len(part) < 4 and int(part or "0") <= 255 for part in parts):
             found.append((match.start(), 1, match.end()))
     for match in CARD.finditer(text):
         if is_card(match[0].replace(" ", "").replace("-", "")):
@@ -236,9 +237,10 @@ def pair_counts(holders: DataFrame, terms: DataFrame, entities: DataFrame, total
                             count = counts.setdefault((value, term), [0, 0])
                             count[0] += copies
                             count[1] += 1
-                if len(counts) > 200_000:
-                    yield rows(counts)
-                    counts.clear()
+                    # Within a text too: a list of contacts has very many pairs.
+                    if len(counts) > 200_000:
+                        yield rows(counts)
+                        counts.clear()
         yield rows(counts)
 
     partial = holders.select("values", "terms", "copies").mapInPandas(
