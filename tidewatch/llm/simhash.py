@@ -115,7 +115,10 @@ def links(prints: DataFrame) -> DataFrame:
     near = [0, *flips(BITS, 1)]
     far = [*flips(HALF, 2), *flips(HALF, 2, HALF)]
     masks = F.when(is_odd(value), variants(value, near + far)).otherwise(variants(value, near))
-    emitted = prints.select(value, F.posexplode(masks).alias("place", "variant"))
+    # A fingerprint is small and its variants are many, so they are dealt to all tasks first.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = prints.repartition(tasks, "fingerprint")
+    emitted = dealt.select(value, F.posexplode(masks).alias("place", "variant"))
     emitted = emitted.select("fingerprint", "variant", (F.col("place") < len(near)).alias("near"))
     # Distinct fingerprints within two bits of one variant: at most 2,081 rows, whatever the data.
     group = Window.partitionBy("variant")
@@ -178,7 +181,8 @@ def keep_one_of_each(
     chosen = cut(
         chosen.join(counts, F.col("chosen_id").eqNullSafe(F.col("counted_id"))).drop("counted_id")
     )
-    same_id = docs[doc_id].eqNullSafe(F.col("chosen_id"))
+    # Taken from its frame, as documents may have a column of that name.
+    same_id = docs[doc_id].eqNullSafe(chosen["chosen_id"])
     alone = docs.join(chosen.where("id_rows = 1"), same_id, "left_semi")
     shared = (
         docs.join(chosen.where("id_rows > 1").select("chosen_id").distinct(), same_id, "left_semi")
