@@ -259,8 +259,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
         part = usable.where(F.col("label") == value).orderBy(digest, "label_id").limit(SAMPLE_PER_LABEL)
         chosen = part if chosen is None else chosen.union(part)
     # At most 2 * SAMPLE_PER_LABEL rows of two numbers.
-    texts = docs.join(F.broadcast(chosen), docs[doc_id] == F.col("label_id")).select(
-        F.col("label_id"), "label", terms_udf(docs[text]).alias("t")
+    known = docs.select(docs[doc_id].alias("known_id"), docs[text].alias("known_text"))
+    texts = known.join(F.broadcast(chosen), F.col("known_id") == F.col("label_id")).select(
+        "label_id", "label", terms_udf(F.col("known_text")).alias("t")
     )
     # An id may have several rows; one of them is enough, the same at every run.
     one = texts.groupBy("label_id", "label").agg(F.min("t").alias("t"))
