@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import pytest
 
-SCHEMA = (
-    "doc_id long, text string, lang string, source string, n_chars long, fingerprint string,"
-    " n_words string, size string, bucket string, number string, quality_score string, row string"
+#: Names that operators use for columns of their own.
+CLASHING = (
+    "fingerprint n_words size bucket number quality_score row verdict_host host_verdict host_rate"
+    " quality_metrics label label_id known_id known_text chosen_id chosen_print counted_id id_rows"
+    " root component_id text_key added_key added spans doc_key lane turn ids sequence_id offset"
+    " start length piece tree digest place block n_leaves fim cut copy copies position"
+).split()
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(
+    f"`{name}` string" for name in CLASHING
 )
 PROSE = "the quick brown fox jumps over the lazy dog while a patient cat watches from the old wall"
 
@@ -35,7 +41,7 @@ def odd_rows():
     ]
     rows += [(None, PROSE, None, None, None)] * 2  # NULL ids and a repeated row
     rows += [rows[0]] * 3 + [(6, "another text with the id six", None, "a", None)]
-    return [(*row, *["x"] * 7) for row in rows]
+    return [(*row, *["x"] * len(CLASHING)) for row in rows]
 
 
 @pytest.fixture(scope="session")

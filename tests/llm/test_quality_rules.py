@@ -37,7 +37,11 @@ def test_metrics_with_many_different_words():
 
 def test_odd_documents_keep_their_columns_and_get_a_verdict(odd_docs, no_docs):
     judged = quality_rules(odd_docs)
-    assert judged.columns == [*odd_docs.columns, "quality_metrics"]
+    others = [name for name in odd_docs.columns if name != "quality_metrics"]
+    assert sorted(judged.columns) == sorted([*others, "quality_metrics"])
+    named = quality_rules(odd_docs, metrics="other name")
+    assert named.columns == [*odd_docs.columns, "other name"]
+    assert {row["verdict_host"] for row in judged.collect()} == {"x"}
     rows = judged.collect()
     assert len(rows) == odd_docs.count()
     for row in rows:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch.sources.shared import checkpoint_folder
+
 #: ASCII white space that parts words: space and \x09 to \x0D, what ``bytes.split()`` parts on.
 SPACES = " \t\n\r\x0b\x0c"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,18 +31,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
-
-    Only where that is unset, as in tests, a temporary folder takes its place.
-    """
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return context.getCheckpointDir()
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame to the checkpoint folder and go on from there."""
     checkpoint_folder(df.sparkSession)

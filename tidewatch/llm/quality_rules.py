@@ -154,18 +154,22 @@ def with_verdicts(
         "verdict_host", F.struct("host_rate", "host_rejected").alias("host_verdict")
     )
     joined = scored.alias("scored").join(
-        verdicts, F.col(f"scored.{host}").eqNullSafe(F.col("verdict_host"))
+        verdicts.alias("of_host"),
+        F.col(f"scored.`{host}`").eqNullSafe(F.col("of_host.verdict_host")),
     )
-    own = F.col(f"scored.{metrics}")
+    own, of_host = F.col(f"scored.`{metrics}`"), F.col("of_host.host_verdict")
     failed = base_failed(own)
-    verdict = own.withField("base_failed", failed).withField(
-        "host_rate", F.col("host_verdict.host_rate")
-    )
-    verdict = verdict.withField("kept", ~failed & ~F.col("host_verdict.host_rejected"))
+    verdict = own.withField("base_failed", failed).withField("host_rate", of_host["host_rate"])
+    verdict = verdict.withField("kept", ~failed & ~of_host["host_rejected"])
     others = [F.col(f"scored.`{name}`") for name in scored.columns if name != metrics]
     return joined.select(*others, verdict.alias(metrics))
 
 
-def quality_rules(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """Documents, unchanged, with the struct ``quality_metrics`` added."""
-    return with_verdicts(measured(docs, text), host)
+def quality_rules(
+    docs: DataFrame,
+    text: str = "text",
+    host: str = "source",
+    metrics: str = "quality_metrics",
+) -> DataFrame:
+    """Documents, unchanged, with the struct ``metrics`` added; it replaces a column of that name."""
+    return with_verdicts(measured(docs, text, metrics), host, metrics)
