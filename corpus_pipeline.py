@@ -1,4 +1,10 @@
-"""The corpus pipeline: quality rules, near-duplicates, private data, mix, packing."""
+"""The corpus pipeline: quality rules, near-duplicates, private data, mix, packing.
+
+Defined cases: NULL and empty texts fail the base rule and go in the first stage; a NULL source is a host
+and a source of its own; rows of one id are told apart by their text; columns beside those of documents,
+whatever their names, stay with their rows up to the mix; an empty table gives an empty result. The last
+stage gives places of pieces, not their ids, which ``best_fit_packing(keep_ids=True)`` adds.
+"""
 
 from __future__ import annotations
 
@@ -15,13 +21,15 @@ from tidewatch.llm.private_data import sanitised
 from tidewatch.llm.quality_rules import quality_rules
 from tidewatch.llm.simhash import keep_one_of_each
 
+#: A column that documents do not have.
+VERDICT = "verdict of the quality stage"
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the verdict on their host keep."""
-    judged = quality_rules(docs)
-    return judged.where(F.col("quality_metrics.kept")).select(docs.columns)
+    judged = quality_rules(docs, metrics=VERDICT)
+    return judged.where(F.col(VERDICT)["kept"]).drop(VERDICT)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
