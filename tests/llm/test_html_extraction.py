@@ -2,13 +2,21 @@ from __future__ import annotations
 
 import re
 import time
+from collections import Counter
 from html import unescape
 
 import pytest
 from compare import duckdb_over
 from pyspark.sql import functions as F
 
-from tidewatch.llm.html_extraction import extract, host_of, main_text, site_templates
+from tidewatch.llm.html_extraction import (
+    MIN_PAGES,
+    extract,
+    host_of,
+    main_text,
+    site_templates,
+    subtree_hashes,
+)
 from tidewatch.llm.queries import QUERIES
 
 FRAME = (
@@ -71,12 +79,39 @@ def test_template_of_a_host_goes_where_it_recurs(spark):
     assert found[100] == "Menu of the house Lonely page."  # other hosts have no such template
     assert found[101] == found[102] == ""
     assert found[200] == "Same page, again and again"  # copies of one page are one page
-    hosts = {r["template_host"] for r in site_templates(pages).collect()}
-    assert hosts == {"host.example"}
+    assert site_templates(pages).count() == 30  # the pages of host.example alone
     assert extract(pages.limit(0)).count() == 0
     assert extract(pages).columns == [*pages.columns, "main_text"]
 
 
+@pytest.mark.parametrize(("with_block", "n_pages"), [(4, 100), (5, 100), (9, 100), (90, 1000)])
+def test_a_block_on_enough_pages_goes_however_many_pages_the_host_has(spark, with_block, n_pages):
+    def html(i):
+        block = "<div>A block without marks</div>" if i < with_block else ""
+        return f"<body>{block}<div><p>Own story number {i}.</p></div></body>"
+
+    rows = [(i, f"http://big.example/{i}", html(i)) for i in range(n_pages)]
+    found = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == n_pages
+    kept = {r["page_id"] for r in found if "without marks" in r["main_text"]}
+    assert kept == (set(range(with_block)) if with_block < 5 else set())
+    assert all(r["main_text"].endswith(f"Own story number {r['page_id']}.") for r in found)
+
+
+def test_counts_equal_those_of_brute_force(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    counts, own = Counter(), {}
+    hosts = pages.select("page_id", host_of(F.col("url")).alias("host"), "html").collect()
+    for host, html in {(r["host"], r["html"]) for r in hosts}:
+        counts.update((host, key) for key in subtree_hashes(html)[0])
+        own[host, html] = subtree_hashes(html)[1]
+    plain = {key: {k for k in keys if counts[key[0], k] >= MIN_PAGES} for key, keys in own.items()}
+    expected = {r["page_id"]: main_text(r["html"], frozenset(plain[r["host"], r["html"]])) for r in hosts}
+    assert {r["page_id"]: r["main_text"] for r in extract(pages).collect()} == expected
+    found = sorted(sorted(r["template"]) for r in site_templates(pages).collect())
+    assert found == sorted(sorted(keys) for keys in plain.values() if keys)
+
+
 def test_host(spark):
     urls = ["HTTPS://U:p@Host.example:8/x", "//a.b/c", "nonsense", None, "http://h?q"]
     frame = spark.createDataFrame([(u,) for u in urls], "u string")

@@ -1,16 +1,18 @@
 """Main text of web pages by removing site templates (operator 1).
 
 Every block-level element of a page is hashed with all below it. The hashes are counted per host
-over its different pages (equal pages count once); subtrees that recur on many pages of a host are
-its template and are deleted, together with what a page itself marks as boilerplate (navigation,
-adverts, forms and so on, by element, role or class). The text is that of the article or main
-element if there is one, else of what is left of the body.
+over its different pages (equal pages count once); subtrees that recur on ``MIN_PAGES`` pages of a host
+or more are its template and are deleted, however many pages the host has, together with what a page
+itself marks as boilerplate (navigation, adverts, forms and so on, by element, role or class). The text
+is that of the article or main element if there is one, else of what is left of the body.
 
 Paragraphs, headings and lists inside the article are never a template, however often a passage
 recurs on a host: only containers in it can be.
 
-A host may hold a third of all pages: counts are summed before they are shuffled. A host's template
-has at most mean-elements-per-page / MIN_SHARE hashes, whatever the number of its pages.
+A host may hold a third of all pages: nothing is gathered by host. Counts are by host and hash, summed
+before they are shuffled; a page then gets the template hashes that it has itself, by a join on host
+and hash, and its list is no longer than the page. Hashes inside marked elements count, but are not
+joined, as they go in any case.
 
 Defined cases: NULL or empty html has an empty text; a page with a NULL url is of the host ""; a
 repeated page gets a result each time; an empty table gives an empty result; markup that is never
@@ -29,13 +31,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, LongType, StringType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tidewatch.llm.common import cut, small_batches
 
-#: A subtree is a template if so many pages, and this share of the host's pages, have it.
+#: A subtree is a template if so many different pages of the host have it.
 MIN_PAGES = 5
-MIN_SHARE = 0.1
 #: A list or container outside an article is a menu if so much of its text is links.
 LINK_SHARE = 0.8
 
@@ -164,8 +165,8 @@ def parse(html: str) -> Element:
     return root
 
 
-def hash_subtrees(element: Element, found: list[int]) -> str:
-    """Hash of an element with all below it; adds those of block-level elements with text."""
+def hash_subtrees(element: Element, found: list[Element]) -> str:
+    """Hash of an element with all below it; adds the block-level elements with text."""
     texts: dict[int, str] = {}
     around: set[int] = set()  # elements with an article or main element in or below them
     for node in bottom_up(element):
@@ -185,7 +186,7 @@ def hash_subtrees(element: Element, found: list[int]) -> str:
         if node.tag in INLINE or (node.main and node.tag in FLOW):
             continue
         if id(node) not in around and node is not element:
-            found.append(node.key)
+            found.append(node)
     return texts[id(element)]
 
 
@@ -275,18 +276,32 @@ def main_text(html: str | None, template: frozenset[int] = frozenset()) -> str:
     return " ".join(text for text in texts if text)
 
 
-def subtree_hashes(html: str | None) -> list[int]:
+def subtree_hashes(html: str | None) -> tuple[list[int], list[int]]:
+    """Different hashes of a page's subtrees, and those that occur outside marked elements."""
     if not html:
-        return []
-    found: list[int] = []
-    hash_subtrees(parse(html), found)
-    return list(set(found))
+        return [], []
+    root = parse(html)
+    found: list[Element] = []
+    hash_subtrees(root, found)
+    marked: set[int] = set()
+    for node in reversed(bottom_up(root)):
+        if node.mark or id(node.parent) in marked:
+            marked.add(id(node))
+    return (
+        list({node.key for node in found}),
+        list({node.key for node in found if id(node) not in marked}),
+    )
 
 
-@pandas_udf(ArrayType(LongType()))
-def subtrees_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+SUBTREES = StructType(
+    [StructField("subtrees", ArrayType(LongType())), StructField("unmarked", ArrayType(LongType()))]
+)
+
+
+@pandas_udf(SUBTREES)
+def subtrees_of(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for series in pages:
-        yield series.map(subtree_hashes, na_action=None)
+        yield pd.DataFrame([subtree_hashes(html) for html in series], columns=SUBTREES.names)
 
 
 @pandas_udf(StringType())
@@ -306,30 +321,32 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, pattern, 1), F.lit("")))
 
 
+def page_key(pages: DataFrame, url: str, html: str) -> Column:
+    """The same for equal pages of a host."""
+    return F.xxhash64(host_of(pages[url]), pages[html])
+
+
 def site_templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per host that has a template: ``template_host`` and the ``template`` hashes."""
+    """One row per different page with template subtrees: ``template_page`` and their hashes, ``template``."""
     small_batches(pages.sparkSession)
-    host = host_of(pages[url])
-    seen = cut(
-        pages.select(
-            host.alias("host"),
-            F.xxhash64(host, pages[html]).alias("page"),
-            # 0 stands for the page itself, to count a host's pages.
-            F.explode(F.concat(F.array(F.lit(0).cast("long")), subtrees_of(pages[html]))).alias(
-                "subtree"
-            ),
-        ).distinct()
+    read = pages.select(
+        page_key(pages, url, html).alias("page"),
+        F.xxhash64(host_of(pages[url])).alias("host"),
+        subtrees_of(pages[html]).alias("found"),
     )
-    counts = seen.groupBy("host", "subtree").agg(F.count("*").alias("n_pages"))
-    counts = cut(counts.where((F.col("n_pages") >= MIN_PAGES) | (F.col("subtree") == 0)))
-    totals = counts.where("subtree = 0").select(
-        F.col("host").alias("template_host"), F.col("n_pages").alias("host_pages")
+    different = cut(
+        read.groupBy("page").agg(
+            F.any_value("host").alias("host"),
+            F.any_value("found.subtrees").alias("subtrees"),
+            F.any_value("found.unmarked").alias("unmarked"),
+        )
     )
-    frequent = counts.where(f"subtree <> 0 and n_pages >= {MIN_PAGES}")
+    counts = different.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree")
+    frequent = counts.agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= MIN_PAGES)
+    own = different.select("page", "host", F.explode("unmarked").alias("subtree"))
     return (
-        frequent.join(totals, F.col("host") == F.col("template_host"))
-        .where(F.col("n_pages") >= MIN_SHARE * F.col("host_pages"))
-        .groupBy("template_host")
+        own.join(frequent, ["host", "subtree"])
+        .groupBy(F.col("page").alias("template_page"))
         .agg(F.collect_set("subtree").alias("template"))
     )
 
@@ -339,8 +356,8 @@ def extract(
 ) -> DataFrame:
     """Pages with their main text in the column ``into``; all other columns as they are."""
     templates = cut(site_templates(pages, url, html))
-    named = pages.join(templates, host_of(pages[url]) == templates["template_host"], "left")
-    return named.select(
+    same = page_key(pages, url, html) == templates["template_page"]
+    return pages.join(templates, same, "left").select(
         *[pages[name] for name in pages.columns if name != into],
         text_of(pages[html], templates["template"]).alias(into),
     )
