@@ -122,6 +122,85 @@ def test_other_names_and_wrapped_lines_are_found(text, label):
     assert label in scan_text(text)[4]
 
 
+# The opening or notice of real licenses, as they are printed.
+PRINTED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights""",
+    "ncsa": """Permission is hereby granted, free of charge, to any person obtaining a copy of
+this software and associated documentation files (the "Software"), to deal with
+the Software without restriction, including without limitation the rights""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+    "apache": """Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND""",
+    "gpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation""",
+    "lgpl": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation""",
+    "agpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as""",
+    "mpl": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0.""",
+    "zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.""",
+    "unlicense": """This is free and unencumbered software released into the public domain.""",
+    "boost": """Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce""",
+    "epl": """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0""",
+}
+
+
+@pytest.mark.parametrize("label", PRINTED)
+@pytest.mark.parametrize("lead", ["", " * ", "# ", "// ", "-- "])
+def test_a_license_is_known_by_its_text_alone(label, lead):
+    text = "".join(f"{lead}{line}\n" for line in PRINTED[label].splitlines())
+    found = detections(text.lower())
+    assert {row[4] for row in found} == {label}
+    assert any(row[5].startswith(f"{label}:text") and row[3] == 1.0 for row in found)
+    assert detections(text.lower().replace("\n", "\r\n").replace('"', "\u201c"))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "permission is hereby granted to enter the garden, free of charge, to any person",
+        "the use of source and binary forms is permitted by the teacher",
+        "this is free and cheerful software released into the garden",
+        "you can redistribute it and modify it",
+    ],
+)
+def test_sentences_like_those_of_licenses_are_none(text):
+    assert detections(text) == []
+
+
+def test_keywords_and_gate_lose_nothing_on_real_texts(spark):
+    """Detections equal those of all rules run on every text."""
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts += [f"{a} {b}" for a in PRINTED.values() for b in PRINTED.values()]
+    for text in texts:
+        lowered = text.encode().lower().decode()
+        found = sorted(
+            (-rule.priority, m.start() - m.end(), number, m.start(), m.end(), rule.name)
+            for number, rule in enumerate(rules())
+            for m in rule.pattern.finditer(lowered)
+        )
+        kept = []
+        for *_, number, start, end, name in found:
+            if not any(first <= start and end <= last for first, last, _, _ in kept):
+                kept.append((start, end, number, name))
+        expected = sorted(kept)
+        assert sorted((r[0], r[1], r[2], r[5]) for r in detections(lowered)) == expected
+
+
 def test_odd_documents(odd_docs, no_docs):
     found = scan(odd_docs)
     assert found.columns == [*odd_docs.columns, "license_scan"]

@@ -1,4 +1,5 @@
-"""Signature rules for licenses: a table of licenses, and forms in which a text names one."""
+"""Signature rules for licenses: sentences of their texts, a table of licenses, and forms in which a
+text names one."""
 
 from __future__ import annotations
 
@@ -86,8 +87,61 @@ SHORT = (
 )
 #: A short name with its version, which tells it from other words of the same letters.
 SHORT_FORM = r"(?<![a-z0-9-])(?:gnu )?{short}(?: ?-?v(?:ersion)? ?|[ -])[1-3](?:\.[0-9])?(?:\+|\b)(?![a-z0-9.]*[a-z0-9])"
+# Label, word that the text has, sentence that tells a license's text or notice from
+# others, as a pattern over lower-case text. White space in it stands for any white space, with the marks
+# of a comment's lines and quotation marks.
+BODIES = (
+    ("mit", "permission", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files \(the software\), to deal in the software without restriction"),
+    ("mit", "permission", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("ncsa", "permission", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files \(the software\), to deal with the software without restriction"),
+    ("boost", "permission", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("isc", "permission", r"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("postgresql", "permission", r"permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted"),
+    ("w3c", "permission", r"permission to copy, modify, and distribute this (?:work|software and its documentation), with or without modification, for any purpose and without fee or royalty is hereby granted"),
+    ("upl", "permission", r"permission is hereby granted to any person obtaining a copy of this software, associated documentation and/or data"),
+    ("gfdl", "permission", r"permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation license"),
+    ("bsd", "redistribution", r"redistributions? and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("apache", "licensed", r"licensed under the apache license, version 2\.0 \(the license\); you may not use this file except in compliance with the license"),
+    ("apache", "distributed", r"unless required by applicable law or agreed to in writing, software distributed under the license is distributed on an as is basis"),
+    ("apache", "contributor", r"each contributor hereby grants to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license"),
+    ("gpl", "redistribute", r"(?:this program|this software|this file) is free software[:;,] you can redistribute it and/or modify it under the terms of (?:version [23] of )?the gnu general public license"),
+    ("gpl", "everyone", r"gnu general public license version [123],.{0,200}? everyone is permitted to copy and distribute verbatim copies of this license document"),
+    ("lgpl", "redistribute", r"(?:this library|this program|this software|this file) is free software[:;,] you can redistribute it and/or modify it under the terms of (?:version [23](?:\.1)? of )?the gnu (?:lesser|library) general public license"),
+    ("agpl", "redistribute", r"(?:this program|this software|this file) is free software[:;,] you can redistribute it and/or modify it under the terms of (?:version 3 of )?the gnu affero general public license"),
+    ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public license"),
+    ("mpl", "mozilla", r"the contents of this file are subject to the mozilla public license"),
+    ("epl", "eclipse", r"this program and the accompanying materials are (?:made available|provided) under the terms of the eclipse public license"),
+    ("cddl", "distribution", r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpl", "accompanying", r"the accompanying program is provided under the terms of this common public license"),
+    ("zlib", "warranty", r"this software is provided as-is['’”\x22]?, without any express or implied warranty\. in no event will the authors? be held liable for any damages arising from the use of this software"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "fuck", r"you just do what the fuck you want to"),
+    ("artistic", "intent", r"the intent of this (?:document|license) is to state the conditions under which a package may be copied"),
+    ("artistic", "establishes", r"this license establishes the terms under which a given free software package may be copied, modified, distributed, and/or redistributed"),
+    ("ofl", "licensed", r"this font software is licensed under the sil open font license"),
+    ("python", "python", r"this license agreement is between the python software foundation"),
+    ("php", "freely", r"this product includes php software, freely available from"),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project"),
+    ("cc0", "deed", r"the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc-by", "commercially", r"you are free to:? share .{0,200}? adapt .{0,200}? for any purpose, even commercially"),
+    ("ms-pl", "governs", r"this license governs use of the accompanying software\. if you use the software, you accept this license"),
+    ("sspl", "functionality", r"if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("blueoak", "contributor", r"this license gives everyone as much permission to work with this software as possible, while protecting contributors from liability"),
+    ("mulan", "contributor", r"subject to the terms and conditions of this license, each contributor hereby grants to you a perpetual, worldwide, royalty-free, non-exclusive, irrevocable copyright license to reproduce, use, modify, or distribute its contribution"),
+    ("commons-clause", "license", r"the grant of rights under the license will not include, and the license does not grant to you, the right to sell the software"),
+)
+#: Between the words of such a sentence: white space, comment marks, quotation marks.
+BODY_GAP = "[\\s*#/;%\"'`\u201c\u201d\u2018\u2019-]+"
+BODY_QUOTE = "[\"'`\u201c\u201d\u2018\u2019]*"
+BODY_PRIORITY = 6
+BODY_SCORE = 1.0
+
 #: A text without any of these cannot match a rule and is not looked at further.
-GATE = ("licen", "spdx", "under", "subject", "://", *(short for _, short in SHORT))
+GATE = (
+    *("licen", "spdx", "under", "subject", "://"),
+    *(short for _, short in SHORT),
+    *sorted({keyword for _, keyword, _ in BODIES}),
+)
 
 
 @dataclass(frozen=True)
@@ -103,8 +157,14 @@ class Rule:
 
 @cache
 def rules() -> tuple[Rule, ...]:
-    """One rule for each license and form, in the order of the tables."""
+    """One rule for each sentence, and for each license and form, in the order of the tables."""
     made = []
+    for number, (label, keyword, sentence) in enumerate(BODIES):
+        # A quotation mark may stand inside brackets too: ("the Software").
+        text = sentence.replace(r"\(", r"\(" + BODY_QUOTE).replace(r"\)", BODY_QUOTE + r"\)").replace(" ", BODY_GAP)
+        made.append(
+            Rule(f"{label}:text{number}", label, ((keyword,),), re.compile(text, re.DOTALL), BODY_PRIORITY, BODY_SCORE)
+        )
     for label, keyword, spdx, name, page in LICENSES:
         for form, needed, pattern, priority, score in FORMS:
             text = pattern.replace("{spdx}", spdx).replace("{name}", name).replace("{page}", page)
