@@ -70,6 +70,8 @@ VALIDATION_DATES = ("2000-06-15", "2000-06-16", "2000-06-01", "2000-06-02", "200
 ANOMALY_DATES = ("1999-06-15", "2000-06-15", "2000-12-31", "2001-06-15")
 FALLBACK_DATES = ("2001-11-10", "2002-01-01")
 REQUESTED = "revenue_funnel, events_health, not_registered"
+#: When the archive row of the registered queries is taken to be written.
+WRITTEN = "TIMESTAMP '2001-01-01 06:00:00'"
 
 
 def run(
@@ -183,7 +185,7 @@ def date_check(spark: SparkSession, sf: str) -> DataFrame:
 def archive(spark: SparkSession, sf: str) -> DataFrame:
     costs = run_costs(conversation_usage(spark, sf))
     results = run_both(spark, sf)
-    return archive_row(results, parse_keys(REQUESTED), costs)
+    return archive_row(results, parse_keys(REQUESTED), costs, F.expr(WRITTEN))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -309,6 +311,6 @@ def registered() -> dict[str, Query]:
         "report_text": _of_both(report_texts),
         "prompt_text": _of_both(prompt_texts),
         "findings_json": _of_both(findings_json),
-        "archive_row": archive,
+        "archive_row": lambda spark, sf: comparable(archive(spark, sf)),
         "report_json": lambda spark, sf: exit_payload(archive(spark, sf)),
     }

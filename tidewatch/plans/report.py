@@ -346,11 +346,13 @@ def archive_row(
     results: Sequence[MonitorResult],
     requested: Sequence[str],
     costs: DataFrame | None = None,
+    written: Column | None = None,
 ) -> DataFrame:
     """The archive row of a run.
 
     ``requested`` lists the asked keys, also those skipped (T20). The date and headline are
-    those of the first monitor. ``costs`` is the output of ``run_costs``, if there was any.
+    those of the first monitor. ``costs`` is the output of ``run_costs``, if there was any;
+    ``written`` is the time of writing, now if not given.
     """
     if not results:
         raise ValueError("no monitor ran, there is nothing to archive")
@@ -362,7 +364,7 @@ def archive_row(
     reports = report_texts(results).agg(_joined("report").alias("markdown_report"))
     return reports.select(
         F.lit(results[0].report_date).alias("report_date"),
-        F.current_timestamp().alias("created_timestamp"),
+        (F.current_timestamp() if written is None else written).alias("created_timestamp"),
         headline(results[0]).scalar().alias("headline"),
         "markdown_report",
         findings_json(results).scalar().alias("findings_json"),
