@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -116,6 +117,76 @@ def test_a_pair_in_two_different_texts_is_scored(spark):
     assert "Zorblax" not in clean[0] + clean[1] and clean[2] == texts[2]
 
 
+def shingles(text):
+    words = re.findall(r"[^\W_]+", re.sub(PATTERNS[0], " ", text).lower())
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
+
+
+def plain_disclosures(texts):
+    """Every pair of entity and term by nested loops; texts that share a shingle are one context."""
+    total, terms, entities = len(texts), {}, {}
+    for place, text in enumerate(texts):
+        bare = re.sub(PATTERNS[0], " ", text).lower()
+        for term in set(re.findall(r"[^\W_]+", bare)):
+            terms.setdefault(term, set()).add(place)
+        for match in re.finditer(PATTERNS[0], text):
+            entities.setdefault(match[0].lower(), set()).add(place)
+    out = {}
+    for value, holders in entities.items():
+        for term, places in terms.items():
+            families = []
+            for place in holders & places:
+                near = [f for f in families if any(shingles(texts[place]) & shingles(texts[o]) for o in f)]
+                families = [f for f in families if f not in near] + [{place}.union(*near)]
+            if len(families) < 2:
+                continue
+            both = len(holders & places) * (len(families) - 1) / len(families) / total
+            pmi = math.log(both / (len(places) / total * len(holders) / total))
+            if (share := pmi / -math.log(len(holders) / total)) >= 0.8:
+                out[term] = max(share, out.get(term, 0))
+    return out
+
+
+def test_disclosure_and_added_spans_as_brute_force(spark):
+    """Names beside addresses, in edited copies and in texts of their own; some names elsewhere too."""
+    generator = random.Random(11)
+    common = lambda n: [f"c{generator.randrange(300)}" for _ in range(n)]
+    texts = [" ".join(common(40)) for _ in range(600)]
+    for person in range(12):
+        address, names = f"p{person}@private.example", [f"Name{person}", f"Town{person}"]
+        for _ in range(1 + person % 4):  # contexts
+            family = [*common(20), names[0], address, *common(20), *names[1 : 1 + person % 2]]
+            texts.append(" ".join(family))
+            for _ in range(person % 3):  # edited copies
+                texts.append(" ".join(word if i != 3 else common(1)[0] for i, word in enumerate(family)))
+        texts += [" ".join([*common(30), names[0]]) for _ in range(person // 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = plain_disclosures(texts)
+    assert {"name2", "name3", "town3"} <= set(want) and "name0" not in want and "name4" not in want
+    for row in find_private_data(docs).collect():
+        text = texts[row["doc_id"]]
+        expected = [
+            (m.start(), m.end(), round(want[m[0].lower()], 9))
+            for m in re.finditer(r"[^\W_]+", text)
+            if m[0].lower() in want
+        ]
+        got = [(s["start"], s["end"], round(s["disclosure"], 9)) for s in row["added"] or []]
+        assert got == expected
+
+
+def test_edited_copies_are_one_context(spark):
+    generator = random.Random(5)
+    base = [f"u{generator.randrange(10**6)}" for _ in range(80)]
+    copies = [
+        " ".join([*(f"v{generator.randrange(10**6)}" if generator.random() < 0.1 else w for w in base), "z@private.example"])
+        for _ in range(8)
+    ]
+    texts = copies + [" ".join(generator.choices(base, k=10)) for _ in range(5)]
+    texts += [f"some other words {i}" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert find_private_data(docs).where("added is not null").count() == 0
+
+
 def test_counts_of_candidates_are_exact(spark):
     docs = revealing_corpus(spark)
     wanted = spark.createDataFrame([("zorblax",), ("w3",), ("absent",)], "term string")

@@ -6,18 +6,21 @@ protected entity. A term beside an entity may reveal it too: how strongly, the c
 the information content IC(e) = -log p(e) of an entity and the mutual information
 PMI(t, e) = log(p(t, e) / (p(t) p(e))), a term discloses PMI / IC of the entity: all of it if the
 term comes with no other text. Probabilities are shares of documents, and a pair is in every
-document that holds both, however far apart. One of the different texts that hold a pair is left out
-of p(t, e) (smoothing: of n different texts with the pair, n - 1 count), so copies of one text, or a
-pair in one text only, say nothing about the term: once the entity is sanitised there, no other text
-links the two. A term that discloses ``MAX_DISCLOSURE`` or more of any entity is sanitised at every
-occurrence in every document; removed if it discloses nearly all, else generalised to its kind.
-
-Documents are counted over the whole corpus. Pairs that cannot reach ``MAX_DISCLOSURE`` because the
-term is too frequent are not shuffled: PMI / IC is at most what p(t, e) = p(e) gives, so a term must be
-in at most n(e)^m * N^(1 - m) of N documents, m being MAX_DISCLOSURE. Frequent terms and entities, in
-one of ``FREQUENT`` documents or more, are broadcast for that: at most FREQUENT times the mean number of
-different terms of a document, whatever the corpus. Terms are looked for by a bitmap of fixed size that
-cannot miss one, and then exactly.
+document that holds both, however far apart. One of the contexts that hold a pair is left out of
+p(t, e) (smoothing: of n contexts with the pair, n - 1 count), so a pair in one context only says
+nothing about the term: once the entity is sanitised there, no other text links the two. Texts that
+share wording are one context of an entity, so copies, edited copies and texts around one passage
+count once: texts with one of ``SKETCH`` min-hashes of their shingles of ``SHINGLE`` words in common are
+linked, and what is connected is one context. A term that discloses ``MAX_DISCLOSURE`` or more of any
+entity is sanitised at every occurrence in every document; removed if it discloses nearly all, else
+generalised to its kind.
+
+Documents are counted over the whole corpus. Entities in one context only have no pairs to count.
+Pairs that cannot reach ``MAX_DISCLOSURE`` because the term is too frequent are not shuffled: PMI / IC
+is at most what p(t, e) = p(e) gives, so a term must be in at most n(e)^m * N^(1 - m) of N documents,
+m being MAX_DISCLOSURE. Frequent terms and entities, in one of ``FREQUENT`` documents or more, are
+broadcast for that: at most FREQUENT times the mean number of different terms of a document, whatever
+the corpus. Terms are looked for by a bitmap of fixed size that cannot miss one, and then exactly.
 
 Defined cases: a NULL or empty text has no spans and stays as it is; equal texts share their spans;
 repeated rows and NULL ids get a result each; an empty table gives an empty result; other columns of
@@ -40,6 +43,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tidewatch.llm.common import cut, small_batches
+from tidewatch.llm.components import connected
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -49,6 +53,9 @@ REMOVE_FROM = 0.95
 #: Bits of the candidate bitmap: 2 MB, whatever the corpus.
 BITMAP_BITS = 1 << 24
 BUCKET_BITS = 32_768
+#: Of two texts that share a fifth of their shingles, some hash is the same in 999 of 1,000 cases.
+SKETCH = 32
+SHINGLE = 5
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -124,8 +131,10 @@ SPANS = StructType(
         StructField("ends", ArrayType(LongType())),
         StructField("values", ArrayType(StringType())),
         StructField("base_sha256", StringType()),
-        # Different words of the document outside the spans; none without spans.
+        # Different words of the document outside the spans, and min-hashes of their sequence; none
+        # without spans.
         StructField("terms", ArrayType(StringType())),
+        StructField("sketch", ArrayType(LongType())),
     ]
 )
 
@@ -134,8 +143,26 @@ def span_text(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
+def mixed_bits(numbers: np.ndarray) -> np.ndarray:
+    """Each 64-bit number with all its bits mixed."""
+    numbers = (numbers ^ (numbers >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return numbers ^ (numbers >> np.uint64(29))
+
+
+def sketch(words: list[str]) -> list[int]:
+    """Min-hashes of the shingles of a sequence of words; a short one is one shingle."""
+    hashes = mixed_bits(np.array([zlib.crc32(word.encode()) for word in words], np.uint64))
+    size = min(SHINGLE, len(words))
+    shingles = np.zeros(len(words) - size + 1, np.uint64)
+    for place in range(size):
+        shingles = mixed_bits(shingles + hashes[place : place + len(shingles)] + np.uint64(1))
+    seeds = mixed_bits(np.arange(1, SKETCH + 1, dtype=np.uint64))
+    return [int(mixed_bits(shingles ^ seed).min().astype(np.int64)) for seed in seeds]
+
+
 def find_spans(text: str | None) -> tuple:
     spans = base_spans(text)
+    words = [text[start:end].lower() for start, end in free_words(text, spans)] if spans else []
     values = [value_of(kind, text[start:end]) for start, kind, end in spans]
     return (
         [kind for _, kind, _ in spans],
@@ -143,7 +170,8 @@ def find_spans(text: str | None) -> tuple:
         [end for _, _, end in spans],
         values,
         hashlib.sha256(span_text(spans).encode()).hexdigest(),
-        list({text[start:end].lower() for start, end in free_words(text, spans)}) if spans else [],
+        list(set(words)),
+        sketch(words) if spans else [],
     )
 
 
@@ -210,44 +238,87 @@ def document_frequencies(docs: DataFrame, text: str, candidates: DataFrame) -> D
     return partial.groupBy("term").agg(F.sum("n_docs").alias("term_docs"))
 
 
+def contexts(holders: DataFrame) -> DataFrame:
+    """Texts of the entities that have several contexts: (context_key, contexts).
+
+    ``contexts`` has (value, context) for each such entity of the text.
+    """
+    held = cut(
+        holders.select("text_key", F.explode(F.array_distinct("values")).alias("value"), "sketch")
+    )
+    repeated = held.groupBy("value").agg(F.count("*").alias("texts")).where("texts > 1")
+    several = cut(
+        held.join(repeated.select("value"), "value").withColumn(
+            "node", F.xxhash64("value", "text_key")
+        )
+    )
+    # Texts with an equal hash are linked with the first of them, not with each other.
+    hashes = several.select("value", "node", F.posexplode("sketch").alias("hash", "shingle"))
+    shared = ["value", "hash", "shingle"]
+    first = hashes.groupBy(*shared).agg(F.min("node").alias("first"))
+    links = hashes.join(first, shared).where("node <> first")
+    roots = connected(links.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    placed = cut(
+        several.join(roots, "node", "left").select(
+            "text_key", "value", F.coalesce("root", "node").alias("context")
+        )
+    )
+    apart = (
+        placed.select("value", "context")
+        .distinct()
+        .groupBy("value")
+        .agg(F.count("*").alias("n_contexts"))
+        .where("n_contexts > 1")
+    )
+    return (
+        placed.join(apart.select("value"), "value")
+        .groupBy(F.col("text_key").alias("context_key"))
+        .agg(F.collect_list(F.struct("value", "context")).alias("contexts"))
+    )
+
+
 def pair_counts(holders: DataFrame, terms: DataFrame, entities: DataFrame, total: int) -> DataFrame:
-    """Documents and different texts that hold both: (value, term, pair_docs, texts).
+    """Documents and contexts that hold both: (value, term, pair_docs, n_contexts).
 
-    Pairs whose term is too frequent to reach MAX_DISCLOSURE are left out.
+    ``holders`` has ``contexts``, ``terms`` and ``copies`` by text. Pairs whose term is too frequent
+    to reach MAX_DISCLOSURE are left out.
     """
     least = total / FREQUENT
     frequent_terms = dict(terms.where(F.col("term_docs") >= least).toLocalIterator())
     frequent_values = dict(entities.where(F.col("value_docs") >= least).toLocalIterator())
     shared = holders.sparkSession.sparkContext.broadcast((frequent_terms, frequent_values))
-    names = ["value", "term", "pair_docs", "texts"]
+    names = ["value", "term", "context", "pair_docs"]
 
-    def rows(counts: dict) -> pd.DataFrame:
-        return pd.DataFrame([(*pair, *n) for pair, n in counts.items()], columns=names)
+    def rows(counts: Counter[tuple[str, str, int]]) -> pd.DataFrame:
+        return pd.DataFrame([(*key, n) for key, n in counts.items()], columns=names)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often, values_often = shared.value
-        counts: dict[tuple[str, str], list[int]] = {}
+        counts: Counter[tuple[str, str, int]] = Counter()
         for frame in batches:
-            for values, terms, copies in zip(frame["values"], frame["terms"], frame["copies"], strict=True):
-                for value in set(values):
+            for held, terms, copies in zip(
+                frame["contexts"], frame["terms"], frame["copies"], strict=True
+            ):
+                for entity in held:
+                    value, context = entity["value"], entity["context"]
                     most = values_often.get(value, least) ** MAX_DISCLOSURE * total ** (1 - MAX_DISCLOSURE)
                     for term in terms:
                         # A little more, as rounding must not lose a pair.
                         if often.get(term, 0) <= most * 1.000001:
-                            count = counts.setdefault((value, term), [0, 0])
-                            count[0] += copies
-                            count[1] += 1
+                            counts[value, term, context] += copies
                     # Within a text too: a list of contacts has very many pairs.
                     if len(counts) > 200_000:
                         yield rows(counts)
                         counts.clear()
         yield rows(counts)
 
-    partial = holders.select("values", "terms", "copies").mapInPandas(
-        counted, "value string, term string, pair_docs long, texts long"
+    partial = holders.select("contexts", "terms", "copies").mapInPandas(
+        counted, "value string, term string, context long, pair_docs long"
     )
-    return partial.groupBy("value", "term").agg(
-        F.sum("pair_docs").alias("pair_docs"), F.sum("texts").alias("texts")
+    # By context first: a frequent pair has many, and no task sees them all.
+    by_context = partial.groupBy("value", "term", "context").agg(F.sum("pair_docs").alias("pair_docs"))
+    return by_context.groupBy("value", "term").agg(
+        F.sum("pair_docs").alias("pair_docs"), F.count("*").alias("n_contexts")
     )
 
 
@@ -263,6 +334,7 @@ def disclosures(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
         with_spans.groupBy("text_key").agg(
             F.any_value("spans.values").alias("values"),
             F.any_value("spans.terms").alias("terms"),
+            F.any_value("spans.sketch").alias("sketch"),
             F.count("*").alias("copies"),
         )
     )
@@ -271,14 +343,20 @@ def disclosures(docs: DataFrame, found: DataFrame, text: str) -> DataFrame:
         .groupBy("value")
         .agg(F.sum("copies").alias("value_docs"))
     )
+    several = contexts(holders)
+    holders = cut(
+        holders.join(several, holders["text_key"] == several["context_key"]).select(
+            "contexts", "terms", "copies"
+        )
+    )
     terms = cut(
         document_frequencies(docs, text, holders.select(F.explode("terms").alias("term")))
     )
-    # A pair in one text only has nothing left when that text is left out.
-    pairs = cut(pair_counts(holders, terms, entities, total).where("texts > 1"))
+    # A pair in one context only has nothing left when that context is left out.
+    pairs = cut(pair_counts(holders, terms, entities, total).where("n_contexts > 1"))
     joined = pairs.join(terms, "term").join(entities, "value")
     count = F.lit(float(total))
-    both = F.col("pair_docs") * (F.col("texts") - 1) / F.col("texts")
+    both = F.col("pair_docs") * (F.col("n_contexts") - 1) / F.col("n_contexts")
     pmi = F.log(both * count / (F.col("term_docs") * F.col("value_docs")))
     content = F.log(count / F.col("value_docs"))
     share = F.when(content > 0, pmi / content).otherwise(0.0)
