@@ -275,3 +275,42 @@ def test_stages_can_filter_one_event_table(spark):
     daily = FunnelSource({"events": events}, stages, None, CHANNELS).daily(["channel"], WINDOW)
     got = {r.dimension: (r["view"], r["error"]) for r in daily.collect()}
     assert got == {"O&O": (1, 1), "Other": (1, 0)}
+
+
+@pytest.mark.parametrize("unique", [False, True])
+@pytest.mark.parametrize("facts_key", ["bigint", "string"])
+def test_levels_of_repeated_keys_against_sets(spark, unique, facts_key):
+    """Keys with several values at each level, repeated facts, NULL entities, further own levels."""
+    day = dt.date(2024, 1, 3)
+    known = [(k % 7, f"s{k % 5}", f"z{k % 3 or None}") for k in range(40)] + [(None, "s1", "z1")]
+    facts = [(day, k % 9 if k % 8 else None, k % 11 if k % 10 else None, f"o{k % 4}") for k in range(60)]
+    facts += facts[:20]
+    roles = {
+        "known": spark.createDataFrame(known, "k bigint, segment string, zone string"),
+        "facts": spark.createDataFrame(facts, "day date, k bigint, id bigint, own string").withColumn(
+            "k", F.col("k").cast(facts_key)
+        ),
+    }
+    channels = ChannelMap({f"s{i}": f"c{i % 3}" for i in range(4)})
+    lookup = Lookup("known", "k", "segment", unique=unique, levels={"zone": "zone", "own": "zone"})
+    stages = [
+        Stage("keys", DISTINCT, "facts", "day", "k", lookup_key="k"),
+        Stage("ids", DISTINCT, "facts", "day", "id", lookup_key="k"),
+        Stage("owned", DISTINCT, "facts", "day", "k", lookup_key="k", levels={"own": "own"}),
+    ]
+    names = {"keys": 1, "ids": 2, "owned": 1}
+    for levels in (["overall"], ["zone"], ["zone", "channel"], ["overall", "channel", "zone"], ["own", "overall"]):
+        want = {}
+        for row in facts:
+            matches = [m for m in known if row[1] is not None and m[0] == row[1]] or [(None, None, None)]
+            for _, segment, zone in matches:
+                value = {"overall": "overall", "channel": channels.channel_of.get(segment, "Other"), "zone": zone or "Other"}
+                for name, place in names.items():
+                    own = row[3] if name == "owned" else zone or "Other"
+                    for level in levels:
+                        key = (level, (value | {"own": own})[level])
+                        want.setdefault(key, {n: set() for n in names})[name].add(row[place])
+        daily = FunnelSource(roles, stages, lookup, channels).daily(levels, WINDOW).collect()
+        got = {(r.dim_type, r.dimension): {n: r[n] for n in names} for r in daily}
+        assert len(daily) == len(got)
+        assert got == {key: {n: len(ids - {None}) for n, ids in sets.items()} for key, sets in want.items()}

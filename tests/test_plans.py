@@ -249,3 +249,20 @@ def test_the_key_filter_loses_no_wanted_key(spark, bits):
     assert kept.columns == rows.columns
     assert kept.join(keys, "k", "left_semi").count() == rows.join(keys, "k", "left_semi").count()
     assert kept.count() < rows.count() and might_match(rows, "k", key_filter(keys.limit(0), "k")).isEmpty()
+
+
+@pytest.mark.parametrize("levels", [["overall"], ["channel"], ["overall", "channel"], ["overall", "channel", "buyer"]])
+def test_no_task_hashes_entities_spread_into_levels(spark, levels):
+    """Two hash tables of all of a task's rows, once per level, were most of its memory."""
+    with conf(spark, **NO_AQE):
+        plan = plan_of(buyer_source(spark, SF_DIR).daily(levels, ALL_TIME))
+    keys = re.findall(r"Keys \[\d+\]: \[(.*?)\]\n", plan)
+    assert len(keys) > 5
+    assert not [k for k in keys if "value#" in k and "dim_type#" in k]
+    if levels == ["overall"]:
+        # Keys are distinct by day once, and that is all that is counted.
+        assert sum("lookup_key#" in k and "metric_date#" in k for k in keys) == 2
+    else:
+        sorts = [s for s in re.findall(r"Arguments: \[(.*? ASC NULLS FIRST)\], false", plan) if "level channel" in s or "level buyer" in s]
+        # Requests, contacts and the keys of the lookup, each once for two levels and once more for a third.
+        assert len(sorts) == 3 * (len(levels) - 1)
