@@ -57,6 +57,16 @@ def test_reruns_agree_and_nothing_gives_nothing(odd_docs, no_docs):
     assert mixed(no_docs).count() == 0
 
 
+def test_rows_are_range_sorted_by_position(spark, odd_docs):
+    out = mix(odd_docs)
+    assert "rangepartitioning(position" in out._jdf.queryExecution().executedPlan().toString()
+    found = [row["position"] for row in out.collect()]
+    assert None in found and len(set(found)) > 5
+    assert found == sorted(found, key=lambda at: (at is None, at or 0.0))
+    query = [row["position"] for row in QUERIES["op5_mixing"](spark, "/root/testdata/sf0.001").collect()]
+    assert len(set(query)) > 100 and query == sorted(query, key=lambda at: (at is None, at or 0.0))
+
+
 def test_due_inverts_the_schedule(spark):
     rows = spark.range(101).select((F.col("id") / 100).alias("t"))
     for slope in (0.5, 0.0, -0.5):

@@ -86,9 +86,12 @@ def mix(
     """Per row its id, size, source's size and target, words taken, and training positions.
 
     ``position`` is when the first reading is due and ``second_position`` when the second one is;
-    NULL where the mix does not come to it.
+    NULL where the mix does not come to it. Rows are range-sorted by the first position, those that
+    the mix does not take come last; ties stand in the order of the rest of the row.
     """
-    return plan(docs, doc_id, text, source).select(
+    placed = plan(docs, doc_id, text, source)
+    order = [F.col("position").asc_nulls_last(), "second_position", "doc_id", "source", "size", "copy"]
+    return placed.orderBy(*order).select(
         "doc_id", "size", "source_size", "target", "taken", "position", "second_position"
     )
 
