@@ -22,7 +22,7 @@ from fixtures.queries import ALL_TIME, LEVELS, archive, run, run_both
 from tidewatch.functions import DateWindow
 from tidewatch.operators.prefilter import key_filter, might_match
 from tidewatch.operators.ranking import add_global_rank
-from tidewatch.operators.stages import Lookup
+from tidewatch.operators.stages import PARTITION_BYTES, Lookup
 from tidewatch.plans.funnel import FunnelSource
 
 
@@ -266,3 +266,36 @@ def test_no_task_hashes_entities_spread_into_levels(spark, levels):
         sorts = [s for s in re.findall(r"Arguments: \[(.*? ASC NULLS FIRST)\], false", plan) if "level channel" in s or "level buyer" in s]
         # Requests, contacts and the keys of the lookup, each once for two levels and once more for a third.
         assert len(sorts) == 3 * (len(levels) - 1)
+
+
+def test_no_task_is_given_more_than_a_small_partition(spark):
+    """Partitions merged up to Spark's advisory size made one task sort and hash millions of rows."""
+    rows = spark.range(1_500_000).selectExpr(
+        "xxhash64(id) AS contact_pk", "xxhash64(-id) AS request_pk",
+        "TIMESTAMP_NTZ '2000-06-15 12:00:00' AS contact_created_time",
+    )
+    source = FunnelSource(funnel_roles(spark, SF_DIR) | {"contacts": rows}, channels=PRIORITY_CHANNELS)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with conf(spark, **settings):
+        df = source.measure("contacts", "channel", ALL_TIME)
+        assert sum(r.contacts for r in df.collect()) == 1_500_000
+        reads = [node for kind, node in executed(df) if kind == "AQEShuffleReadExec"]
+        sizes = [node.metrics().apply("partitionDataSize").value() / node.partitionSpecs().size() for node in reads]
+    assert max(sizes) > 1 << 20
+    assert max(sizes) <= PARTITION_BYTES
+
+
+@pytest.mark.parametrize(
+    "asked, kept", [("64MB", "16777216"), ("1g", "16777216"), ("8m", "8m"), ("10KB", "10KB"), ("16777216", "16777216")]
+)
+def test_a_session_may_ask_for_smaller_partitions_yet(spark, asked, kept):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with conf(spark, **{name: asked}):
+        funnel_source(spark, SF_DIR).measure("requests", "channel", ALL_TIME)
+        assert spark.conf.get(name) == kept
