@@ -299,3 +299,12 @@ def test_a_session_may_ask_for_smaller_partitions_yet(spark, asked, kept):
     with conf(spark, **{name: asked}):
         funnel_source(spark, SF_DIR).measure("requests", "channel", ALL_TIME)
         assert spark.conf.get(name) == kept
+
+
+@pytest.mark.parametrize("asked, kept", [("128MB", "33554432"), ("1g", "33554432"), ("4m", "4m")])
+def test_a_scan_task_drops_repeats_of_a_small_split(spark, asked, kept):
+    """Splits grow with the table up to 128 MB, millions of rows for the hash table of one task."""
+    name = "spark.sql.files.maxPartitionBytes"
+    with conf(spark, **{name: asked}):
+        funnel_source(spark, SF_DIR).measure("projects", "channel", ALL_TIME)
+        assert spark.conf.get(name) == kept
